@@ -47,18 +47,21 @@ def choose_strategy(stage: DataFrame, strategy: str, limit: int) -> str:
     return "broadcast" if estimated_bytes(stage, stage.count()) <= limit else "shuffle"
 
 
-def guard(t_version: Column, s_version: Column) -> Column:
+def version_guard(t_version: Column, s_version: Column) -> Column:
     """Update only when the versions differ or the target has none (3-valued: NULL counts as false)."""
     return (t_version != s_version) | t_version.isNull()
 
 
 def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], identity: Sequence[str] = (),
                   version_col: str = SOURCE_VERSION, strategy: str = "auto",
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, guard: str = "changed") -> DataFrame:
     """New target state after applying ``stage`` (columns: op, user columns, ``sourcerv``; unique on key).
 
-    'D' rows delete the key (no version guard).  Other rows update matched keys when the guard holds — every
-    non-key, non-identity column plus the version — and insert unmatched keys.  Untouched rows pass as they are.
+    ``guard='changed'`` (the reference's rule): 'D' rows delete the key with no version check; other rows update a
+    matched key when its version differs or is NULL — every non-key, non-identity column plus the version — and
+    insert unmatched keys.  ``guard='newer'`` updates and deletes only when the staged version is higher, which
+    makes applying windows order-independent (used by streams that may see files out of order).
+    Untouched rows pass as they are.
     """
     cols = user_columns(target)
     keys = list(keys)
@@ -71,8 +74,17 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
                      F.col(OP_COL).alias("_s_op"), F.col(version_col).alias("_s_v"), F.lit(True).alias("_s_hit"))
     t = target.select(*[F.col(_q(c)) for c in cols], F.col(version_col).alias("_t_v"), F.lit(True).alias("_t_hit"))
 
+    t_v, s_v = F.col("_t_v"), F.col("_s_v")
+    is_del = F.col("_s_op") == "D"
+    if guard == "newer":
+        wins = t_v.isNull() | (s_v > t_v)
+        del_applies = is_del & wins
+    else:
+        wins = version_guard(t_v, s_v)
+        del_applies = is_del
+
     def merged_columns():
-        is_upd = F.col("_s_hit").isNotNull() & guard(F.col("_t_v"), F.col("_s_v"))
+        is_upd = F.col("_s_hit").isNotNull() & ~is_del & wins
         out = []
         for c in cols:
             if c in keys:
@@ -87,7 +99,7 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
         out.append(F.when(F.col("_t_hit").isNull() | is_upd, F.col("_s_v")).otherwise(F.col("_t_v")).alias(version_col))
         return out
 
-    keep = F.col("_s_op").isNull() | (F.col("_s_op") != "D")
+    keep = ~F.coalesce(del_applies, F.lit(False))
     if plan == "broadcast":
         bs = F.broadcast(s)
         kept = t.join(bs, keys, "left").where(keep).select(*merged_columns())
