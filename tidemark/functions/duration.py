@@ -25,8 +25,8 @@ def format_duration(time: Column | str, unit: Column | str = "second") -> Column
              .when(u.isin(*MINUTE_UNITS), t * F.lit(60))
              .when(u.isin(*SECOND_UNITS), t)
              .otherwise(F.lit(0))).cast("decimal(18,3)")
-    hours = (secs / F.lit(3600)).cast("int")
-    minutes = (secs / F.lit(60) - hours * F.lit(60)).cast("int")
+    hours = (secs / F.lit(3600)).cast("bigint")          # BIGINT: no overflow past 35,791,394 hours
+    minutes = (secs / F.lit(60) - hours.cast("decimal(20,0)") * F.lit(60)).cast("int")
     rest = (secs % F.lit(60)).cast("decimal(18,3)")
     return F.concat(hours.cast("string"), F.lit(":"), F.lpad(minutes.cast("string"), 2, "0"), F.lit(":"),
                     F.lpad(rest.cast("string"), 6, "0"))

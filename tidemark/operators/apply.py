@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.spec import OP_COL, SOURCE_VERSION, user_columns
+from ..session import checkpoint_dir
 
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
 
@@ -41,10 +42,19 @@ def estimated_bytes(df: DataFrame, rows: int) -> int:
     return rows * (sum(_width(f.dataType) for f in df.schema.fields) + 16)
 
 
-def choose_strategy(stage: DataFrame, strategy: str, limit: int) -> str:
+def choose_strategy(stage: DataFrame, strategy: str, limit: int, stage_rows: int | None = None):
+    """(plan, stage): ``auto`` measures the stage — rows × estimated width — against ``limit``.
+
+    A stage whose row count is not known is first checkpointed to the shared checkpoint folder, so counting it and
+    joining it read the same materialised rows instead of computing the stage twice.
+    """
     if strategy != "auto":
-        return strategy
-    return "broadcast" if estimated_bytes(stage, stage.count()) <= limit else "shuffle"
+        return strategy, stage
+    if stage_rows is None:
+        checkpoint_dir(stage.sparkSession)
+        stage = stage.checkpoint(eager=True)
+        stage_rows = stage.count()
+    return ("broadcast" if estimated_bytes(stage, stage_rows) <= limit else "shuffle"), stage
 
 
 def version_guard(t_version: Column, s_version: Column) -> Column:
@@ -54,7 +64,8 @@ def version_guard(t_version: Column, s_version: Column) -> Column:
 
 def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], identity: Sequence[str] = (),
                   version_col: str = SOURCE_VERSION, strategy: str = "auto",
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, guard: str = "changed") -> DataFrame:
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, guard: str = "changed",
+                  stage_rows: int | None = None) -> DataFrame:
     """New target state after applying ``stage`` (columns: op, user columns, ``sourcerv``; unique on key).
 
     ``guard='changed'`` (the reference's rule): 'D' rows delete the key with no version check; other rows update a
@@ -67,7 +78,7 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
     keys = list(keys)
     stage_cols = set(stage.columns)
     updatable = [c for c in cols if c not in keys and c not in identity and c in stage_cols]
-    plan = choose_strategy(stage, strategy, broadcast_limit)
+    plan, stage = choose_strategy(stage, strategy, broadcast_limit, stage_rows)
 
     s = stage.select(*[F.col(_q(k)) for k in keys],
                      *[F.col(_q(c)).alias(f"_s_{c}") for c in cols if c not in keys and c in stage_cols],

@@ -42,6 +42,11 @@ def build_checkpoints(changes: DataFrame, time_col: str, version_col: str, unit:
             .agg(agg(version_col).alias("rv")))
 
 
+def _div(col: Column, width: int) -> Column:
+    """Floor division by a positive width in BIGINT arithmetic (no double rounding for large versions)."""
+    return F.floor(col.cast("decimal(38,0)") / F.lit(int(width))).cast("bigint")
+
+
 def _bounds(df: DataFrame, key_num: Column):
     r = df.agg(F.min(key_num).alias("lo"), F.max(key_num).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     return r["lo"], r["hi"], r["n"]
@@ -60,12 +65,12 @@ def interval_table(ck: DataFrame, key_col: str, val_col: str, running_max: bool
     if not n:
         return None, None, None, 0
     width = max((hi - lo) // BUCKETS + 1, 1)
-    r = base.withColumn("_r", F.floor((F.col("_k") - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    r = base.withColumn("_r", _div(F.col("_k") - F.lit(lo), width))
     w_in = Window.partitionBy("_r").orderBy("_k")
     r = r.select("_r", "_k", "_v",
                  F.lead("_k").over(w_in).alias("_next_in"),
                  F.max("_v").over(w_in.rowsBetween(Window.unboundedPreceding, 0)).alias("_run_in"))
-    summary = base.withColumn("_r", F.floor((F.col("_k") - F.lit(lo)) / F.lit(width)).cast("bigint")) \
+    summary = base.withColumn("_r", _div(F.col("_k") - F.lit(lo), width)) \
         .groupBy("_r").agg(F.min("_k").alias("_first"), F.max("_v").alias("_rmax"))
     w_all = Window.orderBy("_r")   # over ≤ BUCKETS summary rows only
     summary = summary.select("_r", F.lead("_first").over(w_all).alias("_next_range"),
@@ -86,13 +91,13 @@ def asof_join(points: DataFrame, ck: DataFrame, point_col: str, key_col: str, va
         return points.withColumn(out_col, F.lit(None).cast(out_type))
     width = max((hi - lo) // BUCKETS + 1, 1)
     last_bucket = (hi - lo) // width
-    first = F.floor((F.col("_start") - F.lit(lo)) / F.lit(width)).cast("bigint")
-    last = F.floor((F.coalesce(F.col("_end") - F.lit(1), F.col("_start")) - F.lit(lo)) / F.lit(width)).cast("bigint")
+    first = _div(F.col("_start") - F.lit(lo), width)
+    last = _div(F.coalesce(F.col("_end") - F.lit(1), F.col("_start")) - F.lit(lo), width)
     exploded = iv.select("_start", "_end", "_val", F.explode(F.sequence(first, last)).alias("_b"))
     pdtype = points.schema[point_col].dataType
     pnum = _numeric(F.col(point_col), pdtype)
     p = points.withColumn("_pk", pnum).withColumn(
-        "_b", F.least(F.floor((F.col("_pk") - F.lit(lo)) / F.lit(width)).cast("bigint"), F.lit(last_bucket)))
+        "_b", F.least(_div(F.col("_pk") - F.lit(lo), width), F.lit(last_bucket)))
     right = F.broadcast(exploded) if n + BUCKETS <= broadcast_rows else exploded
     cond = ((p["_b"] == right["_b"]) & (p["_pk"] >= right["_start"])
             & (right["_end"].isNull() | (p["_pk"] < right["_end"])))
@@ -129,10 +134,10 @@ def range_join(points: DataFrame, intervals: DataFrame, point_col: str, lo_col:
         return points.join(intervals, F.lit(False), "inner")
     lo, hi = int(r["lo"]), int(r["hi"])
     width = max((hi - lo) // BUCKETS + 1, 1)
-    first = F.floor((F.col(lo_col) - F.lit(lo)) / F.lit(width)).cast("bigint")
-    last = F.floor((F.col(hi_col) - F.lit(lo)) / F.lit(width)).cast("bigint")
+    first = _div(F.col(lo_col) - F.lit(lo), width)
+    last = _div(F.col(hi_col) - F.lit(lo), width)
     ex = intervals.withColumn("_b", F.explode(F.sequence(first, F.greatest(first, last))))
-    p = points.withColumn("_b", F.floor((F.col(point_col) - F.lit(lo)) / F.lit(width)).cast("bigint"))
+    p = points.withColumn("_b", _div(F.col(point_col) - F.lit(lo), width))
     # Exploded rows ≈ intervals + (sum of interval lengths) / width; broadcast only under the checked bound.
     ex_rows = ex.count() if r["n"] <= broadcast_rows else broadcast_rows + 1
     right = F.broadcast(ex) if ex_rows <= broadcast_rows else ex

@@ -35,26 +35,37 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     return cond
 
 
+def segment_of(order_col: str, span: int):
+    """Version range a row falls in (integer division: exact for every BIGINT)."""
+    return F.expr(f"`{order_col}` div {int(span)}")
+
+
 def previous_per_key(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str], span: int,
-                     prefix: str = "prev_") -> DataFrame:
-    """Add ``prefix+c`` = value of ``c`` in the previous row of the same key ordered by ``order_col`` (integral)."""
-    seg = F.floor(F.col(order_col) / F.lit(span)).cast("bigint")
-    d = df.withColumn("_seg", seg)
+                     prefix: str = "prev_", with_last: bool = False) -> DataFrame:
+    """Add ``prefix+c`` = value of ``c`` in the previous row of the same key ordered by ``order_col`` (integral).
+
+    Plan: one shuffle by (keys, segment) feeds a window with ``lag`` / ``lead``.  Rows inside a segment take their
+    predecessor from that window.  The edge rows of each segment (first and last — at most two per segment) are
+    re-keyed by key alone and ordered by version, so a segment's first row finds the previous segment's last row
+    with one more ``lag``; a key holding a third of the data contributes only two rows per segment there.  The two
+    parts are put back together with a union (no join).
+    With ``with_last`` the output also flags ``_is_last``: the key's newest row overall.
+    """
+    d = df.withColumn("_seg", segment_of(order_col, span))
     w = Window.partitionBy(*keys, "_seg").orderBy(order_col)
-    d = d.select("*", F.row_number().over(w).alias("_pos"),
+    d = d.select("*", F.row_number().over(w).alias("_pos"), F.lead(F.col(order_col)).over(w).alias("_next"),
                  *[F.lag(F.col(c)).over(w).alias(f"_lag_{c}") for c in cols])
-    tails = (df.withColumn("_seg", seg)
-             .groupBy(*keys, "_seg")
-             .agg(F.max(F.struct(F.col(order_col).alias("_o"), *[F.col(c).alias(c) for c in cols])).alias("_last")))
-    wk = Window.partitionBy(*keys).orderBy("_seg")
-    tails = tails.select(*keys, "_seg", F.lag("_last").over(wk).alias("_prev_tail"))
-    t = tails.alias("t")
-    joined = d.alias("d").join(t, _null_safe_on(d.alias("d"), t, [*keys, "_seg"]), "left")
-    out = joined.select(
-        *[F.col(f"d.`{c}`") for c in df.columns],
-        *[F.when(F.col("d._pos") == 1, F.col(f"t._prev_tail.{c}")).otherwise(F.col(f"d._lag_{c}")).alias(prefix + c)
-          for c in cols])
-    return out
+    base_cols = [F.col(f"`{c}`") for c in df.columns]
+    inner = d.where((F.col("_pos") > 1) & F.col("_next").isNotNull()).select(
+        *base_cols, *[F.col(f"_lag_{c}").alias(prefix + c) for c in cols],
+        *([F.lit(False).alias("_is_last")] if with_last else []))
+    wk = Window.partitionBy(*keys).orderBy(order_col)
+    edges = d.where((F.col("_pos") == 1) | F.col("_next").isNull()).select(
+        *base_cols,
+        *[F.when(F.col("_pos") == 1, F.lag(F.col(c)).over(wk)).otherwise(F.col(f"_lag_{c}")).alias(prefix + c)
+          for c in cols],
+        *([F.lead(F.col(order_col)).over(wk).isNull().alias("_is_last")] if with_last else []))
+    return inner.unionByName(edges)
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], base: int = 0, col: str = ROW_VERSION) -> DataFrame:
@@ -128,10 +139,14 @@ def feed_from_log(log: DataFrame, keys: Sequence[str], value_cols: Sequence[str]
 
     The table holds the last change per key when it is an upsert; the delete log holds every delete that removed
     a live row (the previous change of the key was an upsert), with the delete's version and the row's last one.
+    Both come from one segmented pass (see ``previous_per_key``), so a key holding a third of the log is split
+    into version segments instead of landing in one task.
     """
-    state = (latest_per_key(log, keys, version_col).where(F.col(op_col) == "U")
+    extra = [time_col] if time_col else []
+    base = log.select(*keys, *[c for c in value_cols if c not in keys], version_col, op_col, *extra)
+    prev = previous_per_key(base, keys, version_col, [version_col, op_col], span, with_last=True)
+    state = (prev.where(F.col("_is_last") & (F.col(op_col) == "U"))
              .select(*keys, *value_cols, version_col))
-    prev = previous_per_key(log, keys, version_col, [version_col, op_col], span)
     dt = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
     deletes = (prev.where((F.col(op_col) == "D") & (F.col(f"prev_{op_col}") == "U"))
                .select(F.col(version_col).alias("rv"), dt.alias("dt"), F.col(f"prev_{version_col}").alias("sourcerv"),

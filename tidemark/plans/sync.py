@@ -43,7 +43,7 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
             changes = extract_changes(source, delete_log, keys, window)
             stage = stage_changes(changes, f"{stage_root.rstrip('/')}/run={run_id}/{name}")
             rows = stage.count()
-            applied = target.apply(stage, identity=identity)
+            applied = target.apply(stage, identity=identity, stage_rows=rows)
             log.log_table(run_id, f"stg_{name}", rows)
             stats = dict(mode="incremental", rows=rows, **applied)
         log.end_run(run_id, True, "ok", now)

@@ -127,7 +127,8 @@ class BucketedTable:
         self._publish(version, {b: f"v{version:08d}" for b in written}, df.schema)
         return version
 
-    def apply(self, stage: DataFrame, identity: Sequence[str] = (), strategy: str = "auto", guard: str = "changed") -> dict:
+    def apply(self, stage: DataFrame, identity: Sequence[str] = (), strategy: str = "auto", guard: str = "changed",
+              stage_rows: int | None = None) -> dict:
         """Apply a collapsed stage; only buckets holding a staged key are read and rewritten."""
         m = self.manifest()
         if m is None:
@@ -139,7 +140,7 @@ class BucketedTable:
             return dict(version=m["version"], touched=0, buckets=self.num_buckets)
         target = self.read(buckets=touched)
         plan = strategy
-        new_rows = apply_changes(target, stage, self.keys, identity, strategy=plan, guard=guard)
+        new_rows = apply_changes(target, stage, self.keys, identity, strategy=plan, guard=guard, stage_rows=stage_rows)
         version = m["version"] + 1
         written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=True))
         buckets = {int(b): f for b, f in m["buckets"].items()}

@@ -18,7 +18,7 @@ from ..operators.extract import extract_changes, extract_snapshot, latest_per_ke
 from ..plans.fixtures import FEED_KEYS, Fixtures
 from ..plans.spec import SOURCE_VERSION, VersionWindow, feed_schema
 from ..plans.sync import sync_table
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog
 
@@ -38,13 +38,16 @@ def sync_stream(spark: SparkSession, change_dir: str, schema: T.StructType, targ
     changes = reader.parquet(change_dir)
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        stage = latest_per_key(batch, keys, SOURCE_VERSION)
+        checkpoint_dir(batch.sparkSession)
+        # Materialise the collapsed batch once (shared checkpoint folder): the stats, the touched-bucket list and
+        # the apply all read it.
+        stage = latest_per_key(batch, keys, SOURCE_VERSION).checkpoint(eager=True)
         lo_hi = stage.agg(F.min(SOURCE_VERSION), F.max(SOURCE_VERSION), F.count(F.lit(1))).first()
         if not lo_hi[2]:
             return
         run_id = log.start_run(subscription_id, int(lo_hi[0]) - 1, int(lo_hi[1])) if log else None
         try:
-            target.apply(stage, guard="newer")
+            target.apply(stage, guard="newer", stage_rows=int(lo_hi[2]))
             if log:
                 log.log_table(run_id, "stream", int(lo_hi[2]))
                 log.end_run(run_id, True, f"batch {batch_id}")
