@@ -70,8 +70,9 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
 
     ``guard='changed'`` (the reference's rule): 'D' rows delete the key with no version check; other rows update a
     matched key when its version differs or is NULL — every non-key, non-identity column plus the version — and
-    insert unmatched keys.  ``guard='newer'`` updates and deletes only when the staged version is higher, which
-    makes applying windows order-independent (used by streams that may see files out of order).
+    insert unmatched keys.  ``guard='newer'`` updates and deletes only when the staged version is higher, so a
+    re-delivered or late older change never moves a row back (deletes leave no tombstone: an older insert of a key
+    deleted meanwhile still lands, so windows are applied in commit order).
     Untouched rows pass as they are.
     """
     cols = user_columns(target)

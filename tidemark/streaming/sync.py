@@ -3,8 +3,8 @@
 The publisher side writes each window's collapsed change records (op, columns, ``sourcerv``) as parquet files into
 a change folder; ``readStream.parquet`` picks new files up, and ``foreachBatch`` collapses each micro-batch to the
 last change per key and applies it bucket-wise to the target.  The stream's checkpoint holds the offsets (which
-files are done); the apply is idempotent (re-applying a batch changes nothing) and, with ``guard='newer'``,
-independent of the order in which files arrive, so a retried or reordered batch is harmless.
+files are done; new files are taken in commit order); the apply is idempotent (re-applying a batch changes
+nothing), and ``guard='newer'`` keeps a retried batch from moving any row back to an older version.
 """
 from __future__ import annotations
 
