@@ -33,3 +33,13 @@ def test_big_table_without_date_column_is_skipped(spark, fx01):
     p, s = fx01.pair
     out = compare.compare_tables(p, s, KEYS, list(PAIR_COLUMNS), max_rows=10)
     assert out.count() == 0
+
+
+def test_compare_all_skips_copies_and_big_tables(spark, fx01):
+    p, s = fx01.pair
+    out = compare.compare_all({"orders": (p, s), "DatesFromSubscription_1": (p, s), "big": (p, s)},
+                              {"orders": KEYS, "big": KEYS, "DatesFromSubscription_1": KEYS}, max_rows=None)
+    names = {r["table_name"] for r in out.collect()}
+    assert names == {"orders", "big"}
+    skipped = compare.compare_all({"big": (p, s)}, {"big": KEYS}, max_rows=10).collect()
+    assert skipped[0]["difference"].startswith("skipped")

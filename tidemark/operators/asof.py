@@ -129,18 +129,19 @@ def range_join(points: DataFrame, intervals: DataFrame, point_col: str, lo_col:
 
     Intervals are cut into buckets of width (range / BUCKETS); a pair is found once, in the point's bucket.
     """
-    r = intervals.agg(F.min(lo_col).alias("lo"), F.max(hi_col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    r = intervals.agg(F.min(lo_col).alias("lo"), F.max(hi_col).alias("hi"), F.count(F.lit(1)).alias("n"),
+                      F.sum(F.greatest(F.col(hi_col) - F.col(lo_col), F.lit(0)).cast("decimal(38,0)")).alias("span")).first()
     if not r["n"]:
         return points.join(intervals, F.lit(False), "inner")
     lo, hi = int(r["lo"]), int(r["hi"])
     width = max((hi - lo) // BUCKETS + 1, 1)
+    # Upper bound of the exploded rows: every interval covers at most (length / width + 2) buckets.
+    ex_rows = int(r["span"] or 0) // width + 2 * int(r["n"])
     first = _div(F.col(lo_col) - F.lit(lo), width)
     last = _div(F.col(hi_col) - F.lit(lo), width)
     ex = intervals.withColumn("_b", F.explode(F.sequence(first, F.greatest(first, last))))
     p = points.withColumn("_b", _div(F.col(point_col) - F.lit(lo), width))
-    # Exploded rows ≈ intervals + (sum of interval lengths) / width; broadcast only under the checked bound.
-    ex_rows = ex.count() if r["n"] <= broadcast_rows else broadcast_rows + 1
-    right = F.broadcast(ex) if ex_rows <= broadcast_rows else ex
+    right = F.broadcast(ex) if ex_rows <= broadcast_rows else ex     # broadcast only under the computed bound
     if inclusive:
         cond = (p[point_col] >= right[lo_col]) & (p[point_col] <= right[hi_col])
     else:

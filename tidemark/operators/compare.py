@@ -132,10 +132,25 @@ def repair_from_diff(diff: DataFrame, pub: DataFrame, keys: Sequence[str], base:
     return patched, deletes
 
 
-def compare_all(pairs: dict, keys_of: dict, **kw) -> DataFrame:
-    """Compare many tables (dict name → (pub, sub)) and union their summaries, small tables first."""
+def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = "DatesFromSubscription", max_rows: int | None = None,
+                **kw) -> DataFrame:
+    """Compare many tables (dict name → (pub, sub)) and union their summaries.
+
+    Replicated checkpoint copies (``skip_prefix``) are left out; a table above ``max_rows`` without a date column
+    is reported as skipped instead of compared (the loop is over table specs, never over rows).
+    """
     out = None
     for name, (pub, sub) in pairs.items():
+        if skip_prefix and name.startswith(skip_prefix):
+            continue
+        if max_rows is not None and pick_date_column(pub) is None:
+            n = pub.count()
+            if n > max_rows:
+                s = pub.sparkSession.createDataFrame(
+                    [(name, f"skipped: no date column and {n} rows exceed {max_rows}", n)],
+                    "table_name string, difference string, n bigint")
+                out = s if out is None else out.unionByName(s)
+                continue
         s = compare_summary(pub, sub, keys_of[name], **kw).select(F.lit(name).alias("table_name"), "difference", "n")
         out = s if out is None else out.unionByName(s)
     return out

@@ -124,3 +124,77 @@ def missing_from(candidates: DataFrame, existing: DataFrame, keys) -> DataFrame:
 def end_run_flags(success: bool, total_rows: int, has_routine: bool) -> bool:
     """Whether a closing run may clear initialise flags: success and (rows moved or an active routine)."""
     return bool(success) and (total_rows > 0 or has_routine)
+
+
+def recollect_detail(detail: DataFrame, run_id: int, routines: DataFrame, measured: DataFrame) -> DataFrame:
+    """Detail after a run closes: this run's rows are replaced by ``measured`` except rows named like a routine.
+
+    The exclusion is SQL ``NOT IN (subquery)`` — null-aware: one NULL routine name means no row is removed.
+    ``routines`` is small metadata (broadcast by the null-aware anti-join).
+    """
+    this = F.col("import_log_id") == F.lit(run_id)
+    names = routines.select(F.col("routine_name"))
+    this_rows = detail.where(this)
+    removed = this_rows.where(~F.col("table_name").isin(names)).select(F.col("table_name").alias("_gone")).distinct()
+    kept_this = this_rows.join(removed, this_rows["table_name"].eqNullSafe(removed["_gone"]), "left_anti")
+    return detail.where(~this).unionByName(kept_this).unionByName(measured.select(*detail.columns))
+
+
+def tables_loaded(tables: DataFrame, detail: DataFrame, run_id: int, stage_prefix: str = "stg_") -> DataFrame:
+    """Tables of a feed that moved rows in a run: the detail names the table itself or its stage.
+
+    The two-branch OR of the match becomes one equi semi-join after normalising the stage name.
+    """
+    d = (detail.where(F.col("import_log_id") == F.lit(run_id))
+         .select(F.regexp_replace(F.col("table_name"), "^" + stage_prefix, "").alias("table_name")).distinct())
+    return tables.join(d, "table_name", "left_semi")
+
+
+def clear_init_flags(tables: DataFrame, detail: DataFrame, run_id: int, success: bool, total_rows: int,
+                     has_routine: bool) -> DataFrame:
+    """``initialize`` after a run closes: cleared for loaded tables when the run may clear flags."""
+    if not end_run_flags(success, total_rows, has_routine):
+        return tables
+    loaded = tables_loaded(tables.select("table_name"), detail, run_id).withColumn("_loaded", F.lit(True))
+    return (tables.join(loaded, "table_name", "left")
+            .withColumn("initialize", F.when(F.col("_loaded"), F.lit(0)).otherwise(F.col("initialize")))
+            .drop("_loaded"))
+
+
+def latest_detail(log: DataFrame, detail: DataFrame) -> DataFrame:
+    """Detail rows of each subscription's newest run (the closed-run branch of the status report)."""
+    newest = log.groupBy("subscription_id").agg(F.max("import_log_id").alias("import_log_id"))
+    return detail.join(newest, "import_log_id")
+
+
+def run_status(subscriptions: DataFrame, log: DataFrame, now, delay_alert_minutes: int | None = None) -> DataFrame:
+    """Newest run per active subscription, its age in minutes, and a delay alert when the last success is older
+    than the subscription's ``delay_alert_minutes`` (or the given default)."""
+    lr = latest_run(subscriptions, log)
+    ls = last_success(log)
+    now_c = ts_literal(now)
+    j = lr.join(ls, "subscription_id", "left").withColumn("minutes_since_success",
+                                                          minute_boundaries(F.col("last_date"), now_c))
+    limit = F.col("delay_alert_minutes") if "delay_alert_minutes" in subscriptions.columns else F.lit(delay_alert_minutes)
+    return j.withColumn("delay_alert", F.coalesce(F.col("minutes_since_success") > limit, F.lit(False)))
+
+
+def feed_catalog(subscriptions: DataFrame, tables: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """Subscription ⋈ table (⋈ column): the configuration as one flat view."""
+    out = subscriptions.join(tables, "subscription_id")
+    if columns is not None:
+        out = out.join(columns, ["subscription_id", "table_name"])
+    return out
+
+
+def delayed_version(checkpoints: DataFrame, now, current: int, lag_seconds: int = 1, stale_minutes: int = 60) -> int:
+    """Upper bound that trails the clock: the version of the newest checkpoint older than ``lag_seconds``; when
+    that checkpoint is older than ``stale_minutes`` (the checkpoint writer stopped) the current version."""
+    now_c = ts_literal(now)
+    cutoff = now_c - F.expr(f"INTERVAL {int(lag_seconds)} SECONDS")
+    row = (checkpoints.where(F.col("date") < cutoff)
+           .agg(F.max_by("rv", "date").alias("rv"), F.max("date").alias("date"))
+           .select("rv", minute_boundaries(F.col("date"), now_c).alias("age")).first())
+    if row is None or row["rv"] is None or row["age"] > stale_minutes:
+        return int(current)
+    return int(row["rv"])

@@ -152,3 +152,17 @@ def feed_from_log(log: DataFrame, keys: Sequence[str], value_cols: Sequence[str]
                .select(F.col(version_col).alias("rv"), dt.alias("dt"), F.col(f"prev_{version_col}").alias("sourcerv"),
                        *keys))
     return state, deletes
+
+
+def delete_log_schema(table: DataFrame, keys: Sequence[str], track: Sequence[str] = ()):
+    """Schema of a table's delete log: own version, time, the row's last version, keys, tracked columns."""
+    from pyspark.sql import types as T
+    by_name = {f.name: f for f in table.schema.fields}
+    return T.StructType([T.StructField("rv", T.LongType(), False), T.StructField("dt", T.TimestampNTZType(), True),
+                         T.StructField("sourcerv", T.LongType(), True),
+                         *[by_name[c] for c in [*keys, *track]]])
+
+
+def empty_delete_log(table: DataFrame, keys: Sequence[str], track: Sequence[str] = ()) -> DataFrame:
+    """A new (or rebuilt) delete log with no rows."""
+    return table.sparkSession.createDataFrame([], delete_log_schema(table, keys, track))

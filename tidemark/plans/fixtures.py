@@ -101,7 +101,7 @@ class Fixtures:
     def ck(self) -> DataFrame:
         return build_checkpoints(self.table("events"), "ts", "event_id", "hour", "min")
 
-    @property
+    @cached_property
     def import_log(self) -> DataFrame:
         lg = number_rows(self.ck.select(F.col("rv").alias("rv_to"), F.col("date").alias("start_date")), ["rv_to"],
                          0, "import_log_id")
@@ -118,7 +118,7 @@ class Fixtures:
                           .otherwise(F.col("start_date") + F.expr("INTERVAL 90 SECONDS")).alias("end_date"),
                          "success", "rv_to", rv_from.alias("rv_from"))
 
-    @property
+    @cached_property
     def import_log_detail(self) -> DataFrame:
         """Rows each run moved, per table: changes and logged deletes inside its window (rv_from, rv_to]."""
         runs = self.import_log.select("import_log_id", "rv_from", "rv_to")

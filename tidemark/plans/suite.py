@@ -143,6 +143,14 @@ def asof_date(spark, sf_dir):
     return asof.asof_date(fx.src.select(*K, "rv"), fx.ck)
 
 
+def asof_date_replicated(spark, sf_dir):
+    """The checkpoint table replicated to the subscriber (keyed by date, its ``rv`` arriving as ``sourcerv``) and
+    read there by ``sourcerv``."""
+    fx = _fx(spark, sf_dir)
+    replica = ap.load_full(extract.extract_snapshot(fx.ck, VersionWindow(0, fx.hi)))
+    return asof.asof_date(fx.src.select(*K, "rv"), replica, ck_version="sourcerv")
+
+
 def runs_containing(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     runs_ = fx.import_log.select("import_log_id", "subscription_id", "rv_from", "rv_to")
@@ -191,6 +199,24 @@ def run_totals(spark, sf_dir):
     return runs.run_totals(fx.import_log, fx.import_log_detail)
 
 
+def latest_detail(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return runs.latest_detail(fx.import_log, fx.import_log_detail)
+
+
+def recollect_detail(spark, sf_dir):
+    """Close of the newest run: its detail rows not named like a routine are replaced by a fresh count."""
+    fx = _fx(spark, sf_dir)
+    log = fx.import_log
+    run = log.orderBy(F.col("import_log_id").desc()).select("import_log_id", "rv_from", "rv_to").first()
+    routines = spark.createDataFrame([("del_log",)], "routine_name string")
+    measured = (fx.chg.where((F.col("rv") > F.lit(run["rv_from"])) & (F.col("rv") <= F.lit(run["rv_to"])))
+                .agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
+                .select(F.lit(run["import_log_id"]).cast("bigint").alias("import_log_id"),
+                        F.lit("events").alias("table_name"), "total_rows"))
+    return runs.recollect_detail(fx.import_log_detail, run["import_log_id"], routines, measured)
+
+
 def run_window(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     subs = fx.subscriptions.select(
@@ -311,6 +337,7 @@ QUERIES = {
     "rv_to_date": rv_to_date,
     "date_to_rv": date_to_rv,
     "asof_date": asof_date,
+    "asof_date_replicated": asof_date_replicated,
     "runs_containing": runs_containing,
     "import_log": import_log,
     "high_water_mark": high_water_mark,
@@ -322,6 +349,8 @@ QUERIES = {
     "run_detail_view": run_detail_view,
     "run_totals": run_totals,
     "run_window": run_window,
+    "latest_detail": latest_detail,
+    "recollect_detail": recollect_detail,
     "table_stats": table_stats,
     "missing_from": missing_from,
     "compare_tables": compare_tables,
