@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
+
 # Number of key ranges / buckets the interval machinery aims for (bounds the summary tables).
 BUCKETS = 4096
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -61,6 +63,10 @@ def interval_table(ck: DataFrame, key_col: str, val_col: str, running_max: bool
     base = (ck.where(F.col(key_col).isNotNull() & F.col(val_col).isNotNull())
             .select(_numeric(F.col(key_col), dtype).alias("_k"), F.col(val_col).alias("_v"))
             .groupBy("_k").agg(F.max("_v").alias("_v")))
+    # Checkpoints are small (one row per time bucket) but may be derived from a large table: materialise them
+    # once in the shared checkpoint folder so the bounds, the per-range window and the summary read that copy.
+    checkpoint_dir(ck.sparkSession)
+    base = base.checkpoint(eager=True)
     lo, hi, n = _bounds(base, F.col("_k"))
     if not n:
         return None, None, None, 0
