@@ -131,3 +131,13 @@ def test_upsert_merge_and_replace(spark):
     assert merged == [(1, "a", 10.0), (2, "B", 20.0), (3, "C", None)]
     replaced = sorted(map(tuple, ap.upsert(target, source, ["k"], mode="replace").collect()))
     assert replaced == [(1, "a", 10.0), (2, "B", None), (3, "C", None)]
+
+
+def test_auto_strategy_measures_stage(spark, fx01):
+    small = ap.apply_changes(fx01.tgt, fx01.stg, K)                       # a few KB: broadcast
+    big = ap.apply_changes(fx01.tgt, fx01.stg, K, broadcast_limit=1000)   # over the limit: sort-merge
+    small_plan = small._jdf.queryExecution().executedPlan().toString()
+    big_plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in small_plan and "SortMergeJoin" not in small_plan
+    assert "SortMergeJoin" in big_plan
+    assert _same(small, big)

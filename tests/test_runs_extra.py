@@ -7,6 +7,7 @@ from tidemark.operators import runs
 from tidemark.operators.versions import empty_delete_log
 from tidemark.plans.feeds import sync_feed
 from tidemark.plans.spec import FeedSpec
+from tidemark.sources.runlog import RunLog
 
 
 def _detail(spark):
@@ -77,3 +78,13 @@ def test_sync_feed_tables_then_routines(spark, fx01):
     out = sync_feed(spark, specs, f"{root}/t", f"{root}/log", 1, current=10_000, num_buckets=4)
     assert [r.get("mode") for r in out if "mode" in r] == ["full", "full"]
     assert seen == [(0, 10_000)]
+
+
+def test_baseline_run_sets_mark(spark):
+    root = tempfile.mkdtemp(prefix="tm-base-")
+    log = RunLog(spark, root)
+    log.set_baseline(3, 12345, now="2024-01-01 00:00:00")
+    r = log.runs().first()
+    assert (r["rv_from"], r["rv_to"], r["success"], r["total_rows"], r["message"]) == (0, 12345, 1, -1,
+                                                                                        "Fake Initialization")
+    assert runs.high_water_mark(log.runs()).first()["hwm"] == 12345

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.apply import apply_changes
+from ..operators.apply import DEFAULT_BROADCAST_LIMIT, apply_changes
 
 BUCKET_COL = "tm_bucket"
+SLICE_SEED = 7919        # seeds the second hash that splits a bucket over several write tasks
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int):
@@ -110,11 +111,20 @@ class BucketedTable:
         return bool(self.versions())
 
     # ---- write --------------------------------------------------------------------------------------------------
-    def _write(self, df: DataFrame, version: int, clustered: bool) -> list:
+    def _write(self, df: DataFrame, version: int, clustered: bool, slices: int | None = None) -> list:
+        """Write rows into bucket folders of a new version.
+
+        ``clustered``: every input task already holds one bucket (rows read from bucket folders and joined against
+        a broadcast stage) — write as is.  Otherwise rows are spread over ``buckets × slices`` tasks by (bucket,
+        second key hash), so each task writes one file of one bucket and no bucket is funnelled into one task;
+        ``slices`` defaults to the input partition count / buckets.
+        """
         folder = f"{self.root}/v{version:08d}"
         out = df.withColumn(BUCKET_COL, bucket_of(self.keys, self.num_buckets))
         if not clustered:
-            out = out.repartition(BUCKET_COL)
+            k = slices or max(1, -(-df.rdd.getNumPartitions() // self.num_buckets))
+            sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
+            out = out.repartition(self.num_buckets * k, F.col(BUCKET_COL), sub)
         out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
         written = [n.split("=", 1)[1] for n in self._fs.list_names(f"v{version:08d}") if n.startswith(BUCKET_COL + "=")]
         return [int(b) for b in written]
@@ -140,9 +150,13 @@ class BucketedTable:
             return dict(version=m["version"], touched=0, buckets=self.num_buckets)
         target = self.read(buckets=touched)
         plan = strategy
+        if plan == "auto":
+            from ..operators.apply import choose_strategy
+            plan, stage = choose_strategy(stage, "auto", DEFAULT_BROADCAST_LIMIT, stage_rows)
         new_rows = apply_changes(target, stage, self.keys, identity, strategy=plan, guard=guard, stage_rows=stage_rows)
         version = m["version"] + 1
-        written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=True))
+        # broadcast plan: output tasks follow the bucket folders read; shuffle plan: re-spread by bucket
+        written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=(plan == "broadcast")))
         buckets = {int(b): f for b, f in m["buckets"].items()}
         for b in touched:
             if b in written:
