@@ -77,10 +77,14 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], base: int = 0, col: st
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    ordered = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) if order_cols else df
+    # the range partitioner samples its input and the checkpoint then reads it: compute the input once
+    src = df.persist() if order_cols else df
+    ordered = src.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) if order_cols else src
     ordered = (ordered.withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id())
                .checkpoint(eager=True))
+    if order_cols:
+        src.unpersist()
     counts = sorted((r["_pid"], r["n"]) for r in ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, running = [], 0
     for pid, n in counts:

@@ -28,7 +28,7 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
     if current is None:
         current = current_version(source, delete_log)
     runs = log.runs().where(F.col("subscription_id") == subscription_id)
-    mark = high_water_mark(runs, double_read=double_read).first() if runs.limit(1).count() else None
+    mark = high_water_mark(runs, double_read=double_read).first()       # None: never ran
     rv_from = BEGINNING if (initialize or mark is None or not target.exists()) else int(mark["hwm"])
     run_id = log.start_run(subscription_id, rv_from, current, now)
     window = VersionWindow(rv_from, current)

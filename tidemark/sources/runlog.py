@@ -29,6 +29,8 @@ class RunLog:
         self.spark = spark
         self.root = root.rstrip("/")
         self._seq = 0
+        self._open = {}          # run id → start row written by this process (saves re-reading the log)
+        self._rows = {}          # run id → rows logged by this process
 
     @property
     def _log_path(self):
@@ -74,15 +76,24 @@ class RunLog:
         row = (run_id, subscription_id, self._next_seq(), rv_from, rv_to, _now(now), None, 0, None, rv_to - rv_from,
                rv_from != BEGINNING, None)
         self._append(self._log_path, [row], LOG_SCHEMA)
+        self._open[run_id] = dict(zip(["import_log_id", "subscription_id", "seq", "rv_from", "rv_to", "start_date",
+                                       "end_date", "success", "total_rows", "rv_total_rows", "use_stage", "message"],
+                                      row))
+        self._rows[run_id] = {}
         return run_id
 
     def log_table(self, run_id: int, table_name: str, rows: int) -> None:
         self._append(self._detail_path, [(run_id, table_name, int(rows), self._next_seq())], DETAIL_SCHEMA)
+        if run_id in self._rows:
+            self._rows[run_id][table_name] = int(rows)
 
     def end_run(self, run_id: int, success: bool, message: str = "", now=None) -> int:
         """Close a run: totals from its detail rows (NULL → 0), end date, success flag and message."""
-        cur = self.runs().where(F.col("import_log_id") == run_id).first()
-        total = self.detail().where(F.col("import_log_id") == run_id).agg(F.sum("total_rows")).first()[0] or 0
+        cur = self._open.pop(run_id, None) or self.runs().where(F.col("import_log_id") == run_id).first()
+        if run_id in self._rows:
+            total = sum(self._rows.pop(run_id).values())
+        else:
+            total = self.detail().where(F.col("import_log_id") == run_id).agg(F.sum("total_rows")).first()[0] or 0
         row = (run_id, cur["subscription_id"], self._next_seq(), cur["rv_from"], cur["rv_to"], cur["start_date"],
                _now(now), 1 if success else 0, int(total), cur["rv_total_rows"], cur["use_stage"], message)
         self._append(self._log_path, [row], LOG_SCHEMA)
