@@ -99,3 +99,17 @@ def test_stream_restart_from_checkpoint(spark, fx01):
     publish(ends[2], ends[3])
     sync_stream(spark, changes, schema, target, ckpt, K).awaitTermination()     # restart: only new files
     assert _same(target.read(), fx01.src.withColumnRenamed("rv", "sourcerv"))
+
+
+def test_changelog_window_prunes_blocks(spark, fx01):
+    from tidemark.sources.changelog import ChangeLog
+    root = tempfile.mkdtemp(prefix="tm-clog-")
+    log = ChangeLog(spark, root, K, block=1000)
+    rec = fx01.chg.select(F.col("op").alias("rpl_operation"), *K, "event_type", "value", F.col("rv").alias("sourcerv"))
+    log.append(rec)
+    w = log.window(VersionWindow(8000, 9000), collapse=False)
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(rv_block" in plan
+    files = set(w.select(F.input_file_name()).distinct().collect())
+    assert len(files) <= 3                          # blocks 8 and 9 only, out of 11
+    assert w.count() == rec.where("sourcerv > 8000 AND sourcerv <= 9000").count()

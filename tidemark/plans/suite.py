@@ -33,6 +33,21 @@ def incremental_extract(spark, sf_dir):
     return _fx(spark, sf_dir).stg
 
 
+def changelog_extract(spark, sf_dir):
+    """The events feed appended to a version-blocked change log, then the window (lo, hi] read back collapsed:
+    block folders outside the window are pruned before any file is opened."""
+    from ..session import scratch_path
+    from ..sources.changelog import ChangeLog
+    fx = _fx(spark, sf_dir)
+    log = ChangeLog(spark, scratch_path(spark, "changelog"), K, block=max(fx.hi // 16, 1))
+    records = fx.chg.select(F.col("op").alias(OP_COL), *K,
+                            F.when(F.col("op") == "U", F.col("event_type")).alias("event_type"),
+                            F.when(F.col("op") == "U", F.col("value")).alias("value"),
+                            F.col("rv").alias("sourcerv"))
+    log.append(records)
+    return log.window(fx.window)
+
+
 def change_op_counts(spark, sf_dir):
     return _fx(spark, sf_dir).stg.groupBy(OP_COL).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
@@ -320,6 +335,7 @@ QUERIES = {
     "snapshot_extract": snapshot_extract,
     "incremental_extract": incremental_extract,
     "change_op_counts": change_op_counts,
+    "changelog_extract": changelog_extract,
     "latest_per_key": latest_per_key,
     "feed_state": feed_state,
     "feed_delete_log": feed_delete_log,

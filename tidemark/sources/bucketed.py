@@ -70,11 +70,13 @@ class _Fs:
 
 
 class BucketedTable:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int = 64,
+                 version_col: str = "sourcerv"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.num_buckets = num_buckets
+        self.version_col = version_col
         self._fs = _Fs(spark, self.root)
 
     # ---- manifest -----------------------------------------------------------------------------------------------
@@ -125,6 +127,9 @@ class BucketedTable:
             k = slices or max(1, -(-df.rdd.getNumPartitions() // self.num_buckets))
             sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
             out = out.repartition(self.num_buckets * k, F.col(BUCKET_COL), sub)
+        if self.version_col in df.columns:
+            # files sorted by version: row-group min/max stats let a version-window filter skip old row groups
+            out = out.sortWithinPartitions(BUCKET_COL, self.version_col)
         out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
         written = [n.split("=", 1)[1] for n in self._fs.list_names(f"v{version:08d}") if n.startswith(BUCKET_COL + "=")]
         return [int(b) for b in written]
