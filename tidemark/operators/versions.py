@@ -118,7 +118,7 @@ def stamp_versions(prev: DataFrame | None, curr: DataFrame, keys: Sequence[str],
     return same.unionByName(fresh)
 
 
-def capture_deletes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base: int, at,
+def capture_deletes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base: int, at=None,
                     track: Sequence[str] = (), version_col: str = ROW_VERSION) -> DataFrame:
     """Delete-log rows for keys of ``prev`` absent from ``curr``: new ``rv`` (above ``base``, key order), ``dt`` =
     ``at``, ``sourcerv`` = the row's last version, keys and tracked columns.  Anti-join by key (one shuffle)."""
@@ -126,7 +126,8 @@ def capture_deletes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base:
     gone = prev.join(curr.select(*keys), list(keys), "left_anti")
     gone = gone.select(F.col(version_col).alias("sourcerv"), *keys, *track)
     numbered = number_rows(gone, list(keys), base, "rv")
-    return numbered.select("rv", ts_literal(at).alias("dt"), "sourcerv", *keys, *track)
+    dt = F.localtimestamp() if at is None else ts_literal(at)
+    return numbered.select("rv", dt.alias("dt"), "sourcerv", *keys, *track)
 
 
 def current_version(table: DataFrame, delete_log: DataFrame | None = None, version_col: str = ROW_VERSION) -> int:

@@ -20,6 +20,7 @@ from ..plans.spec import SOURCE_VERSION, VersionWindow, feed_schema
 from ..plans.sync import sync_table
 from ..session import checkpoint_dir, scratch_path
 from ..sources.bucketed import BucketedTable
+from ..sources.changelog import BLOCK_COL, ChangeLog
 from ..sources.runlog import RunLog
 
 
@@ -39,6 +40,8 @@ def sync_stream(spark: SparkSession, change_dir: str, schema: T.StructType, targ
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         checkpoint_dir(batch.sparkSession)
+        if BLOCK_COL in batch.columns:
+            batch = batch.drop(BLOCK_COL)
         # Materialise the collapsed batch once (shared checkpoint folder): the stats, the touched-bucket list and
         # the apply all read it.
         stage = latest_per_key(batch, keys, SOURCE_VERSION).checkpoint(eager=True)
@@ -94,7 +97,7 @@ def sync_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same three windows published as change files and applied by a Structured Streaming query."""
     fx = Fixtures(spark, sf_dir)
     root = scratch_path(spark, "sync-stream")
-    change_dir = f"{root}/changes"
+    change_log = ChangeLog(spark, f"{root}/changes", list(FEED_KEYS), block=max(fx.hi // 8, 1))
     ends = _window_ends(fx)
     prev = 0
     schema = None
@@ -103,12 +106,13 @@ def sync_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         w = VersionWindow(prev, v)
         ch = extract_snapshot(src, w) if w.is_snapshot else extract_changes(src, dels, list(FEED_KEYS), w)
         schema = schema or ch.schema
-        publish_window(ch, change_dir)
+        change_log.append(ch)          # the publisher's side: one append per window, by version block
         prev = v
     target = BucketedTable(spark, f"{root}/target", list(FEED_KEYS), num_buckets=16)
     empty = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != "rpl_operation"]))
     target.write_full(empty)
-    q = sync_stream(spark, change_dir, schema, target, f"{root}/checkpoint", list(FEED_KEYS),
-                    RunLog(spark, f"{root}/log"), max_files_per_trigger=4)
+    stream_schema = T.StructType(schema.fields + [T.StructField(BLOCK_COL, T.LongType())])
+    q = sync_stream(spark, change_log.root, stream_schema, target, f"{root}/checkpoint", list(FEED_KEYS),
+                    RunLog(spark, f"{root}/log"), max_files_per_trigger=8)
     q.awaitTermination()
     return target.read()
