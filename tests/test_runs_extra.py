@@ -88,3 +88,17 @@ def test_baseline_run_sets_mark(spark):
     assert (r["rv_from"], r["rv_to"], r["success"], r["total_rows"], r["message"]) == (0, 12345, 1, -1,
                                                                                         "Fake Initialization")
     assert runs.high_water_mark(log.runs()).first()["hwm"] == 12345
+
+
+def test_orderings_and_describe(spark, fx01):
+    from tidemark.plans.spec import describe_columns
+    t = spark.createDataFrame([("s", "b", 5), ("s", "a", None), ("r", "c", 1)],
+                              "schema_name string, table_name string, initial_row_count bigint")
+    assert [r["table_name"] for r in runs.ordered_tables(t).collect()] == ["a", "c", "b"]
+    cols = describe_columns(fx01.table("orders"), keys=["o_orderkey"])
+    assert cols[0]["column_name"] == "o_orderkey" and cols[0]["is_key"] and cols[0]["data_type"] == "bigint"
+
+
+def test_sync_logs_sizes(spark, fx01):
+    from tidemark.sources.tables import input_kbs
+    assert input_kbs(fx01.table("orders")) > 0

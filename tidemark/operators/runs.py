@@ -198,3 +198,13 @@ def delayed_version(checkpoints: DataFrame, now, current: int, lag_seconds: int
     if row is None or row["rv"] is None or row["age"] > stale_minutes:
         return int(current)
     return int(row["rv"])
+
+
+def ordered_tables(tables: DataFrame) -> DataFrame:
+    """Table list in load order: smallest first (unknown size first), then by name."""
+    return tables.orderBy(F.col("initial_row_count").asc_nulls_first(), "schema_name", "table_name")
+
+
+def ordered_subscriptions(subscriptions: DataFrame) -> DataFrame:
+    """Subscriptions in run order: sequence (unset first), then id."""
+    return subscriptions.orderBy(F.col("subscription_sequence").asc_nulls_first(), "subscription_id")

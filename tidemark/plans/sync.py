@@ -13,6 +13,7 @@ from ..operators.runs import high_water_mark
 from ..operators.versions import current_version
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog
+from ..sources.tables import input_kbs
 from .spec import VersionWindow
 
 
@@ -36,15 +37,16 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
         if window.is_snapshot:
             snap = extract_snapshot(source, window)
             target.write_full(load_full(snap))
-            rows = target.read().count()
-            log.log_table(run_id, name, rows)
+            loaded = target.read()
+            rows = loaded.count()
+            log.log_table(run_id, name, rows, input_kbs(loaded))
             stats = dict(mode="full", rows=rows)
         else:
             changes = extract_changes(source, delete_log, keys, window)
             stage = stage_changes(changes, f"{stage_root.rstrip('/')}/run={run_id}/{name}")
             rows = stage.count()
             applied = target.apply(stage, identity=identity, stage_rows=rows)
-            log.log_table(run_id, f"stg_{name}", rows)
+            log.log_table(run_id, f"stg_{name}", rows, input_kbs(stage))
             stats = dict(mode="incremental", rows=rows, **applied)
         log.end_run(run_id, True, "ok", now)
         return dict(run_id=run_id, rv_from=rv_from, rv_to=current, **stats)

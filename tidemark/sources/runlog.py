@@ -15,8 +15,8 @@ from ..functions.versions import BEGINNING
 
 LOG_SCHEMA = ("import_log_id bigint, subscription_id bigint, seq bigint, rv_from bigint, rv_to bigint, "
               "start_date timestamp_ntz, end_date timestamp_ntz, success int, total_rows bigint, rv_total_rows bigint, "
-              "use_stage boolean, message string")
-DETAIL_SCHEMA = "import_log_id bigint, table_name string, total_rows bigint, seq bigint"
+              "total_kbs bigint, use_stage boolean, message string")
+DETAIL_SCHEMA = "import_log_id bigint, table_name string, total_rows bigint, total_kbs bigint, seq bigint"
 BASELINE_MESSAGE = "Fake Initialization"
 
 
@@ -74,28 +74,32 @@ class RunLog:
         last = self.entries().agg(F.max("import_log_id")).first()[0]
         run_id = int(last or 0) + 1
         row = (run_id, subscription_id, self._next_seq(), rv_from, rv_to, _now(now), None, 0, None, rv_to - rv_from,
-               rv_from != BEGINNING, None)
+               None, rv_from != BEGINNING, None)
         self._append(self._log_path, [row], LOG_SCHEMA)
         self._open[run_id] = dict(zip(["import_log_id", "subscription_id", "seq", "rv_from", "rv_to", "start_date",
-                                       "end_date", "success", "total_rows", "rv_total_rows", "use_stage", "message"],
-                                      row))
+                                       "end_date", "success", "total_rows", "rv_total_rows", "total_kbs", "use_stage",
+                                       "message"], row))
         self._rows[run_id] = {}
         return run_id
 
-    def log_table(self, run_id: int, table_name: str, rows: int) -> None:
-        self._append(self._detail_path, [(run_id, table_name, int(rows), self._next_seq())], DETAIL_SCHEMA)
+    def log_table(self, run_id: int, table_name: str, rows: int, kbs: int | None = None) -> None:
+        self._append(self._detail_path, [(run_id, table_name, int(rows), kbs, self._next_seq())], DETAIL_SCHEMA)
         if run_id in self._rows:
-            self._rows[run_id][table_name] = int(rows)
+            self._rows[run_id][table_name] = (int(rows), kbs)
 
     def end_run(self, run_id: int, success: bool, message: str = "", now=None) -> int:
         """Close a run: totals from its detail rows (NULL → 0), end date, success flag and message."""
         cur = self._open.pop(run_id, None) or self.runs().where(F.col("import_log_id") == run_id).first()
         if run_id in self._rows:
-            total = sum(self._rows.pop(run_id).values())
+            logged = list(self._rows.pop(run_id).values())
+            total = sum(r for r, _ in logged)
+            kbs = sum(k for _, k in logged if k is not None) if any(k is not None for _, k in logged) else None
         else:
-            total = self.detail().where(F.col("import_log_id") == run_id).agg(F.sum("total_rows")).first()[0] or 0
+            agg = (self.detail().where(F.col("import_log_id") == run_id)
+                   .agg(F.sum("total_rows"), F.sum("total_kbs")).first())
+            total, kbs = agg[0] or 0, agg[1]
         row = (run_id, cur["subscription_id"], self._next_seq(), cur["rv_from"], cur["rv_to"], cur["start_date"],
-               _now(now), 1 if success else 0, int(total), cur["rv_total_rows"], cur["use_stage"], message)
+               _now(now), 1 if success else 0, int(total), cur["rv_total_rows"], kbs, cur["use_stage"], message)
         self._append(self._log_path, [row], LOG_SCHEMA)
         return int(total)
 
@@ -105,5 +109,5 @@ class RunLog:
         run_id = int(last or 0) + 1
         t = _now(now)
         self._append(self._log_path, [(run_id, subscription_id, self._next_seq(), BEGINNING, rv_to, t, t, 1, -1, -1,
-                                       False, BASELINE_MESSAGE)], LOG_SCHEMA)
+                                       None, False, BASELINE_MESSAGE)], LOG_SCHEMA)
         return run_id
