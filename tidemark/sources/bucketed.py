@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.apply import DEFAULT_BROADCAST_LIMIT, apply_changes
+from .fs import HadoopFs
 
 BUCKET_COL = "tm_bucket"
 SLICE_SEED = 7919        # seeds the second hash that splits a bucket over several write tasks
@@ -25,50 +26,6 @@ def bucket_of(keys: Sequence[str], num_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
 
-class _Fs:
-    """Small-file access through the session's Hadoop file system (works for local, HDFS and object stores)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        jvm = spark._jvm
-        self.jvm = jvm
-        self.conf = spark._jsc.hadoopConfiguration()
-        self.root = jvm.org.apache.hadoop.fs.Path(root)
-        self.fs = self.root.getFileSystem(self.conf)
-
-    def path(self, *parts):
-        p = self.root
-        for x in parts:
-            p = self.jvm.org.apache.hadoop.fs.Path(p, x)
-        return p
-
-    def list_names(self, *parts) -> list:
-        p = self.path(*parts)
-        if not self.fs.exists(p):
-            return []
-        return [s.getPath().getName() for s in self.fs.listStatus(p)]
-
-    def write_text(self, text: str, *parts) -> None:
-        final = self.path(*parts)
-        tmp = self.jvm.org.apache.hadoop.fs.Path(final.getParent(), "." + final.getName() + ".tmp")
-        out = self.fs.create(tmp, True)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-        if not self.fs.rename(tmp, final):
-            self.fs.delete(tmp, False)
-            raise IOError(f"could not publish {final}")
-
-    def read_text(self, *parts) -> str:
-        stream = self.fs.open(self.path(*parts))
-        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        reader.close()
-        return "\n".join(lines)
-
-
 class BucketedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int = 64,
                  version_col: str = "sourcerv"):
@@ -77,7 +34,7 @@ class BucketedTable:
         self.keys = list(keys)
         self.num_buckets = num_buckets
         self.version_col = version_col
-        self._fs = _Fs(spark, self.root)
+        self._fs = HadoopFs(spark, self.root)
 
     # ---- manifest -----------------------------------------------------------------------------------------------
     def versions(self) -> list:

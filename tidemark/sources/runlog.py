@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.extract import latest_per_key
 from ..functions.versions import BEGINNING
+from .fs import HadoopFs
 
 LOG_SCHEMA = ("import_log_id bigint, subscription_id bigint, seq bigint, rv_from bigint, rv_to bigint, "
               "start_date timestamp_ntz, end_date timestamp_ntz, success int, total_rows bigint, rv_total_rows bigint, "
@@ -41,9 +42,7 @@ class RunLog:
         return f"{self.root}/import_log_detail"
 
     def _has(self, path) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return HadoopFs(self.spark, path).exists()
 
     def _append(self, path, rows, schema):
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)

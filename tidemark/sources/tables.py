@@ -26,11 +26,6 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 def input_kbs(df: DataFrame) -> int:
     """Size on storage of the files behind ``df`` in KB (file lengths from the Hadoop file system; the driver sees
     one length per file, never rows)."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    from .fs import file_length
+    total = sum(file_length(df.sparkSession, f) for f in df.inputFiles())
     return (total + 1023) // 1024
