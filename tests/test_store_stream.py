@@ -113,3 +113,16 @@ def test_changelog_window_prunes_blocks(spark, fx01):
     files = set(w.select(F.input_file_name()).distinct().collect())
     assert len(files) <= 3                          # blocks 8 and 9 only, out of 11
     assert w.count() == rec.where("sourcerv > 8000 AND sourcerv <= 9000").count()
+
+
+def test_bucket_apply_plans_agree(spark, fx01):
+    outs = []
+    for strategy in ("broadcast", "shuffle"):
+        root = tempfile.mkdtemp(prefix=f"tm-{strategy}-")
+        t = BucketedTable(spark, root, K, num_buckets=8)
+        t.write_full(fx01.tgt)
+        t.apply(fx01.stg, strategy=strategy)
+        outs.append(t.read())
+    assert _same(outs[0], outs[1])
+    assert _same(outs[1], fx01.src.withColumnRenamed("rv", "sourcerv"))
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"

@@ -20,6 +20,7 @@ from .fs import HadoopFs
 
 BUCKET_COL = "tm_bucket"
 SLICE_SEED = 7919        # seeds the second hash that splits a bucket over several write tasks
+SLICE_COL = "tm_slice"
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int):
@@ -91,6 +92,36 @@ class BucketedTable:
         written = [n.split("=", 1)[1] for n in self._fs.list_names(f"v{version:08d}") if n.startswith(BUCKET_COL + "=")]
         return [int(b) for b in written]
 
+    def _apply_co_partitioned(self, target: DataFrame, stage: DataFrame, identity, guard, schema, version: int,
+                              touched: int) -> list:
+        """Shuffle plan: both sides are hash-partitioned once by (bucket, slice) and joined on (bucket, slice,
+        keys).  With ``requireAllClusterKeysForCoPartition`` off for this write, the sort-merge join accepts that
+        partitioning as is, and every output task holds one slice of one bucket — one shuffle per side, one file
+        per task."""
+        k = max(1, -(-target.rdd.getNumPartitions() // max(touched, 1)))
+        n = self.num_buckets * k
+
+        def spread(df):
+            sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
+            return (df.withColumn(BUCKET_COL, bucket_of(self.keys, self.num_buckets)).withColumn(SLICE_COL, sub)
+                    .repartition(n, F.col(BUCKET_COL), F.col(SLICE_COL)))
+
+        merged = apply_changes(spread(target), spread(stage), [BUCKET_COL, SLICE_COL, *self.keys], identity,
+                               strategy="shuffle", guard=guard)
+        out = merged.select(*schema.fieldNames(), BUCKET_COL)
+        if self.version_col in schema.fieldNames():
+            out = out.sortWithinPartitions(BUCKET_COL, self.version_col)
+        folder = f"{self.root}/v{version:08d}"
+        key = "spark.sql.requireAllClusterKeysForCoPartition"
+        before = self.spark.conf.get(key, "true")
+        self.spark.conf.set(key, "false")
+        try:
+            out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
+        finally:
+            self.spark.conf.set(key, before)
+        return [int(n_.split("=", 1)[1]) for n_ in self._fs.list_names(f"v{version:08d}")
+                if n_.startswith(BUCKET_COL + "=")]
+
     def write_full(self, df: DataFrame) -> int:
         """Replace the whole table (initial load)."""
         vs = self.versions()
@@ -115,10 +146,13 @@ class BucketedTable:
         if plan == "auto":
             from ..operators.apply import choose_strategy
             plan, stage = choose_strategy(stage, "auto", DEFAULT_BROADCAST_LIMIT, stage_rows)
-        new_rows = apply_changes(target, stage, self.keys, identity, strategy=plan, guard=guard, stage_rows=stage_rows)
         version = m["version"] + 1
-        # broadcast plan: output tasks follow the bucket folders read; shuffle plan: re-spread by bucket
-        written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=(plan == "broadcast")))
+        if plan == "broadcast":
+            # output tasks follow the bucket folders read: each writes into its own bucket
+            new_rows = apply_changes(target, stage, self.keys, identity, strategy="broadcast", guard=guard)
+            written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=True))
+        else:
+            written = set(self._apply_co_partitioned(target, stage, identity, guard, schema, version, len(touched)))
         buckets = {int(b): f for b, f in m["buckets"].items()}
         for b in touched:
             if b in written:
