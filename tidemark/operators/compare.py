@@ -23,6 +23,8 @@ MISSING_IN_PUBLISHER = "Missing in Publisher"
 MISSING_IN_SUBSCRIBER = "Missing in Subscriber"
 COLUMN_MISMATCH = "Column does not match [{}]"
 MATCHED = "Matched"
+# Fixed value: name prefix of replicated checkpoint copies, which a multi-table compare leaves out.
+CHECKPOINT_COPY_PREFIX = "DatesFromSubscription"
 GRACE_MINUTES = 15
 MAX_ROWS = 100_000
 DAYS = 1
@@ -132,7 +134,7 @@ def repair_from_diff(diff: DataFrame, pub: DataFrame, keys: Sequence[str], base:
     return patched, deletes
 
 
-def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = "DatesFromSubscription", max_rows: int | None = None,
+def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = CHECKPOINT_COPY_PREFIX, max_rows: int | None = None,
                 **kw) -> DataFrame:
     """Compare many tables (dict name → (pub, sub)) and union their summaries.
 
