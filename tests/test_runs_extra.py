@@ -102,3 +102,11 @@ def test_orderings_and_describe(spark, fx01):
 def test_sync_logs_sizes(spark, fx01):
     from tidemark.sources.tables import input_kbs
     assert input_kbs(fx01.table("orders")) > 0
+
+
+def test_double_read_with_one_success(spark):
+    log = spark.createDataFrame([(1, 7, 100, 1), (2, 7, 200, 0), (3, 8, 50, 0)],
+                                "import_log_id bigint, subscription_id bigint, rv_to bigint, success int")
+    single = dict(map(tuple, runs.high_water_mark(log).collect()))
+    double = dict(map(tuple, runs.high_water_mark(log, double_read=True).collect()))
+    assert single == {7: 100, 8: 0} and double == {7: 100, 8: 0}
