@@ -195,6 +195,17 @@ def due_feeds(spark, sf_dir):
     return runs.due_feeds(fx.subscriptions, fx.import_log, DUE_AT)
 
 
+def due_feeds_forced(spark, sf_dir):
+    """Group 2, subscription 2 forced: the inactive feed runs anyway, other group-2 feeds by the normal rule."""
+    fx = _fx(spark, sf_dir)
+    return runs.due_feeds(fx.subscriptions, fx.import_log, DUE_AT, priority_group=2, subscription_id=2)
+
+
+def run_status(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return runs.run_status(fx.subscriptions, fx.import_log, DUE_AT, delay_alert_minutes=60)
+
+
 def recent_runs(spark, sf_dir):
     return runs.recent_runs(_fx(spark, sf_dir).import_log, 10)
 
@@ -362,6 +373,8 @@ QUERIES = {
     "high_water_mark_double": high_water_mark_double,
     "open_run": open_run,
     "due_feeds": due_feeds,
+    "due_feeds_forced": due_feeds_forced,
+    "run_status": run_status,
     "recent_runs": recent_runs,
     "latest_run": latest_run,
     "run_detail_view": run_detail_view,
