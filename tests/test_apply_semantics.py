@@ -141,3 +141,18 @@ def test_auto_strategy_measures_stage(spark, fx01):
     assert "BroadcastHashJoin" in small_plan and "SortMergeJoin" not in small_plan
     assert "SortMergeJoin" in big_plan
     assert _same(small, big)
+
+
+@pytest.mark.parametrize("seed", [11, 29])
+def test_random_splits_converge(fx01, seed):
+    import random
+    rnd = random.Random(seed)
+    cuts = sorted(rnd.sample(range(1, fx01.hi), 4)) + [fx01.hi]
+    prev, target = 0, None
+    for v in cuts:
+        src, dels = _state_at(fx01, v)
+        w = VersionWindow(prev, v)
+        target = (ap.load_full(extract_snapshot(src, w)) if w.is_snapshot
+                  else ap.apply_changes(target, extract_changes(src, dels, K, w), K).checkpoint())
+        prev = v
+    assert _same(target, fx01.src.withColumnRenamed("rv", "sourcerv"))

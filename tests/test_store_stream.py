@@ -126,3 +126,16 @@ def test_bucket_apply_plans_agree(spark, fx01):
     assert _same(outs[0], outs[1])
     assert _same(outs[1], fx01.src.withColumnRenamed("rv", "sourcerv"))
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_sync_table_double_read(spark, fx01):
+    root = tempfile.mkdtemp(prefix="tm-dbl-")
+    target = BucketedTable(spark, f"{root}/t", K, num_buckets=4)
+    log = RunLog(spark, f"{root}/log")
+    ends = [3000, 6000, 8000, fx01.hi]
+    for v in ends:
+        src, dels = _source_at(fx01, v)
+        sync_table(spark, "feed", K, src, dels, target, log, 1, f"{root}/stage", current=v, double_read=True)
+    runs = [(r["rv_from"], r["rv_to"]) for r in log.runs().orderBy("import_log_id").collect()]
+    assert runs == [(0, 3000), (3000, 6000), (3000, 8000), (6000, fx01.hi)]
+    assert _same(target.read(), fx01.src.withColumnRenamed("rv", "sourcerv"))
