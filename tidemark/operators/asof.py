@@ -138,7 +138,9 @@ def range_join(points: DataFrame, intervals: DataFrame, point_col: str, lo_col:
     r = intervals.agg(F.min(lo_col).alias("lo"), F.max(hi_col).alias("hi"), F.count(F.lit(1)).alias("n"),
                       F.sum(F.greatest(F.col(hi_col) - F.col(lo_col), F.lit(0)).cast("decimal(38,0)")).alias("span")).first()
     if not r["n"]:
-        return points.join(intervals, F.lit(False), "inner")
+        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields
+                 if f.name not in points.columns]
+        return points.select("*", *extra).where(F.lit(False))
     lo, hi = int(r["lo"]), int(r["hi"])
     width = max((hi - lo) // BUCKETS + 1, 1)
     # Upper bound of the exploded rows: every interval covers at most (length / width + 2) buckets.

@@ -84,9 +84,8 @@ def version_stamp(spark, sf_dir):
 
 def current_version(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    a = fx.src.agg(F.max("rv").alias("_a"))
-    b = fx.del_log.agg(F.max("rv").alias("_b"))
-    return a.crossJoin(b).select(F.greatest("_a", "_b").alias("current_version"))
+    versions_ = fx.src.select("rv").unionByName(fx.del_log.select("rv"))
+    return versions_.agg(F.max("rv").alias("current_version"))
 
 
 # ---- apply --------------------------------------------------------------------------------------------------------
