@@ -139,3 +139,15 @@ def test_sync_table_double_read(spark, fx01):
     runs = [(r["rv_from"], r["rv_to"]) for r in log.runs().orderBy("import_log_id").collect()]
     assert runs == [(0, 3000), (3000, 6000), (3000, 8000), (6000, fx01.hi)]
     assert _same(target.read(), fx01.src.withColumnRenamed("rv", "sourcerv"))
+
+
+def test_sync_with_compressed_column(spark, fx01):
+    root = tempfile.mkdtemp(prefix="tm-gz-")
+    target = BucketedTable(spark, f"{root}/t", K, num_buckets=4)
+    log = RunLog(spark, f"{root}/log")
+    for v in (5000, fx01.hi):
+        src, dels = _source_at(fx01, v)
+        sync_table(spark, "feed", K, src, dels, target, log, 1, f"{root}/stage", current=v, compress=["event_type"])
+    staged = spark.read.parquet(f"{root}/stage/run=2/feed")
+    assert dict(staged.dtypes)["event_type"] == "binary"
+    assert _same(target.read(), fx01.src.withColumnRenamed("rv", "sourcerv"))

@@ -33,7 +33,7 @@ def sync_feed(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str,
         log = RunLog(spark, f"{log_root}/{spec.local_name}")
         results.append(sync_table(spark, spec.local_name, spec.key_columns, src, dels, target, log, subscription_id,
                                   f"{target_root}/_stage", current=current, initialize=spec.initialize,
-                                  identity=spec.identity_columns))
+                                  identity=spec.identity_columns, compress=spec.compress_columns))
         last = results[-1]
         for routine in spec.routines:
             out = routine(spark, VersionWindow(last["rv_from"], last["rv_to"]))

@@ -6,6 +6,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.compress import compress_columns, decompress_columns
 from ..functions.versions import BEGINNING
 from ..operators.apply import load_full, stage_changes
 from ..operators.extract import extract_changes, extract_snapshot
@@ -19,11 +20,13 @@ from .spec import VersionWindow
 
 def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: DataFrame, delete_log: DataFrame | None,
                target: BucketedTable, log: RunLog, subscription_id: int, stage_root: str, current: int | None = None,
-               initialize: bool = False, double_read: bool = False, identity: Sequence[str] = (), now=None) -> dict:
+               initialize: bool = False, double_read: bool = False, identity: Sequence[str] = (), now=None,
+               compress: Sequence[str] = ()) -> dict:
     """Bring ``target`` up to ``current`` (default: the source's current version) and log the run.
 
     No successful run yet, an initialise request, or no target → full load of the snapshot (no stage).  Otherwise
     the changes of (mark, current] are collapsed per key, written to a stage folder, and applied bucket-wise.
+    ``compress`` columns travel gzip-compressed in the staged incremental feed and are decompressed at apply.
     A failure closes the run with success 0, so the next run covers the window again.
     """
     if current is None:
@@ -43,9 +46,12 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
             stats = dict(mode="full", rows=rows)
         else:
             changes = extract_changes(source, delete_log, keys, window)
+            if compress:
+                changes = compress_columns(changes, compress)
             stage = stage_changes(changes, f"{stage_root.rstrip('/')}/run={run_id}/{name}")
             rows = stage.count()
-            applied = target.apply(stage, identity=identity, stage_rows=rows)
+            to_apply = decompress_columns(stage, compress) if compress else stage
+            applied = target.apply(to_apply, identity=identity, stage_rows=rows)
             log.log_table(run_id, f"stg_{name}", rows, input_kbs(stage))
             stats = dict(mode="incremental", rows=rows, **applied)
         log.end_run(run_id, True, "ok", now)
