@@ -110,3 +110,11 @@ def test_double_read_with_one_success(spark):
     single = dict(map(tuple, runs.high_water_mark(log).collect()))
     double = dict(map(tuple, runs.high_water_mark(log, double_read=True).collect()))
     assert single == {7: 100, 8: 0} and double == {7: 100, 8: 0}
+
+
+def test_sync_feed_parallel(spark, fx01):
+    root = tempfile.mkdtemp(prefix="tm-feedp-")
+    specs = [FeedSpec(n, [k], source=(lambda sp, n=n, k=k: fx01.table(n).withColumn("rv", F.col(k) + 1)))
+             for n, k in (("customer", "c_custkey"), ("nation", "n_nationkey"), ("supplier", "s_suppkey"))]
+    out = sync_feed(spark, specs, f"{root}/t", f"{root}/log", 1, current=10_000, num_buckets=4, parallel=3)
+    assert sorted(r["rows"] for r in out) == sorted([fx01.table(n).count() for n in ("customer", "nation", "supplier")])

@@ -13,30 +13,38 @@ from .sync import sync_table
 
 
 def sync_feed(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str, log_root: str, subscription_id: int,
-              current: int | None = None, num_buckets: int = 64, order_by_size: bool = True) -> list:
-    """Sync each table of the feed into ``target_root/<local name>`` with its own mark, then run routines.
+              current: int | None = None, num_buckets: int = 64, order_by_size: bool = True, parallel: int = 1) -> list:
+    """Sync each table of the feed into ``target_root/<local name>`` with its own mark, then run its routines.
 
-    Sources are resolved from the spec (a callable giving the current table, or the table's own name); the order
-    is by source row count (small first), as the table list of a subscription is.
+    Sources are resolved from the spec (a callable giving the current table).  Tables go smallest first, as a
+    subscription's table list does; with ``parallel > 1`` independent tables are submitted from a thread pool
+    (Spark runs jobs of several driver threads side by side; each table has its own store and run log).
     """
-    results = []
     tables = [s for s in specs if s.source is not None]
     if order_by_size and len(tables) > 1:
         sizes = {s.name: s.source(spark).count() for s in tables}
         tables = sorted(tables, key=lambda s: (sizes[s.name], s.name))
-    for i, spec in enumerate(tables):
+
+    def one(spec: FeedSpec) -> list:
         src = spec.source(spark)
         dels = spec.delete_log(spark) if spec.delete_log else None
         if spec.ignore_columns:
             src = src.drop(*spec.ignore_columns)
         target = BucketedTable(spark, f"{target_root}/{spec.local_name}", spec.key_columns, num_buckets)
         log = RunLog(spark, f"{log_root}/{spec.local_name}")
-        results.append(sync_table(spark, spec.local_name, spec.key_columns, src, dels, target, log, subscription_id,
-                                  f"{target_root}/_stage", current=current, initialize=spec.initialize,
-                                  identity=spec.identity_columns, compress=spec.compress_columns))
-        last = results[-1]
+        res = [sync_table(spark, spec.local_name, spec.key_columns, src, dels, target, log, subscription_id,
+                          f"{target_root}/_stage", current=current, initialize=spec.initialize,
+                          identity=spec.identity_columns, compress=spec.compress_columns)]
         for routine in spec.routines:
-            out = routine(spark, VersionWindow(last["rv_from"], last["rv_to"]))
-            results.append(dict(routine=getattr(routine, "__name__", "routine"),
-                                rows=out.count() if out is not None else 0))
-    return results
+            out = routine(spark, VersionWindow(res[0]["rv_from"], res[0]["rv_to"]))
+            res.append(dict(routine=getattr(routine, "__name__", "routine"),
+                            rows=out.count() if out is not None else 0))
+        return res
+
+    if parallel > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            parts = list(pool.map(one, tables))
+    else:
+        parts = [one(t) for t in tables]
+    return [r for part in parts for r in part]
