@@ -156,3 +156,20 @@ def test_random_splits_converge(fx01, seed):
                   else ap.apply_changes(target, extract_changes(src, dels, K, w), K).checkpoint())
         prev = v
     assert _same(target, fx01.src.withColumnRenamed("rv", "sourcerv"))
+
+
+def test_publish_snapshots_then_sync(spark, fx01):
+    from tidemark.plans.publish import publish_snapshot
+    orders = fx01.table("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    snap2 = (orders.where("o_orderkey % 13 <> 0")
+             .withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 17 == 0, "Z").otherwise(F.col("o_orderstatus")))
+             .unionByName(orders.where("o_orderkey % 19 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 10**7)))
+    v1, _, mark1 = publish_snapshot(None, orders, ["o_orderkey"])
+    v2, dels, mark2 = publish_snapshot(v1, snap2, ["o_orderkey"], at="2024-02-01 00:00:00")
+    assert dels.count() == orders.where("o_orderkey % 13 = 0").count()
+    subscriber = ap.load_full(extract_snapshot(v1, VersionWindow(0, mark1)))
+    stage = extract_changes(v2, dels, ["o_orderkey"], VersionWindow(mark1, mark2))
+    synced = ap.apply_changes(subscriber, stage, ["o_orderkey"]).drop("sourcerv")
+    assert _same(synced, snap2)
+    unchanged = v2.join(v1, ["o_orderkey", "o_orderstatus", "o_totalprice", "rv"], "left_semi").count()
+    assert unchanged == snap2.join(orders, ["o_orderkey", "o_orderstatus", "o_totalprice"], "left_semi").count()
