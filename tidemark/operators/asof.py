@@ -11,8 +11,6 @@ running max run inside each range, and a per-range summary (≤ ``BUCKETS`` rows
 """
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.spec import ROW_VERSION, user_columns
-from .extract import latest_per_key
 from ..session import checkpoint_dir
 
 # Largest number of version values one (key, segment) window may cover.

@@ -4,7 +4,6 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog

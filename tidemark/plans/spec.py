@@ -1,7 +1,7 @@
 """Feed configuration and column lists, derived from ``df.schema`` at call time."""
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable, Optional, Sequence
 
 from pyspark.sql import DataFrame

@@ -2,7 +2,6 @@
 them.  Names and output columns match ``oracle.ORACLE_SQL``."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.defaults import fill_type_defaults

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators.extract import extract_changes, extract_snapshot, latest_per_key
 from ..plans.fixtures import FEED_KEYS, Fixtures
-from ..plans.spec import SOURCE_VERSION, VersionWindow, feed_schema
+from ..plans.spec import SOURCE_VERSION, VersionWindow
 from ..plans.sync import sync_table
 from ..session import checkpoint_dir, scratch_path
 from ..sources.bucketed import BucketedTable
