@@ -9,6 +9,7 @@ failed apply leaves the previous version intact, and old versions stay readable.
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,18 @@ SLICE_SEED = 7919        # seeds the second hash that splits a bucket over sever
 SLICE_COL = "tm_slice"
 
 
+@contextmanager
+def co_partition_on_subset(spark: SparkSession):
+    """Let a sort-merge join accept children hash-partitioned on a subset of its keys (here: bucket, slice)."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bucket_of(keys: Sequence[str], num_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
@@ -92,33 +105,33 @@ class BucketedTable:
         written = [n.split("=", 1)[1] for n in self._fs.list_names(f"v{version:08d}") if n.startswith(BUCKET_COL + "=")]
         return [int(b) for b in written]
 
-    def _apply_co_partitioned(self, target: DataFrame, stage: DataFrame, identity, guard, schema, version: int,
-                              touched: int) -> list:
-        """Shuffle plan: both sides are hash-partitioned once by (bucket, slice) and joined on (bucket, slice,
-        keys).  With ``requireAllClusterKeysForCoPartition`` off for this write, the sort-merge join accepts that
-        partitioning as is, and every output task holds one slice of one bucket — one shuffle per side, one file
-        per task."""
-        k = max(1, -(-target.rdd.getNumPartitions() // max(touched, 1)))
-        n = self.num_buckets * k
+    def co_partitioned_rows(self, target: DataFrame, stage: DataFrame, identity=(), guard: str = "changed",
+                            slices: int = 1) -> DataFrame:
+        """New rows of the touched buckets, with target and stage each hash-partitioned once by (bucket, slice)
+        and joined on (bucket, slice, keys); carries the bucket column for the write."""
+        n = self.num_buckets * slices
 
         def spread(df):
-            sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
+            sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(slices))
             return (df.withColumn(BUCKET_COL, bucket_of(self.keys, self.num_buckets)).withColumn(SLICE_COL, sub)
                     .repartition(n, F.col(BUCKET_COL), F.col(SLICE_COL)))
 
-        merged = apply_changes(spread(target), spread(stage), [BUCKET_COL, SLICE_COL, *self.keys], identity,
-                               strategy="shuffle", guard=guard)
+        return apply_changes(spread(target), spread(stage), [BUCKET_COL, SLICE_COL, *self.keys], identity,
+                             strategy="shuffle", guard=guard)
+
+    def _apply_co_partitioned(self, target: DataFrame, stage: DataFrame, identity, guard, schema, version: int,
+                              touched: int) -> list:
+        """Shuffle plan: with ``requireAllClusterKeysForCoPartition`` off for this write, the sort-merge join
+        accepts the (bucket, slice) partitioning of both sides as is, and every output task holds one slice of one
+        bucket — one shuffle per side, one file per task."""
+        k = max(1, -(-target.rdd.getNumPartitions() // max(touched, 1)))
+        merged = self.co_partitioned_rows(target, stage, identity, guard, k)
         out = merged.select(*schema.fieldNames(), BUCKET_COL)
         if self.version_col in schema.fieldNames():
             out = out.sortWithinPartitions(BUCKET_COL, self.version_col)
         folder = f"{self.root}/v{version:08d}"
-        key = "spark.sql.requireAllClusterKeysForCoPartition"
-        before = self.spark.conf.get(key, "true")
-        self.spark.conf.set(key, "false")
-        try:
+        with co_partition_on_subset(self.spark):
             out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
-        finally:
-            self.spark.conf.set(key, before)
         return [int(n_.split("=", 1)[1]) for n_ in self._fs.list_names(f"v{version:08d}")
                 if n_.startswith(BUCKET_COL + "=")]
 
