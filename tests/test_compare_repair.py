@@ -43,3 +43,11 @@ def test_compare_all_skips_copies_and_big_tables(spark, fx01):
     assert names == {"orders", "big"}
     skipped = compare.compare_all({"big": (p, s)}, {"big": KEYS}, max_rows=10).collect()
     assert skipped[0]["difference"].startswith("skipped")
+
+
+def test_compared_columns_skip_keys_versions_identity_binary(spark):
+    sub = spark.createDataFrame([(1, 2, "a", bytearray(b"x"), 5)], "k bigint, ident bigint, a string, img binary, sourcerv bigint")
+    pub = spark.createDataFrame([(1, 3, "a", bytearray(b"y"), 6)], "k bigint, ident bigint, a string, img binary, rv bigint")
+    assert compare.compared_columns(sub, ["k"], ["ident"]) == ["a"]
+    assert compare.compare_tables(pub, sub, ["k"], identity=["ident"]).count() == 0
+    assert compare.compare_tables(pub, sub, ["k"]).first()["difference"] == "Column does not match [ident]"

@@ -46,10 +46,11 @@ def _differs(p: Column, s: Column, dtype: T.DataType, nulls: str) -> Column:
 
 
 def classify_pairs(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
-                   pub_version: str = "rv", sub_version: str = "sourcerv", nulls: str = "default") -> DataFrame:
+                   pub_version: str = "rv", sub_version: str = "sourcerv", nulls: str = "default",
+                   identity: Sequence[str] = ()) -> DataFrame:
     """Full outer join of the copies with a ``difference`` for every key (``Matched`` when equal)."""
     keys = list(keys)
-    cols = list(columns) if columns is not None else compared_columns(sub, keys)
+    cols = list(columns) if columns is not None else compared_columns(sub, keys, identity)
     types = {f.name: f.dataType for f in sub.schema.fields}
     p = pub.select(*keys, *[F.col(f"`{c}`").alias(f"publisher_{c}") for c in cols],
                    F.col(pub_version).alias("publisher_rv"), F.lit(True).alias("_p_hit"))
@@ -83,7 +84,8 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
                    checkpoints: DataFrame | None = None, now=None, grace_minutes: int = GRACE_MINUTES,
                    nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv",
                    date_column: str | None = None, days: int = DAYS, max_rows: int | None = None,
-                   ck_version: str = "rv", ck_date: str = "date", include_matched: bool = False) -> DataFrame:
+                   ck_version: str = "rv", ck_date: str = "date", include_matched: bool = False,
+                   identity: Sequence[str] = ()) -> DataFrame:
     """One row per difference: ``Missing in Publisher`` / ``Missing in Subscriber`` / ``Column does not match [c]``
     (first differing column in ``columns`` order), coalesced keys, both sides of each column, both versions and
     ``source_approx_date``.  Differences whose source time is within ``grace_minutes`` of ``now`` are left out
@@ -94,7 +96,7 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
     pub_b, sub_b, _mode = _bounded_inputs(pub, sub, date_column, days, max_rows, now)
     if pub_b is None:
         pub_b, sub_b = pub.limit(0), sub.limit(0)
-    pairs = classify_pairs(pub_b, sub_b, keys, columns, pub_version, sub_version, nulls)
+    pairs = classify_pairs(pub_b, sub_b, keys, columns, pub_version, sub_version, nulls, identity)
     if not include_matched:
         pairs = pairs.where(F.col("difference") != MATCHED)
     if checkpoints is not None:
@@ -108,9 +110,10 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
 
 
 def compare_summary(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
-                    nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv") -> DataFrame:
+                    nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv",
+                    identity: Sequence[str] = ()) -> DataFrame:
     """Count of keys per outcome, ``Matched`` included — the "matched N rows" message as data."""
-    pairs = classify_pairs(pub, sub, keys, columns, pub_version, sub_version, nulls)
+    pairs = classify_pairs(pub, sub, keys, columns, pub_version, sub_version, nulls, identity)
     return pairs.groupBy("difference").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
