@@ -53,3 +53,14 @@ def test_feed_schema_and_key_checks(spark, fx01):
     assert not bad["is_valid"] and bad["distinct_keys"] == 45832
     good = validate_key(fx01.table("orders"), ["o_orderkey"], "orders").first()
     assert good["is_valid"]
+
+
+def test_default_overrides(spark):
+    from tidemark.functions.defaults import DEFAULT_GUID
+    from tidemark.operators.compare import compare_tables
+    df = spark.createDataFrame([(1, None)], "k bigint, g string")
+    assert fill_type_defaults(df, overrides={"g": DEFAULT_GUID}).first()["g"] == DEFAULT_GUID
+    pub = spark.createDataFrame([(1, None, 1)], "k bigint, g string, rv bigint")
+    sub = spark.createDataFrame([(1, DEFAULT_GUID, 1)], "k bigint, g string, sourcerv bigint")
+    assert compare_tables(pub, sub, ["k"]).count() == 1
+    assert compare_tables(pub, sub, ["k"], defaults={"g": DEFAULT_GUID}).count() == 0

@@ -15,6 +15,7 @@ DEFAULT_TEXT = ""
 DEFAULT_NUMBER = 0
 DEFAULT_DATE = _dt.date(1999, 1, 1)
 DEFAULT_DATETIME_TEXT = "1999-01-01 00:00:00"
+DEFAULT_GUID = "00000000-0000-0000-0000-000000000000"   # for GUID columns kept as text (pass as an override)
 
 
 def null_default(dtype: T.DataType) -> Column | None:
@@ -41,13 +42,21 @@ def with_default(col: Column, dtype: T.DataType) -> Column:
     return col if d is None else F.coalesce(col, d)
 
 
-def fill_type_defaults(df: DataFrame, columns=None) -> DataFrame:
+def default_for(name: str, dtype: T.DataType, overrides: dict | None = None) -> Column | None:
+    """The default of one column: an override by column name (e.g. ``DEFAULT_GUID``), else its type default."""
+    if overrides and name in overrides:
+        return F.lit(overrides[name]).cast(dtype)
+    return null_default(dtype)
+
+
+def fill_type_defaults(df: DataFrame, columns=None, overrides: dict | None = None) -> DataFrame:
     """Replace NULL by the type default in ``columns`` (default: all); one projection, no shuffle."""
     wanted = set(columns) if columns is not None else None
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if wanted is None or f.name in wanted:
-            c = with_default(c, f.dataType).alias(f.name)
+            d = default_for(f.name, f.dataType, overrides)
+            c = (c if d is None else F.coalesce(c, d)).alias(f.name)
         out.append(c)
     return df.select(*out)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.defaults import null_default
+from ..functions.defaults import default_for
 from ..functions.timefn import minus_days, minus_minutes, ts_literal
 from ..plans.spec import RESERVED, pick_date_column
 from .asof import asof_join
@@ -36,10 +36,10 @@ def compared_columns(sub: DataFrame, keys: Sequence[str], identity: Sequence[str
     return [f.name for f in sub.schema.fields if f.name not in skip and not isinstance(f.dataType, T.BinaryType)]
 
 
-def _differs(p: Column, s: Column, dtype: T.DataType, nulls: str) -> Column:
+def _differs(p: Column, s: Column, name: str, dtype: T.DataType, nulls: str, defaults: dict | None = None) -> Column:
     if nulls == "strict":
         return ~p.eqNullSafe(s)
-    d = null_default(dtype)
+    d = default_for(name, dtype, defaults)
     if d is None:
         return ~p.eqNullSafe(s)
     return F.coalesce(p, d) != F.coalesce(s, d)
@@ -47,8 +47,9 @@ def _differs(p: Column, s: Column, dtype: T.DataType, nulls: str) -> Column:
 
 def classify_pairs(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
                    pub_version: str = "rv", sub_version: str = "sourcerv", nulls: str = "default",
-                   identity: Sequence[str] = ()) -> DataFrame:
-    """Full outer join of the copies with a ``difference`` for every key (``Matched`` when equal)."""
+                   identity: Sequence[str] = (), defaults: dict | None = None) -> DataFrame:
+    """Full outer join of the copies with a ``difference`` for every key (``Matched`` when equal).
+    ``defaults`` overrides the type default of named columns (e.g. a GUID column kept as text)."""
     keys = list(keys)
     cols = list(columns) if columns is not None else compared_columns(sub, keys, identity)
     types = {f.name: f.dataType for f in sub.schema.fields}
@@ -60,7 +61,7 @@ def classify_pairs(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
     diff = F.when(F.col("_p_hit").isNull(), F.lit(MISSING_IN_PUBLISHER)) \
             .when(F.col("_s_hit").isNull(), F.lit(MISSING_IN_SUBSCRIBER))
     for c in cols:
-        diff = diff.when(_differs(F.col(f"publisher_{c}"), F.col(f"subscriber_{c}"), types[c], nulls),
+        diff = diff.when(_differs(F.col(f"publisher_{c}"), F.col(f"subscriber_{c}"), c, types[c], nulls, defaults),
                          F.lit(COLUMN_MISMATCH.format(c)))
     diff = diff.otherwise(F.lit(MATCHED))
     side_cols = [x for c in cols for x in (f"publisher_{c}", f"subscriber_{c}")]
@@ -85,7 +86,7 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
                    nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv",
                    date_column: str | None = None, days: int = DAYS, max_rows: int | None = None,
                    ck_version: str = "rv", ck_date: str = "date", include_matched: bool = False,
-                   identity: Sequence[str] = ()) -> DataFrame:
+                   identity: Sequence[str] = (), defaults: dict | None = None) -> DataFrame:
     """One row per difference: ``Missing in Publisher`` / ``Missing in Subscriber`` / ``Column does not match [c]``
     (first differing column in ``columns`` order), coalesced keys, both sides of each column, both versions and
     ``source_approx_date``.  Differences whose source time is within ``grace_minutes`` of ``now`` are left out
@@ -96,7 +97,7 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
     pub_b, sub_b, _mode = _bounded_inputs(pub, sub, date_column, days, max_rows, now)
     if pub_b is None:
         pub_b, sub_b = pub.limit(0), sub.limit(0)
-    pairs = classify_pairs(pub_b, sub_b, keys, columns, pub_version, sub_version, nulls, identity)
+    pairs = classify_pairs(pub_b, sub_b, keys, columns, pub_version, sub_version, nulls, identity, defaults)
     if not include_matched:
         pairs = pairs.where(F.col("difference") != MATCHED)
     if checkpoints is not None:
