@@ -173,3 +173,14 @@ def test_publish_snapshots_then_sync(spark, fx01):
     assert _same(synced, snap2)
     unchanged = v2.join(v1, ["o_orderkey", "o_orderstatus", "o_totalprice", "rv"], "left_semi").count()
     assert unchanged == snap2.join(orders, ["o_orderkey", "o_orderstatus", "o_totalprice"], "left_semi").count()
+
+
+def test_user_columns_named_like_internal_aliases(spark):
+    target = spark.createDataFrame([(1, 10, 1, 5)], "k bigint, v bigint, hit bigint, sourcerv bigint")
+    stage = spark.createDataFrame([("U", 1, 11, 2, 6), ("U", 2, 20, 3, 7)],
+                                  "rpl_operation string, k bigint, v bigint, hit bigint, sourcerv bigint")
+    for strategy in ("broadcast", "shuffle"):
+        got = sorted(map(tuple, ap.apply_changes(target, stage, ["k"], strategy=strategy).collect()))
+        assert got == [(1, 11, 2, 6), (2, 20, 3, 7)]
+    up = sorted(map(tuple, ap.upsert(target.drop("sourcerv"), stage.select("k", "hit"), ["k"]).collect()))
+    assert up == [(1, 10, 2), (2, None, 3)]

@@ -82,12 +82,12 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
     plan, stage = choose_strategy(stage, strategy, broadcast_limit, stage_rows)
 
     s = stage.select(*[F.col(_q(k)) for k in keys],
-                     *[F.col(_q(c)).alias(f"_s_{c}") for c in cols if c not in keys and c in stage_cols],
-                     F.col(OP_COL).alias("_s_op"), F.col(version_col).alias("_s_v"), F.lit(True).alias("_s_hit"))
-    t = target.select(*[F.col(_q(c)) for c in cols], F.col(version_col).alias("_t_v"), F.lit(True).alias("_t_hit"))
+                     *[F.col(_q(c)).alias(f"__stg__{c}") for c in cols if c not in keys and c in stage_cols],
+                     F.col(OP_COL).alias("__stg_op__"), F.col(version_col).alias("__stg_ver__"), F.lit(True).alias("__stg_hit__"))
+    t = target.select(*[F.col(_q(c)) for c in cols], F.col(version_col).alias("__tgt_ver__"), F.lit(True).alias("__tgt_hit__"))
 
-    t_v, s_v = F.col("_t_v"), F.col("_s_v")
-    is_del = F.col("_s_op") == "D"
+    t_v, s_v = F.col("__tgt_ver__"), F.col("__stg_ver__")
+    is_del = F.col("__stg_op__") == "D"
     if guard == "newer":
         wins = t_v.isNull() | (s_v > t_v)
         del_applies = is_del & wins
@@ -96,19 +96,19 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
         del_applies = is_del
 
     def merged_columns():
-        is_upd = F.col("_s_hit").isNotNull() & ~is_del & wins
+        is_upd = F.col("__stg_hit__").isNotNull() & ~is_del & wins
         out = []
         for c in cols:
             if c in keys:
                 out.append(F.col(_q(c)))
             elif c in updatable:
-                out.append(F.when(F.col("_t_hit").isNull(), F.col(f"_s_{c}"))
-                           .when(is_upd, F.col(f"_s_{c}")).otherwise(F.col(_q(c))).alias(c))
+                out.append(F.when(F.col("__tgt_hit__").isNull(), F.col(f"__stg__{c}"))
+                           .when(is_upd, F.col(f"__stg__{c}")).otherwise(F.col(_q(c))).alias(c))
             elif c in stage_cols:   # identity: inserted as given, never updated
-                out.append(F.when(F.col("_t_hit").isNull(), F.col(f"_s_{c}")).otherwise(F.col(_q(c))).alias(c))
+                out.append(F.when(F.col("__tgt_hit__").isNull(), F.col(f"__stg__{c}")).otherwise(F.col(_q(c))).alias(c))
             else:
                 out.append(F.col(_q(c)))
-        out.append(F.when(F.col("_t_hit").isNull() | is_upd, F.col("_s_v")).otherwise(F.col("_t_v")).alias(version_col))
+        out.append(F.when(F.col("__tgt_hit__").isNull() | is_upd, F.col("__stg_ver__")).otherwise(F.col("__tgt_ver__")).alias(version_col))
         return out
 
     keep = ~F.coalesce(del_applies, F.lit(False))
@@ -116,22 +116,22 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
         bs = F.broadcast(s)
         kept = t.join(bs, keys, "left").where(keep).select(*merged_columns())
         matched = t.select(*keys).join(bs.select(*keys), keys, "left_semi")
-        inserts = (s.where(F.col("_s_op") != "D").join(matched, keys, "left_anti")
+        inserts = (s.where(F.col("__stg_op__") != "D").join(matched, keys, "left_anti")
                    .select(*[F.col(_q(k)) for k in keys],
-                           *[F.col(f"_s_{c}").alias(c) if c in stage_cols else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                           *[F.col(f"__stg__{c}").alias(c) if c in stage_cols else F.lit(None).cast(target.schema[c].dataType).alias(c)
                              for c in cols if c not in keys],
-                           F.col("_s_v").alias(version_col)))
+                           F.col("__stg_ver__").alias(version_col)))
         return kept.unionByName(inserts.select(*cols, version_col))
-    full = t.join(s, keys, "full_outer").where(keep & (F.col("_t_hit").isNotNull() | F.col("_s_hit").isNotNull()))
+    full = t.join(s, keys, "full_outer").where(keep & (F.col("__tgt_hit__").isNotNull() | F.col("__stg_hit__").isNotNull()))
     return full.select(*merged_columns())
 
 
 def deleted_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str], version_col: str = SOURCE_VERSION) -> DataFrame:
     """Target rows a stage deletes, carrying the delete's version (what a chained delete log on the target logs)."""
-    d = stage.where(F.col(OP_COL) == "D").select(*keys, F.col(version_col).alias("_d_v"))
+    d = stage.where(F.col(OP_COL) == "D").select(*keys, F.col(version_col).alias("__del_ver__"))
     cols = user_columns(target)
     return (target.join(d, list(keys), "inner")
-            .select(*[F.col(_q(c)) for c in cols], F.col("_d_v").alias(version_col)))
+            .select(*[F.col(_q(c)) for c in cols], F.col("__del_ver__").alias(version_col)))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str = "merge") -> DataFrame:
@@ -147,15 +147,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str
                                   for c in cols])
         return target.join(source.select(*keys), keys, "left_anti").unionByName(aligned)
     src_cols = [c for c in source.columns if c not in keys and c in cols]
-    s = source.select(*keys, *[F.col(_q(c)).alias(f"_s_{c}") for c in src_cols], F.lit(True).alias("_s_hit"))
-    t = target.withColumn("_t_hit", F.lit(True))
+    s = source.select(*keys, *[F.col(_q(c)).alias(f"__stg__{c}") for c in src_cols], F.lit(True).alias("__stg_hit__"))
+    t = target.withColumn("__tgt_hit__", F.lit(True))
     j = t.join(s, keys, "full_outer")
     out = []
     for c in cols:
         if c in keys:
             out.append(F.col(_q(c)))
         elif c in src_cols:
-            out.append(F.when(F.col("_s_hit").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(_q(c))).alias(c))
+            out.append(F.when(F.col("__stg_hit__").isNotNull(), F.col(f"__stg__{c}")).otherwise(F.col(_q(c))).alias(c))
         else:
             out.append(F.col(_q(c)))
     return j.select(*out)
