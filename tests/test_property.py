@@ -38,3 +38,35 @@ def test_windowed_sync_equals_replay(spark, log, cuts):
         prev = end
     got = {r["k"]: (r["v"], r["sourcerv"]) for r in target.collect()}
     assert got == replay(log, len(log))
+
+
+side = st.dictionaries(st.integers(1, 12), st.tuples(st.sampled_from([None, "", "a", "b"]),
+                                                      st.sampled_from([None, 0.0, 1.5])), max_size=12)
+
+
+def expected_diff(pub, sub, nulls):
+    out = {}
+    for k in set(pub) | set(sub):
+        if k not in pub:
+            out[k] = "Missing in Publisher"
+        elif k not in sub:
+            out[k] = "Missing in Subscriber"
+        else:
+            for i, (name, d) in enumerate((("a", ""), ("x", 0.0))):
+                p, s = pub[k][i], sub[k][i]
+                differs = (p != s) if nulls == "strict" else ((d if p is None else p) != (d if s is None else s))
+                if differs:
+                    out[k] = f"Column does not match [{name}]"
+                    break
+    return out
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(pub=side, sub=side)
+def test_compare_matches_brute_force(spark, pub, sub):
+    from tidemark.operators.compare import compare_tables
+    p = spark.createDataFrame([(k, a, x, k) for k, (a, x) in pub.items()], "k bigint, a string, x double, rv bigint")
+    s = spark.createDataFrame([(k, a, x, k) for k, (a, x) in sub.items()], "k bigint, a string, x double, sourcerv bigint")
+    for nulls in ("default", "strict"):
+        got = {r["k"]: r["difference"] for r in compare_tables(p, s, ["k"], nulls=nulls).collect()}
+        assert got == expected_diff(pub, sub, nulls)
