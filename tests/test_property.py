@@ -70,3 +70,21 @@ def test_compare_matches_brute_force(spark, pub, sub):
     for nulls in ("default", "strict"):
         got = {r["k"]: r["difference"] for r in compare_tables(p, s, ["k"], nulls=nulls).collect()}
         assert got == expected_diff(pub, sub, nulls)
+
+
+runs_log = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 1)), min_size=0, max_size=15)
+
+
+@settings(max_examples=4, deadline=None, derandomize=True)
+@given(log=runs_log)
+def test_high_water_mark_matches_brute_force(spark, log):
+    from tidemark.operators.runs import high_water_mark
+    rows = [(i, sub, (i + 1) * 10, ok) for i, (sub, ok) in enumerate(log, start=1)]
+    df = spark.createDataFrame(rows, "import_log_id bigint, subscription_id bigint, rv_to bigint, success int")
+    for double in (False, True):
+        got = {r[0]: r[1] for r in high_water_mark(df, double_read=double).collect()}
+        exp = {}
+        for sub in {r[1] for r in rows}:
+            ok = [r[2] for r in sorted(rows, key=lambda r: -r[0]) if r[1] == sub and r[3] == 1]
+            exp[sub] = 0 if not ok else (ok[min(1, len(ok) - 1)] if double else ok[0])
+        assert got == exp
