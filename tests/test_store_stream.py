@@ -151,3 +151,14 @@ def test_sync_with_compressed_column(spark, fx01):
     staged = spark.read.parquet(f"{root}/stage/run=2/feed")
     assert dict(staged.dtypes)["event_type"] == "binary"
     assert _same(target.read(), fx01.src.withColumnRenamed("rv", "sourcerv"))
+
+
+def test_sync_logs_sizes(spark, fx01):
+    root = tempfile.mkdtemp(prefix="tm-kb-")
+    target = BucketedTable(spark, f"{root}/t", K, num_buckets=4)
+    log = RunLog(spark, f"{root}/log")
+    for v in (5000, fx01.hi):
+        src, dels = _source_at(fx01, v)
+        sync_table(spark, "feed", K, src, dels, target, log, 1, f"{root}/stage", current=v)
+    kbs = [r["total_kbs"] for r in log.runs().orderBy("import_log_id").collect()]
+    assert len(kbs) == 2 and all(k is not None and k > 0 for k in kbs)

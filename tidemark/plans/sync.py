@@ -14,7 +14,7 @@ from ..operators.runs import high_water_mark
 from ..operators.versions import current_version
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog
-from ..sources.tables import input_kbs
+from ..sources.fs import folder_kbs
 from .spec import VersionWindow
 
 
@@ -39,20 +39,20 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
     try:
         if window.is_snapshot:
             snap = extract_snapshot(source, window)
-            target.write_full(load_full(snap))
-            loaded = target.read()
-            rows = loaded.count()
-            log.log_table(run_id, name, rows, input_kbs(loaded))
+            version = target.write_full(load_full(snap))
+            rows = target.read().count()
+            log.log_table(run_id, name, rows, folder_kbs(spark, f"{target.root}/v{version:08d}"))
             stats = dict(mode="full", rows=rows)
         else:
             changes = extract_changes(source, delete_log, keys, window)
             if compress:
                 changes = compress_columns(changes, compress)
-            stage = stage_changes(changes, f"{stage_root.rstrip('/')}/run={run_id}/{name}")
+            stage_path = f"{stage_root.rstrip('/')}/run={run_id}/{name}"
+            stage = stage_changes(changes, stage_path)
             rows = stage.count()
             to_apply = decompress_columns(stage, compress) if compress else stage
             applied = target.apply(to_apply, identity=identity, stage_rows=rows)
-            log.log_table(run_id, f"stg_{name}", rows, input_kbs(stage))
+            log.log_table(run_id, f"stg_{name}", rows, folder_kbs(spark, stage_path))
             stats = dict(mode="incremental", rows=rows, **applied)
         log.end_run(run_id, True, "ok", now)
         return dict(run_id=run_id, rv_from=rv_from, rv_to=current, **stats)

@@ -55,3 +55,11 @@ class HadoopFs:
 def file_length(spark: SparkSession, path: str) -> int:
     fs = HadoopFs(spark, path)
     return int(fs.fs.getFileStatus(fs.root).getLen())
+
+
+def folder_kbs(spark: SparkSession, path: str) -> int:
+    """Bytes under a folder in KB, from one recursive content summary (no per-file calls from the driver)."""
+    fs = HadoopFs(spark, path)
+    if not fs.fs.exists(fs.root):
+        return 0
+    return (int(fs.fs.getContentSummary(fs.root).getLength()) + 1023) // 1024
