@@ -1,0 +1 @@
+from .sync import sync_stream, publish_window
