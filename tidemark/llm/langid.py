@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNDECIDED = "und"
 PIECE = 8192                       # bytes compressed at once
-LEVEL = 3
+LEVEL = 13
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -33,7 +33,7 @@ def normal(text: str | None) -> bytes:
     return " ".join(LETTERS.findall(text.lower())).encode("utf-8", "replace") if text else b""
 
 
-def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", *, excerpts: int = 96,
+def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", *, excerpts: int = 64,
         excerpt_chars: int = 1024) -> dict[str, bytes]:
     """{language: dictionary content} from the rows' texts and non-null languages."""
     docs = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t")).filter("lang is not null and length(t) > 0")
