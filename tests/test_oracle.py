@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, duck001, name):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.queries()) - set(E.LLM_QUERIES) - {"pipeline"} <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
