@@ -7,12 +7,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.session import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+ROWS_A_FILE = 250_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read back.
 
     Cuts the lineage at a table that every executor can read, so losing an executor repeats only the work after it.
+    ``rows``, if the number of (short) rows is known or bounded, sets how many files are written: the last shuffle's
+    partitions are joined until each has about ``ROWS_A_FILE`` rows, whatever the number of shuffle partitions.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
