@@ -203,7 +203,7 @@ def _groups(sets, most: int = MEMO_WORDS):
 
 
 def _model(labelled, text_col, label_col, order, max_grams) -> ToxicityModel:
-    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams")
+    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams", 2 * max_grams)
     seen, unseen = gram_ratios(grams, order)
     return ToxicityModel(order, _table(seen, "gram", max_grams, order), _table(unseen, "head", max_grams, order))
 
