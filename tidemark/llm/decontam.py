@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MASKS = ("100111011", "111100101")      # 1: the word counts; all of one length
+MASKS = ("110011011", "111101001", "101011011")      # 1: the word counts; all of one length
 SPAN = len(MASKS[0])
 MIN_OVERLAP = 10
 MIN_SHARE = 0.75
