@@ -10,10 +10,14 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_WORDS = 400_000
 MEMO_CHARS = 8_000_000
-GROUP_WORDS = 500_000          # words of several texts that are looked up together
+GROUP_CHARS = 8_000_000       # texts of about so many characters are cut together
+# white space but single spaces and line breaks between other characters, and the two marks below
+OTHER_SPACE = r"[\t\x0b\x0c\r\x1c-\x1f\x01\x02\x{85}\p{Zl}\p{Zp}]|[^\P{Zs} ]|[ \n]{2}|\A[ \n]|[ \n]\z"
 JOINED = 256                   # new words encoded as one string
 MARK = "\x01"                  # stands between them; a token of its own
 START = "\x02"                 # before a text's first word, which follows no space
@@ -44,14 +48,6 @@ class Encoder:
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start, self.size = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
 
-    def words(self, text: str) -> list[str] | None:
-        """The words of a text whose white space is single spaces and line breaks, else None."""
-        if MARK in text or START in text or " ".join(text.split()) != text.replace("\n", " "):
-            return None
-        if not self.keeps_spaces:
-            return text.replace("\n", " ").split(" ")
-        return (START + text.replace("\n", " \n")).split(" ")       # a word after a break holds the break
-
     def _written(self, word: str) -> str:
         if not self.keeps_spaces or word[0] == "\n":
             return word
@@ -83,42 +79,53 @@ class Encoder:
         self.place.update(zip(fresh, range(n, n + len(fresh))))
         self.chars += sum(map(len, fresh))
 
-    def encode(self, texts) -> list[np.ndarray]:
+    def encode(self, texts: list) -> list[np.ndarray]:
         out, group, held = [], [], 0
         for text in texts:
-            words = self.words(text) if text else []
-            if words is None:
-                words = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-            group.append(words)
-            held += len(words)
-            if held >= GROUP_WORDS:
+            group.append(text or "")
+            held += len(group[-1])
+            if held >= GROUP_CHARS:
                 out += self._group(group)
                 group, held = [], 0
-        return out + self._group(group)
-
-    def _group(self, group) -> list[np.ndarray]:
-        fresh: set[str] = set()
-        for words in group:
-            if isinstance(words, list):
-                fresh |= set(words).difference(self.place)
-        if fresh and (len(self.place) > MEMO_WORDS or self.chars > MEMO_CHARS):
-            self._clear()
-            fresh = {w for words in group if isinstance(words, list) for w in words}
-        if fresh:
-            self._learn(list(fresh))
-        out = []
-        for words in group:
-            if not isinstance(words, list):
-                out.append(words)
-            elif not words:
+        return out + self._group(group) if group else out
+
+    def _group(self, texts: list[str]) -> list[np.ndarray]:
+        column = pa.array(texts, pa.large_string())
+        whole = pc.match_substring_regex(column, OTHER_SPACE).to_numpy(zero_copy_only=False)
+        empty = np.fromiter((not t for t in texts), dtype=bool, count=len(texts))
+        usual = column.filter(pa.array(~(whole | empty)))
+        if self.keeps_spaces:             # a word after a break holds the break; the first word holds a mark
+            usual = pc.binary_join_element_wise(pa.scalar(START, pa.large_string()), pc.replace_substring(usual, "\n", " \n"), pa.scalar("", pa.large_string()))
+        else:
+            usual = pc.replace_substring(usual, "\n", " ")
+        lists = pc.split_pattern(usual, " ")
+        coded = lists.flatten().dictionary_encode()
+        at = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.int64)
+        edges = lists.offsets.to_numpy()
+        size = self.size[at]
+        ends = np.cumsum(size)
+        flat = self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])] if len(at) else np.zeros(0, dtype=np.uint32)
+        ends = np.concatenate([[0], ends])[edges - edges[0]]
+        out, k = [], 0
+        for text, is_whole, is_empty in zip(texts, whole, empty):
+            if is_empty:
                 out.append(np.zeros(0, dtype=np.uint32))
+            elif is_whole:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
             else:
-                at = np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
-                size = self.size[at]
-                ends = np.cumsum(size)
-                out.append(self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])])
+                out.append(flat[ends[k]:ends[k + 1]])
+                k += 1
         return out
 
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each distinct word; words not yet known are encoded."""
+        if len(self.place) > MEMO_WORDS or self.chars > MEMO_CHARS:
+            self._clear()
+        fresh = [w for w in words if w not in self.place]
+        if fresh:
+            self._learn(fresh)
+        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+
 
 _ENCODERS: dict[str, Encoder] = {}
 
