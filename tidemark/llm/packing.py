@@ -91,7 +91,7 @@ def _cut(path: str, capacity: int, end_id: int):
                     raw = ids[start:start + capacity].tobytes()
                     for col, v in zip(cols, (key, start, len(raw) // 4, len(ids), raw, zlib.crc32(raw))):
                         col.append(v)
-                if len(cols[0]) >= 2000:
+                if len(cols[0]) >= 1000:
                     yield _pieces(cols)
                     cols = [[] for _ in range(6)]
             if cols[0]:

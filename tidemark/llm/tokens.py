@@ -13,11 +13,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 400_000
-MEMO_CHARS = 8_000_000
-GROUP_CHARS = 8_000_000       # texts of about so many characters are cut together
-# white space but single spaces and line breaks between other characters, and the two marks below
-OTHER_SPACE = r"[\t\x0b\x0c\r\x1c-\x1f\x01\x02\x{85}\p{Zl}\p{Zp}]|[^\P{Zs} ]|[ \n]{2}|\A[ \n]|[ \n]\z"
+MEMO_WORDS = 500_000
+MEMO_CHARS = 10_000_000
+GROUP_CHARS = 10_000_000       # texts of about so many characters are cut together
+# white space but single spaces and line breaks between other characters, the two marks below, and a letter that has no
+# single lower-case form
+OTHER_SPACE = r"[\t\x0b\x0c\r\x1c-\x1f\x01\x02\x{85}\p{Zl}\p{Zp}\x{130}]|[^\P{Zs} ]|[ \n]{2}|\A[ \n]|[ \n]\z"
 JOINED = 256                   # new words encoded as one string
 MARK = "\x01"                  # stands between them; a token of its own
 START = "\x02"                 # before a text's first word, which follows no space
@@ -54,18 +55,14 @@ class Encoder:
         return word[1:] if word[0] == START else " " + word
 
     def _learn(self, fresh: list[str]):
-        if not self.joins:
+        if not self.joins or any(w.startswith(START + "'") for w in fresh):       # a contraction must not follow a mark
             coded = [np.array(i, dtype=np.uint32) for i in self._plain([self._written(w) for w in fresh])]
+            flat, sizes = np.concatenate(coded), np.array([len(c) for c in coded])
         else:
             strings = [self.gap.join(map(self._written, fresh[i:i + JOINED])) + self.gap for i in range(0, len(fresh), JOINED)]
-            coded = [np.array(i, dtype=np.uint32) for i in self._plain(strings)]
-        flat = np.concatenate(coded)
-        if self.joins:
-            ends = np.flatnonzero(flat == self.mark)
-            sizes = np.diff(ends, prepend=-1) - 1
-            flat = flat[flat != self.mark]
-        else:
-            sizes = np.array([len(c) for c in coded])
+            marked = np.concatenate([np.array(i, dtype=np.uint32) for i in self._plain(strings)])
+            sizes = np.diff(np.flatnonzero(marked == self.mark), prepend=-1) - 1
+            flat = marked[marked != self.mark]
         n, need = len(self.place), self.used + len(flat)
         if need > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(need - len(self.flat), len(self.flat)), dtype=np.uint32)])
@@ -79,17 +76,19 @@ class Encoder:
         self.place.update(zip(fresh, range(n, n + len(fresh))))
         self.chars += sum(map(len, fresh))
 
-    def encode(self, texts: list) -> list[np.ndarray]:
-        out, group, held = [], [], 0
+    def encode(self, texts: list):
+        """The ids of each text, one after the other."""
+        group, held = [], 0
         for text in texts:
             group.append(text or "")
             held += len(group[-1])
             if held >= GROUP_CHARS:
-                out += self._group(group)
+                yield from self._group(group)
                 group, held = [], 0
-        return out + self._group(group) if group else out
+        if group:
+            yield from self._group(group)
 
-    def _group(self, texts: list[str]) -> list[np.ndarray]:
+    def _group(self, texts: list[str]):
         column = pa.array(texts, pa.large_string())
         whole = pc.match_substring_regex(column, OTHER_SPACE).to_numpy(zero_copy_only=False)
         empty = np.fromiter((not t for t in texts), dtype=bool, count=len(texts))
@@ -97,7 +96,7 @@ class Encoder:
         if self.keeps_spaces:             # a word after a break holds the break; the first word holds a mark
             usual = pc.binary_join_element_wise(pa.scalar(START, pa.large_string()), pc.replace_substring(usual, "\n", " \n"), pa.scalar("", pa.large_string()))
         else:
-            usual = pc.replace_substring(usual, "\n", " ")
+            usual = pc.utf8_lower(pc.replace_substring(usual, "\n", " "))      # as the tokenizer itself does first
         lists = pc.split_pattern(usual, " ")
         coded = lists.flatten().dictionary_encode()
         at = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.int64)
@@ -106,16 +105,15 @@ class Encoder:
         ends = np.cumsum(size)
         flat = self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1])] if len(at) else np.zeros(0, dtype=np.uint32)
         ends = np.concatenate([[0], ends])[edges - edges[0]]
-        out, k = [], 0
+        k = 0
         for text, is_whole, is_empty in zip(texts, whole, empty):
             if is_empty:
-                out.append(np.zeros(0, dtype=np.uint32))
+                yield np.zeros(0, dtype=np.uint32)
             elif is_whole:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
             else:
-                out.append(flat[ends[k]:ends[k + 1]])
+                yield flat[ends[k]:ends[k + 1]]
                 k += 1
-        return out
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """The number of each distinct word; words not yet known are encoded."""
