@@ -17,9 +17,19 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+MAX_BROADCAST_LABELS = 2_000_000       # rows of an id and a number each: at most about 80 MB
+
+
 def _labelled(spark, sf_dir, docs, label) -> DataFrame:
-    """Texts with their label; a document with several label rows is learned from each."""
-    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), F.col(label).alias("label")).filter("label is not null")
+    """Texts with their label; a document with several label rows is learned from each.
+
+    The labels are counted and broadcast up to ``MAX_BROADCAST_LABELS`` rows, so the texts stay where they are;
+    beyond that the join shuffles.
+    """
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("label_id"), F.col(label).cast("int").alias("label"))
+    labels = labels.filter("label is not null and label_id is not null")
+    if labels.count() <= MAX_BROADCAST_LABELS:
+        labels = F.broadcast(labels)
     return docs.select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
 
 
