@@ -24,7 +24,7 @@ BUCKETS = 1 << 16
 REPEATED = 0              # bucket of a pair of equal tokens
 GRAMS = (3, 4, 5)
 DIM = 12
-MEMO_WORDS = 200_000
+GROUP_WORDS = 60_000       # different tokens whose features are worked out together
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,29 +97,28 @@ class QualityModel:
     intercept: float
 
     def scores(self, texts) -> np.ndarray:
-        memo: dict[str, int] = {}
-        total = feats = code = None
-        out = np.full(len(texts), self.intercept)
-        docs = [t.split() if t else [] for t in texts]
-        start = 0
-        while start < len(docs):
-            fresh: dict[str, int] = {}
-            end = start
-            while end < len(docs) and (end == start or len(fresh) < MEMO_WORDS):
-                for w in docs[end]:
-                    fresh.setdefault(w, len(fresh))
-                end += 1
-            memo = fresh
-            if memo:
-                buckets, owner, code = word_features(list(memo))
-                total = np.bincount(owner, weights=self.weight[buckets], minlength=len(memo))
-                feats = np.bincount(owner, minlength=len(memo))
-            for i in range(start, end):
-                if docs[i]:
-                    at = np.fromiter(map(memo.__getitem__, docs[i]), dtype=np.int64, count=len(docs[i]))
-                    pairs = pair_buckets(code[at])
-                    out[i] += (total[at].sum() + self.weight[pairs].sum()) / (feats[at].sum() + len(pairs))
-            start = end
+        out, group, known = np.full(len(texts), self.intercept), [], {}
+
+        def settle():
+            buckets, owner, code = word_features(list(known))
+            total = np.bincount(owner, weights=self.weight[buckets], minlength=len(known))
+            feats = np.bincount(owner, minlength=len(known))
+            for i, at in group:
+                pairs = pair_buckets(code[at])
+                out[i] += (total[at].sum() + self.weight[pairs].sum()) / (feats[at].sum() + len(pairs))
+            group.clear()
+            known.clear()
+
+        for i, text in enumerate(texts):
+            tokens = text.split() if text else []
+            if tokens:
+                for w in dict.fromkeys(tokens):
+                    known.setdefault(w, len(known))
+                group.append((i, np.fromiter(map(known.__getitem__, tokens), dtype=np.int32, count=len(tokens))))
+                if len(known) > GROUP_WORDS:
+                    settle()
+        if group:
+            settle()
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 

@@ -35,6 +35,7 @@ DISCOUNT = 0.9            # taken off each class count of the highest order
 SHARED_DISCOUNT = 0.75    # taken off each pooled continuation count
 SHARE = 0.02              # share of toxic words in the mixture
 MEMO_WORDS = 200_000      # words whose ratio a task remembers at once
+NEW_WORDS = 20_000        # words whose ratios are worked out together
 WORD = re.compile(r"[^\W_]+")
 PAD, END = "\x02", "\x03"
 FEATURES = ("mean_ratio", "max_ratio", "mixture_ratio")
@@ -127,13 +128,23 @@ def gram_ratios(grams: DataFrame, order: int = ORDER, discount: float = DISCOUNT
 
 
 def _table(frame: DataFrame, key: str, max_grams: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes and ratios of at most ``max_grams`` entries, those of the largest ratios."""
-    rows = frame.orderBy(F.abs("ratio").desc(), key).limit(max_grams).toPandas()
-    if not len(rows):
+    """Sorted codes and ratios of about ``max_grams`` entries at most, those of the largest ratios."""
+    size = F.abs("ratio")
+    n = frame.count()
+    if n > max_grams:
+        least = frame.select(size.alias("size")).approxQuantile("size", [1 - max_grams / n], 0.001)[0]
+        frame = frame.filter(size > least)
+
+    @F.pandas_udf("long")
+    def code(grams: pd.Series) -> pd.Series:
+        return pd.Series([_code_of(g) - (1 << 63) for g in grams], dtype="int64")
+
+    got = frame.select(code(key).alias("code"), "ratio").toArrow()          # two numbers an entry
+    codes = got["code"].to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+    if not len(codes):
         return np.zeros(1, dtype=np.uint64), np.zeros(1)
-    code = np.array([_code_of(g) for g in rows[key]], dtype=np.uint64)
-    at = np.argsort(code)
-    return code[at], rows["ratio"].to_numpy()[at]
+    at = np.argsort(codes)
+    return codes[at], got["ratio"].to_numpy()[at]
 
 
 def _code_of(chars: str) -> int:
@@ -166,17 +177,26 @@ class ToxicityModel:
 
     def evidence(self, texts) -> np.ndarray:
         """One row of FEATURES for each text; the words' ratios are worked out once for many texts."""
-        memo, sets = {}, [sorted(set(words_of(t))) for t in texts]
-        out = np.zeros((len(sets), len(FEATURES)))
-        for start, end in _groups(sets):
-            fresh = list({w for s in sets[start:end] for w in s if w not in memo})
-            if len(memo) + len(fresh) > MEMO_WORDS:
-                memo, fresh = {}, list({w for s in sets[start:end] for w in s})
-            memo.update(zip(fresh, self.ratios(fresh).tolist()))
-            for i in range(start, end):
-                if sets[i]:
-                    z = np.fromiter((memo[w] for w in sets[i]), dtype=np.float64, count=len(sets[i]))
-                    out[i] = z.mean(), z.max(), np.log1p(SHARE * np.expm1(np.minimum(z, 50))).sum() / np.sqrt(len(z))
+        out, memo, group, fresh = np.zeros((len(texts), len(FEATURES))), {}, [], {}
+
+        def settle():
+            memo.update(zip(fresh, self.ratios(list(fresh)).tolist()))
+            for i, words in group:
+                z = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
+                out[i] = z.mean(), z.max(), np.log1p(SHARE * np.expm1(np.minimum(z, 50))).sum() / np.sqrt(len(z))
+            group.clear()
+            fresh.clear()
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+
+        for i, text in enumerate(texts):
+            words = list(dict.fromkeys(words_of(text)))
+            if words:
+                group.append((i, words))
+                fresh.update((w, None) for w in words if w not in memo)
+                if len(fresh) > NEW_WORDS:
+                    settle()
+        settle()
         return out
 
     def scores(self, texts) -> np.ndarray:
@@ -190,18 +210,6 @@ def _look_up(table, codes):
     return np.where(found, table[1][at], 0.0), ~found
 
 
-def _groups(sets, most: int = MEMO_WORDS):
-    """Runs of documents with at most ``most`` words together (a longer document is a run of its own)."""
-    start, held = 0, 0
-    for i, s in enumerate(sets):
-        if held and held + len(s) > most:
-            yield start, i
-            start, held = i, 0
-        held += len(s)
-    if start < len(sets):
-        yield start, len(sets)
-
-
 def _model(labelled, text_col, label_col, order, max_grams) -> ToxicityModel:
     grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams", 2 * max_grams)
     seen, unseen = gram_ratios(grams, order)
