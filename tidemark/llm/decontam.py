@@ -44,12 +44,17 @@ def seeds(words: Column) -> Column:
     return F.when(F.size(words) >= SPAN, F.concat(*masks)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _seeded(rows: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
-    """One row per seed: the id, the words' hashes, the window's place and the seed."""
-    words = rows.select(F.col(id_col).alias(f"{prefix}_id"), word_hashes(F.col(text_col)).alias(f"{prefix}_words"))
-    out = words.select(f"{prefix}_id", f"{prefix}_words", seeds(F.col(f"{prefix}_words")).alias("seeds"))
-    out = out.select(f"{prefix}_id", f"{prefix}_words", F.posexplode_outer("seeds").alias("k", "seed"))
-    return out.withColumn(f"{prefix}_at", F.col("k") % (F.size(f"{prefix}_words") - SPAN + 1)).drop("k")
+def _words(rows: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
+    """The id, a key of id and text, and the words' hashes."""
+    text = F.col(text_col)
+    return rows.select(F.col(id_col).alias(f"{prefix}_id"), F.xxhash64(F.col(id_col), text).alias(f"{prefix}_key"), word_hashes(text).alias(f"{prefix}_words"))
+
+
+def _seeded(words: DataFrame, prefix: str) -> DataFrame:
+    """One row per seed: the window's place and the seed beside the row's columns."""
+    out = words.select("*", seeds(F.col(f"{prefix}_words")).alias("seeds"))
+    out = out.select(*words.columns, F.size(f"{prefix}_words").alias("size"), F.posexplode_outer("seeds").alias("k", "seed"))
+    return out.withColumn(f"{prefix}_at", F.col("k") % (F.col("size") - SPAN + 1)).drop("k", "size")
 
 
 def _best_run(equal: Column) -> Column:
@@ -76,10 +81,15 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
     Places count words from 0; ``share`` is matched / length, ``coverage`` matched / words of the item.
     """
-    item_seeds = _seeded(items, item_id, item_text, "item").filter("seed is not null")
+    words = _words(docs, id_col, text_col, "doc")
+    item_words = _words(items, item_id, item_text, "item")
+    item_seeds = _seeded(item_words, "item").filter("seed is not null")
     if item_seeds.count() <= max_broadcast:
-        item_seeds = F.broadcast(item_seeds)
-    hits = _seeded(docs, id_col, text_col, "doc").join(item_seeds, "seed")
+        hits = _seeded(words, "doc").join(F.broadcast(item_seeds), "seed")
+    else:                                     # seeds are shuffled without the words, which only hits get back
+        places = _seeded(words, "doc").drop("doc_words", "doc_id").join(item_seeds.drop("item_words", "item_id"), "seed")
+        places = places.select("doc_key", "item_key", "doc_at", "item_at", (F.col("doc_at") - F.col("item_at")).alias("d")).dropDuplicates(["doc_key", "item_key", "d"])
+        hits = places.join(item_words, "item_key").join(words, "doc_key")
     diagonal = F.col("doc_at") - F.col("item_at")
     first = F.greatest(diagonal, F.lit(0))                       # the document's words that the item can cover
     item_first = F.greatest(-diagonal, F.lit(0))

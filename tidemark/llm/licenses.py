@@ -60,7 +60,7 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> t
     """(matched words, first, last place in the text) of the best alignment within ``band`` of the diagonal.
 
     Longest common subsequence between the template and text[diagonal + i + d] for -band <= d <= band; of equals the
-    one that ends first.
+    one that ends nearest to the diagonal.
     """
     width = 2 * band + 1
     score, first = np.zeros(width + 1, dtype=np.int64), np.full(width + 1, -1, dtype=np.int64)
@@ -73,11 +73,11 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> t
             if c and new[c - 1] >= best[0]:
                 if new[c - 1] > best[0] or new_last[c - 1] <= best[2]:
                     best = (new[c - 1], new_first[c - 1], new_last[c - 1])                           # text word left out
-            if 0 <= at < len(text) and text[at] == word and score[c] + 1 > best[0]:
+            if 0 <= at < len(text) and text[at] == word and score[c] + 1 >= best[0]:
                 best = (score[c] + 1, first[c] if score[c] else at, at)
             new[c], new_first[c], new_last[c] = best
         score, first, last = new, new_first, new_last
-    c = int(np.argmax(score[:width]))
+    c = max(range(width), key=lambda c: (score[c], -abs(c - band)))
     return int(score[c]), int(first[c]), int(last[c])
 
 
@@ -116,11 +116,8 @@ class Scanner:
                         near.setdefault(t, []).append(int(p) - place)
         out, spans = [], []
         for t, diagonals in sorted(near.items()):
-            found, before = [], None
+            found = []
             for d in sorted(set(diagonals)):
-                if before is not None and d - before <= self.band:
-                    continue                          # the band around the diagonal before covers it
-                before = d
                 matched, first, last = align(self.ids[t], ids, d, self.band)
                 if matched >= self.min_coverage * len(self.ids[t]):
                     found.append((-matched, last - first, first, last))
