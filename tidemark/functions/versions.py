@@ -26,7 +26,9 @@ def hex_to_rv(col: Column | str) -> Column:
     """``0x…`` text → version; ``0x`` alone (or empty) is the beginning, NULL stays NULL."""
     c = F.col(col) if isinstance(col, str) else col
     digits = F.regexp_replace(c, "^0[xX]", "")
-    return F.when(digits == "", F.lit(BEGINNING).cast("bigint")).otherwise(F.conv(digits, 16, 10).cast("bigint"))
+    number = F.conv(digits, 16, 10)          # unsigned: text above 2^63 - 1 means the open upper bound
+    known = F.coalesce(number.try_cast("bigint"), F.when(number.isNotNull(), F.lit((1 << 63) - 1)))
+    return F.when(digits == "", F.lit(BEGINNING).cast("bigint")).otherwise(known)
 
 
 def parse_version(value, default: int) -> int:

@@ -41,7 +41,8 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
             snap = extract_snapshot(source, window)
             version = target.write_full(load_full(snap))
             rows = target.read().count()
-            log.log_table(run_id, name, rows, folder_kbs(spark, f"{target.root}/v{version:08d}"))
+            folders = sorted(set(target.manifest(version)["buckets"].values()))
+            log.log_table(run_id, name, rows, sum(folder_kbs(spark, f"{target.root}/{f}") for f in folders))
             stats = dict(mode="full", rows=rows)
         else:
             changes = extract_changes(source, delete_log, keys, window)
@@ -57,5 +58,5 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
         log.end_run(run_id, True, "ok", now)
         return dict(run_id=run_id, rv_from=rv_from, rv_to=current, **stats)
     except Exception as ex:
-        log.end_run(run_id, False, f"{type(ex).__name__}: {ex}"[:2000], now)
+        log.end_run(run_id, False, f"{type(ex).__name__}: {ex}", now)
         raise

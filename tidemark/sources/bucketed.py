@@ -9,6 +9,7 @@ failed apply leaves the previous version intact, and old versions stay readable.
 from __future__ import annotations
 
 import json
+import uuid
 from contextlib import contextmanager
 from typing import Sequence
 
@@ -40,6 +41,11 @@ def bucket_of(keys: Sequence[str], num_buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets)).cast("int")
 
 
+def attempt_folder(version: int) -> str:
+    """A folder name that no other attempt at this version uses."""
+    return f"v{version:08d}-{uuid.uuid4().hex[:12]}"
+
+
 class BucketedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], num_buckets: int = 64,
                  version_col: str = "sourcerv"):
@@ -84,26 +90,32 @@ class BucketedTable:
         return bool(self.versions())
 
     # ---- write --------------------------------------------------------------------------------------------------
-    def _write(self, df: DataFrame, version: int, clustered: bool, slices: int | None = None) -> list:
+    def _write(self, df: DataFrame, version: int, slices: int | None = None) -> dict:
         """Write rows into bucket folders of a new version.
 
-        ``clustered``: every input task already holds one bucket (rows read from bucket folders and joined against
-        a broadcast stage) — write as is.  Otherwise rows are spread over ``buckets × slices`` tasks by (bucket,
-        second key hash), so each task writes one file of one bucket and no bucket is funnelled into one task;
-        ``slices`` defaults to the input partition count / buckets.
+        Rows are spread over ``buckets x slices`` tasks by (bucket, second key hash), so each task writes one file of
+        one bucket and no bucket is funnelled into one task.  Every attempt writes to a folder of its own: what a
+        failed attempt left behind is never read.
         """
-        folder = f"{self.root}/v{version:08d}"
+        name = attempt_folder(version)
+        folder = f"{self.root}/{name}"
         out = df.withColumn(BUCKET_COL, bucket_of(self.keys, self.num_buckets))
-        if not clustered:
-            k = slices or max(1, -(-df.rdd.getNumPartitions() // self.num_buckets))
-            sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
-            out = out.repartition(self.num_buckets * k, F.col(BUCKET_COL), sub)
+        k = slices or self._slices(self.num_buckets)
+        sub = F.pmod(F.xxhash64(F.lit(SLICE_SEED), *[F.col(c) for c in self.keys]), F.lit(k))
+        out = out.repartition(self.num_buckets * k, F.col(BUCKET_COL), sub)
         if self.version_col in df.columns:
             # files sorted by version: row-group min/max stats let a version-window filter skip old row groups
             out = out.sortWithinPartitions(BUCKET_COL, self.version_col)
         out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
-        written = [n.split("=", 1)[1] for n in self._fs.list_names(f"v{version:08d}") if n.startswith(BUCKET_COL + "=")]
-        return [int(b) for b in written]
+        return self._written_buckets(name)
+
+    def _written_buckets(self, name: str) -> dict:
+        """Bucket -> folder of one attempt; the folder is that attempt's alone, so it lists what the job wrote."""
+        return {int(n.split("=", 1)[1]): name for n in self._fs.list_names(name) if n.startswith(BUCKET_COL + "=")}
+
+    def _slices(self, buckets: int) -> int:
+        """Tasks for each bucket, so that a write uses at least the session's shuffle partitions."""
+        return max(1, -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // max(buckets, 1)))
 
     def co_partitioned_rows(self, target: DataFrame, stage: DataFrame, identity=(), guard: str = "changed",
                             slices: int = 1) -> DataFrame:
@@ -120,27 +132,25 @@ class BucketedTable:
                              strategy="shuffle", guard=guard)
 
     def _apply_co_partitioned(self, target: DataFrame, stage: DataFrame, identity, guard, schema, version: int,
-                              touched: int) -> list:
+                              touched: int) -> dict:
         """Shuffle plan: with ``requireAllClusterKeysForCoPartition`` off for this write, the sort-merge join
         accepts the (bucket, slice) partitioning of both sides as is, and every output task holds one slice of one
         bucket — one shuffle per side, one file per task."""
-        k = max(1, -(-target.rdd.getNumPartitions() // max(touched, 1)))
+        k = self._slices(touched)
         merged = self.co_partitioned_rows(target, stage, identity, guard, k)
         out = merged.select(*schema.fieldNames(), BUCKET_COL)
         if self.version_col in schema.fieldNames():
             out = out.sortWithinPartitions(BUCKET_COL, self.version_col)
-        folder = f"{self.root}/v{version:08d}"
+        name = attempt_folder(version)
         with co_partition_on_subset(self.spark):
-            out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(folder)
-        return [int(n_.split("=", 1)[1]) for n_ in self._fs.list_names(f"v{version:08d}")
-                if n_.startswith(BUCKET_COL + "=")]
+            out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{self.root}/{name}")
+        return self._written_buckets(name)
 
     def write_full(self, df: DataFrame) -> int:
         """Replace the whole table (initial load)."""
         vs = self.versions()
         version = (vs[-1] + 1) if vs else 1
-        written = self._write(df, version, clustered=False)
-        self._publish(version, {b: f"v{version:08d}" for b in written}, df.schema)
+        self._publish(version, self._write(df, version), df.schema)
         return version
 
     def apply(self, stage: DataFrame, identity: Sequence[str] = (), strategy: str = "auto", guard: str = "changed",
@@ -161,15 +171,14 @@ class BucketedTable:
             plan, stage = choose_strategy(stage, "auto", DEFAULT_BROADCAST_LIMIT, stage_rows)
         version = m["version"] + 1
         if plan == "broadcast":
-            # output tasks follow the bucket folders read: each writes into its own bucket
             new_rows = apply_changes(target, stage, self.keys, identity, strategy="broadcast", guard=guard)
-            written = set(self._write(new_rows.select(*schema.fieldNames()), version, clustered=True))
+            written = self._write(new_rows.select(*schema.fieldNames()), version)
         else:
-            written = set(self._apply_co_partitioned(target, stage, identity, guard, schema, version, len(touched)))
+            written = self._apply_co_partitioned(target, stage, identity, guard, schema, version, len(touched))
         buckets = {int(b): f for b, f in m["buckets"].items()}
         for b in touched:
             if b in written:
-                buckets[b] = f"v{version:08d}"
+                buckets[b] = written[b]
             else:
                 buckets.pop(b, None)      # every row of the bucket was deleted
         self._publish(version, buckets, schema)

@@ -56,7 +56,7 @@ def sync_stream(spark: SparkSession, change_dir: str, schema: T.StructType, targ
                 log.end_run(run_id, True, f"batch {batch_id}")
         except Exception as ex:
             if log:
-                log.end_run(run_id, False, f"batch {batch_id}: {ex}"[:2000])
+                log.end_run(run_id, False, f"batch {batch_id}: {ex}")
             raise
 
     writer = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
