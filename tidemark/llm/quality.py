@@ -157,9 +157,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     share = min(1.0, max_rows / max(n, 1), max_chars / max(chars, 1))
     pick = F.pmod(F.xxhash64("t", F.lit(6)), F.lit(1 << 30)) < int(share * (1 << 30))
     sparse = F.pandas_udf(_sparse, "b array<int>, w array<float>")
-    got = (rows if share == 1.0 else rows.filter(pick)).select(sparse("t").alias("f"), "y").select("f.b", "f.w", "y").toPandas()
-    order = sorted(range(len(got)), key=lambda i: (len(got["b"][i]), got["b"][i].tobytes(), int(got["y"][i])))   # the same fit for any row order
-    return train([(got["b"][i], got["w"][i]) for i in order], got["y"].to_numpy()[order], **training)
+    got = (rows if share == 1.0 else rows.filter(pick)).select(sparse("t").alias("f"), "y").select("f.b", "f.w", "y").toArrow()
+    docs = [(b.values.to_numpy(), w.values.to_numpy(), y.as_py()) for b, w, y in zip(got["b"], got["w"], got["y"])]
+    docs.sort(key=lambda d: (len(d[0]), d[0].tobytes(), d[2]))                # the same fit for any row order
+    return train([d[:2] for d in docs], np.array([d[2] for d in docs]), **training)
 
 
 def score(model: QualityModel, spark, text: Column) -> Column:
