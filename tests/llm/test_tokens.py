@@ -11,7 +11,8 @@ from tidemark.llm import packing, queries, token_files
 from tidemark.llm.tokens import Encoder
 
 ODD = ["a  b", "a \n b\n\nc  ", "\x1c a\x1cb \x85c", "it's  don't", "<|endoftext|> a", "Σας ΟΔΟΣ.", "é ́x", "日本 語　テ", " lead", "x\x01y z",
-       "tab\t\tx\ty ", "'s a", "'s\n's", "İ, x", "a\nb.\n, c .", "12 34  5", "...\n...,, (a)", "é" * 5000]
+       "tab\t\tx\ty ", "'s a", "'s\n's", "İ, x", "a\nb.\n, c .", "12 34  5", "...\n...,, (a)", "é" * 5000,
+       "a., b;; c!? d", "a.", ".", "x.\ny. z", "ab.c d.", "É. ß, ×. 1. a'. Σ. don't.", "Straße. Über, naïve; Ǆ. ŉ. ſ, ÿ:"]
 DOCS = [(3, "a b c"), (1, None), (2, ""), (2, ""), (None, "x y"), (7, "word " * 9000), (5, "The cat. " * 700)] + [(i, f"text {i} " * i) for i in range(10, 60)]
 
 
