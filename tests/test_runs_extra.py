@@ -27,9 +27,12 @@ def test_recollect_detail_null_aware(spark):
 
 
 def test_tables_loaded_and_flags(spark):
-    d = _detail(spark)
+    d = _detail(spark).withColumn("is_stage", F.col("table_name") == "stg_b")
     tables = spark.createDataFrame([("a", 1), ("b", 1), ("c", 1)], "table_name string, initialize int")
     assert sorted(r[0] for r in runs.tables_loaded(tables.select("table_name"), d, 1).collect()) == ["a", "b"]
+    real = spark.createDataFrame([("b",), ("stg_b",)], "table_name string")          # a real table named like a stage
+    for detail in (d.drop("is_stage"), d.withColumn("is_stage", F.lit(False))):
+        assert [r[0] for r in runs.tables_loaded(real, detail, 1).collect()] == ["stg_b"]
     flags = dict(runs.clear_init_flags(tables, d, 1, True, 8, False).collect())
     assert flags == {"a": 0, "b": 0, "c": 1}
     assert dict(runs.clear_init_flags(tables, d, 1, True, 0, False).collect()) == {"a": 1, "b": 1, "c": 1}

@@ -4,7 +4,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import asof_join, range_join
+from tidemark.operators.asof import asof_join, build_checkpoints, date_to_rv, range_join
 from tidemark.operators.versions import capture_deletes, number_rows, previous_per_key, stamp_versions
 
 
@@ -79,3 +79,27 @@ def test_range_join_matches_brute_force(spark):
     got = sorted((r["rv"], r["run"]) for r in range_join(p_df, iv_df, "rv", "rv_from", "rv_to").collect())
     exp = sorted((v, i) for v in pts for i, a, b in iv if a <= v <= b)
     assert got == exp
+
+
+def test_lookups_do_not_depend_on_the_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:                                                  # 02:30 does not exist on that day in New York
+        ck = spark.sql("select * from values (timestamp_ntz'2024-03-10 02:00:00', 10L), (timestamp_ntz'2024-03-10 03:00:00', 20L) t(date, rv)")
+        at = spark.sql("select timestamp_ntz'2024-03-10 02:30:15.250' as ts, 7L as rv")
+        assert date_to_rv(at.drop("rv"), ck, "ts").first()["rv"] == 10
+        assert build_checkpoints(at, "ts", "rv").selectExpr("cast(date as string) d", "rv").first() == ("2024-03-10 02:00:00", 7)
+        for unit, want in [("second", "2024-03-10 02:30:15"), ("minute", "2024-03-10 02:30:00"), ("day", "2024-03-10 00:00:00"), ("month", "2024-03-01 00:00:00")]:
+            assert build_checkpoints(at, "ts", "rv", unit).selectExpr("cast(date as string) d").first()["d"] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_asof_with_one_far_key_and_a_hot_one(spark):
+    n = 60_000
+    ck = spark.range(n).selectExpr("case when id = 0 then 1000000000000 else id * 2 end as rv", "id as val")
+    pts = spark.range(n).selectExpr("case when id % 3 = 0 then 777 else id * 2 + 1 end as v")
+    for limit in (10, 2_000_000):                         # shuffled, broadcast
+        got = asof_join(pts, ck, "v", "rv", "val", "d", broadcast_rows=limit)
+        bad = got.where("not (d <=> case when v < 2 then null else v div 2 end)")
+        assert got.count() == n and bad.count() == 0

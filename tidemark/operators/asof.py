@@ -1,13 +1,12 @@
-"""Version ↔ time lookups and interval joins, as bucketed equi-joins instead of nested loops.
+"""Version ↔ time lookups and interval joins, as equi-joins instead of nested loops.
 
 Checkpoints ``(date, rv)`` say which version had been issued at which time.  "Latest date whose version is at or
-below v" is an as-of join.  A direct ``max(date) … WHERE ck.rv <= v`` plans as a broadcast nested loop (rows × points);
-here the checkpoints become disjoint intervals ``[key_i, key_{i+1})`` carrying the running maximum of the value, the
-intervals are cut into fixed-width buckets of the key axis, and points equi-join on their bucket.  Each point meets
-exactly one interval, so the join emits no more rows than it reads.
+below v" is an as-of join.  A direct ``max(date) … WHERE ck.rv <= v`` plans as a broadcast nested loop (rows × points).
+Here the checkpoints, numbered in key order, are dealt into at most ``RANGES`` ranges of equal *depth*: every range
+holds the same number of them however unevenly the keys lie.  A point finds its range by a binary search in the
+constant array of range bounds and equi-joins on it, so it meets only the few intervals of that range.
 
-The interval table is derived without a single-task window: keys are split into about ``BUCKETS`` ranges, lead /
-running max run inside each range, and a per-range summary (≤ ``BUCKETS`` rows, broadcast) carries them across.
+Keys are compared without a time zone: wall-clock values (timestamp_ntz, date) are never cast through the session's.
 """
 from __future__ import annotations
 
@@ -15,30 +14,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from .versions import number_rows
 
-# Number of key ranges / buckets the interval machinery aims for (bounds the summary tables).
+# Number of buckets the interval join aims for.
 BUCKETS = 4096
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Most ranges of checkpoints; their bounds (one number each) reach the driver.
+RANGES = 1 << 14
+DEFAULT_BROADCAST_ROWS = 2_000_000       # rows of three or four fixed-width values: under 100 MB
 
 
-def _is_time(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))
+def _is_wall(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.TimestampNTZType, T.DateType))
 
 
-def _numeric(col: Column, dtype: T.DataType) -> Column:
-    """Order-preserving BIGINT view of a key (micros for timestamps)."""
-    if _is_time(dtype):
-        return F.unix_micros(col.cast("timestamp"))
+def _numeric(col: Column, dtype: T.DataType, wall: bool) -> Column:
+    """Order-preserving BIGINT view of a key: micros for times, of the wall clock when ``wall`` (either side of the
+    lookup is a wall-clock value), else of the instant."""
+    if isinstance(dtype, T.TimestampType) and not wall:
+        return F.unix_micros(col)
+    if _is_wall(dtype) or isinstance(dtype, T.TimestampType):
+        t = col.cast("timestamp_ntz")
+        day = F.unix_date(t.cast("date")).cast("bigint")
+        seconds = (day * 24 + F.hour(t)) * 3600 + F.minute(t) * 60
+        return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
     return col.cast("bigint")
 
 
+def _truncate(t: Column, unit: str) -> Column:
+    """``date_trunc`` of a wall-clock value without a time zone."""
+    part = F.extract(F.lit("SECOND"), t)
+    none = F.lit(0)
+    if unit == "second":
+        return t - F.make_dt_interval(none, none, none, part - F.floor(part))
+    if unit == "minute":
+        return t - F.make_dt_interval(none, none, none, part)
+    if unit == "hour":
+        return t - F.make_dt_interval(none, none, F.minute(t), part)
+    if unit == "day":
+        return t.cast("date").cast("timestamp_ntz")
+    return F.trunc(t.cast("date"), unit).cast("timestamp_ntz")
+
+
 def build_checkpoints(changes: DataFrame, time_col: str, version_col: str, unit: str = "hour",
                       how: str = "min") -> DataFrame:
     """One checkpoint per ``unit`` of time: the version known at that time (``min`` or ``max`` in the bucket).
     Map-side partial aggregation; output size is the number of time buckets."""
     agg = F.min if how == "min" else F.max
-    return (changes.groupBy(F.date_trunc(unit, F.col(time_col)).cast("timestamp_ntz").alias("date"))
+    return (changes.groupBy(_truncate(F.col(time_col).cast("timestamp_ntz"), unit).alias("date"))
             .agg(agg(version_col).alias("rv")))
 
 
@@ -47,63 +69,54 @@ def _div(col: Column, width: int) -> Column:
     return F.floor(col.cast("decimal(38,0)") / F.lit(int(width))).cast("bigint")
 
 
-def _bounds(df: DataFrame, key_num: Column):
-    r = df.agg(F.min(key_num).alias("lo"), F.max(key_num).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    return r["lo"], r["hi"], r["n"]
-
-
-def interval_table(ck: DataFrame, key_col: str, val_col: str, running_max: bool = True):
-    """Checkpoints → (``_start``, ``_end``, ``_val``) on the numeric key axis; ``_end`` NULL for the last interval.
+def checkpoint_ranges(ck: DataFrame, key_num: Column, val_col: str):
+    """Checkpoints → (``_range``, ``_start``, ``_end``, ``_val``): disjoint intervals ``[_start, _end)`` of the numeric
+    key that carry the running maximum of the value (right even when it falls); ``_end`` is NULL for the last one.
 
-    Returns (intervals DataFrame, lo, hi, rows).
+    Returns (intervals, first key of each range, number of intervals).  Lead and running maximum run inside a range;
+    a summary of one row a range carries them across, so no window sees all checkpoints.
     """
-    dtype = ck.schema[key_col].dataType
-    base = (ck.where(F.col(key_col).isNotNull() & F.col(val_col).isNotNull())
-            .select(_numeric(F.col(key_col), dtype).alias("_k"), F.col(val_col).alias("_v"))
+    base = (ck.select(key_num.alias("_k"), F.col(val_col).alias("_v")).where("_k is not null and _v is not null")
             .groupBy("_k").agg(F.max("_v").alias("_v")))
-    # Checkpoints are small (one row per time bucket) but may be derived from a large table: materialise them
-    # once in the shared checkpoint folder so the bounds, the per-range window and the summary read that copy.
-    checkpoint_dir(ck.sparkSession)
-    base = base.checkpoint(eager=True)
-    lo, hi, n = _bounds(base, F.col("_k"))
-    if not n:
-        return None, None, None, 0
-    width = max((hi - lo) // BUCKETS + 1, 1)
-    r = base.withColumn("_r", _div(F.col("_k") - F.lit(lo), width))
-    w_in = Window.partitionBy("_r").orderBy("_k")
-    r = r.select("_r", "_k", "_v",
-                 F.lead("_k").over(w_in).alias("_next_in"),
-                 F.max("_v").over(w_in.rowsBetween(Window.unboundedPreceding, 0)).alias("_run_in"))
-    summary = base.withColumn("_r", _div(F.col("_k") - F.lit(lo), width)) \
-        .groupBy("_r").agg(F.min("_k").alias("_first"), F.max("_v").alias("_rmax"))
-    w_all = Window.orderBy("_r")   # over ≤ BUCKETS summary rows only
-    summary = summary.select("_r", F.lead("_first").over(w_all).alias("_next_range"),
-                             F.max("_rmax").over(w_all.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_max"))
-    iv = r.join(F.broadcast(summary), "_r")
-    val = F.greatest(F.col("_run_in"), F.col("_prev_max")) if running_max else F.col("_v")
-    iv = iv.select(F.col("_k").alias("_start"), F.coalesce("_next_in", "_next_range").alias("_end"),
-                   val.alias("_val"))
-    return iv, lo, hi, n
+    numbered = number_rows(base, ["_k"], -1, "_n")       # materialised: the uses below read the same numbers
+    n = numbered.count()
+    depth = max(-(-n // RANGES), 1)
+    r = numbered.withColumn("_range", F.expr(f"cast(_n div {depth} as int)"))
+    first = [x["_k"] for x in numbered.where(F.col("_n") % depth == 0).orderBy("_k").select("_k").collect()]
+    inside = Window.partitionBy("_range").orderBy("_k")
+    r = r.select("_range", "_k", F.lead("_k").over(inside).alias("_next"),
+                 F.max("_v").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_run"), "_v")
+    across = Window.orderBy("_range")                    # at most RANGES summary rows
+    summary = r.groupBy("_range").agg(F.min("_k").alias("_first"), F.max("_v").alias("_top")).select(
+        "_range", F.lead("_first").over(across).alias("_next_range"),
+        F.max("_top").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    iv = r.join(F.broadcast(summary), "_range").select(
+        "_range", F.col("_k").alias("_start"), F.coalesce("_next", "_next_range").alias("_end"),
+        F.greatest("_run", "_before").alias("_val"))
+    return iv, first, n
+
+
+def _range_of(key: Column, first: list) -> Column:
+    """Number of the last range that starts at or below ``key`` (-1: none): a binary search in a constant array."""
+    bounds = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")      # folded into one literal
+    steps = [1 << i for i in reversed(range(len(first).bit_length()))]
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0),
+                        lambda at, s: F.when((at + s <= len(first)) & (F.get(bounds, at + s - 1) <= key), at + s).otherwise(at))
+    return F.when(key.isNotNull(), found - 1)
 
 
 def asof_join(points: DataFrame, ck: DataFrame, point_col: str, key_col: str, val_col: str, out_col: str,
               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``out_col`` = max(``val_col``) over checkpoints with ``key_col`` ≤ the point's ``point_col`` (else NULL)."""
     out_type = ck.schema[val_col].dataType
-    iv, lo, hi, n = interval_table(ck, key_col, val_col)
-    if iv is None:
+    ptype, ktype = points.schema[point_col].dataType, ck.schema[key_col].dataType
+    wall = _is_wall(ptype) or _is_wall(ktype)
+    iv, first, n = checkpoint_ranges(ck, _numeric(F.col(key_col), ktype, wall), val_col)
+    if not n:
         return points.withColumn(out_col, F.lit(None).cast(out_type))
-    width = max((hi - lo) // BUCKETS + 1, 1)
-    last_bucket = (hi - lo) // width
-    first = _div(F.col("_start") - F.lit(lo), width)
-    last = _div(F.coalesce(F.col("_end") - F.lit(1), F.col("_start")) - F.lit(lo), width)
-    exploded = iv.select("_start", "_end", "_val", F.explode(F.sequence(first, last)).alias("_b"))
-    pdtype = points.schema[point_col].dataType
-    pnum = _numeric(F.col(point_col), pdtype)
-    p = points.withColumn("_pk", pnum).withColumn(
-        "_b", F.least(_div(F.col("_pk") - F.lit(lo), width), F.lit(last_bucket)))
-    right = F.broadcast(exploded) if n + BUCKETS <= broadcast_rows else exploded
-    cond = ((p["_b"] == right["_b"]) & (p["_pk"] >= right["_start"])
+    p = points.withColumn("_pk", _numeric(F.col(point_col), ptype, wall)).withColumn("_range", _range_of(F.col("_pk"), first))
+    right = F.broadcast(iv) if n <= broadcast_rows else iv
+    cond = ((p["_range"] == right["_range"]) & (p["_pk"] >= right["_start"])
             & (right["_end"].isNull() | (p["_pk"] < right["_end"])))
     j = p.join(right, cond, "left")
     return j.select(*[p[c] for c in points.columns], right["_val"].cast(out_type).alias(out_col))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.defaults import default_for
-from ..functions.timefn import minus_days, minus_minutes, ts_literal
+from ..functions.timefn import minus_minutes, ts_literal
 from ..plans.spec import RESERVED, pick_date_column
 from .asof import asof_join
 from .versions import number_rows
@@ -26,14 +26,12 @@ MATCHED = "Matched"
 # Fixed value: name prefix of replicated checkpoint copies, which a multi-table compare leaves out.
 CHECKPOINT_COPY_PREFIX = "DatesFromSubscription"
 GRACE_MINUTES = 15
-MAX_ROWS = 100_000
-DAYS = 1
 
 
 def compared_columns(sub: DataFrame, keys: Sequence[str], identity: Sequence[str] = ()) -> list:
-    """Non-key columns in the subscriber's order, without versions, identity and binary columns."""
+    """Non-key columns in the subscriber's order, without versions and the identity columns that the caller names."""
     skip = set(keys) | set(RESERVED) | set(identity)
-    return [f.name for f in sub.schema.fields if f.name not in skip and not isinstance(f.dataType, T.BinaryType)]
+    return [f.name for f in sub.schema.fields if f.name not in skip]
 
 
 def _differs(p: Column, s: Column, name: str, dtype: T.DataType, nulls: str, defaults: dict | None = None) -> Column:
@@ -47,17 +45,29 @@ def _differs(p: Column, s: Column, name: str, dtype: T.DataType, nulls: str, def
 
 def classify_pairs(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
                    pub_version: str = "rv", sub_version: str = "sourcerv", nulls: str = "default",
-                   identity: Sequence[str] = (), defaults: dict | None = None) -> DataFrame:
+                   identity: Sequence[str] = (), defaults: dict | None = None,
+                   date_column: str | None = None, since=None) -> DataFrame:
     """Full outer join of the copies with a ``difference`` for every key (``Matched`` when equal).
-    ``defaults`` overrides the type default of named columns (e.g. a GUID column kept as text)."""
+    ``defaults`` overrides the type default of named columns (e.g. a GUID column kept as text).
+
+    ``since`` keeps the pairs whose ``date_column`` is at or after it on either side, or unknown on both.  It is
+    applied to the joined pair, so a row with a different date in each copy is one pair, not two missing rows.  The
+    column defaults to the usual date column of ``pub``; tables without one are compared whole."""
     keys = list(keys)
+    if since is not None and date_column is None:
+        date_column = pick_date_column(pub)
+    bounded = since is not None and date_column is not None
+    p_date, s_date = ([F.col(f"`{date_column}`").alias(n)] if bounded else [] for n in ("_p_date", "_s_date"))
     cols = list(columns) if columns is not None else compared_columns(sub, keys, identity)
     types = {f.name: f.dataType for f in sub.schema.fields}
     p = pub.select(*keys, *[F.col(f"`{c}`").alias(f"publisher_{c}") for c in cols],
-                   F.col(pub_version).alias("publisher_rv"), F.lit(True).alias("_p_hit"))
+                   F.col(pub_version).alias("publisher_rv"), F.lit(True).alias("_p_hit"), *p_date)
     s = sub.select(*keys, *[F.col(f"`{c}`").alias(f"subscriber_{c}") for c in cols],
-                   F.col(sub_version).alias("subscriber_sourcerv"), F.lit(True).alias("_s_hit"))
+                   F.col(sub_version).alias("subscriber_sourcerv"), F.lit(True).alias("_s_hit"), *s_date)
     j = s.join(p, keys, "full_outer")
+    if bounded:
+        newest = F.greatest("_p_date", "_s_date")
+        j = j.where((newest >= ts_literal(since)) | newest.isNull())
     diff = F.when(F.col("_p_hit").isNull(), F.lit(MISSING_IN_PUBLISHER)) \
             .when(F.col("_s_hit").isNull(), F.lit(MISSING_IN_SUBSCRIBER))
     for c in cols:
@@ -68,36 +78,19 @@ def classify_pairs(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
     return j.select(diff.alias("difference"), *keys, *side_cols, "publisher_rv", "subscriber_sourcerv")
 
 
-def _bounded_inputs(pub, sub, date_column, days, max_rows, now):
-    """Apply the date bound when the table is larger than ``max_rows``; None when it must be skipped."""
-    if max_rows is None:
-        return pub, sub, "full"
-    rows = pub.count()
-    if rows <= max_rows:
-        return pub, sub, "full"
-    if date_column is None:
-        return None, None, f"skipped: no date column and {rows} rows exceed {max_rows}"
-    cutoff = minus_days(ts_literal(now), days)
-    return pub.where(F.col(date_column) >= cutoff), sub.where(F.col(date_column) >= cutoff), "windowed"
-
-
 def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
                    checkpoints: DataFrame | None = None, now=None, grace_minutes: int = GRACE_MINUTES,
                    nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv",
-                   date_column: str | None = None, days: int = DAYS, max_rows: int | None = None,
+                   date_column: str | None = None, since=None,
                    ck_version: str = "rv", ck_date: str = "date", include_matched: bool = False,
                    identity: Sequence[str] = (), defaults: dict | None = None) -> DataFrame:
     """One row per difference: ``Missing in Publisher`` / ``Missing in Subscriber`` / ``Column does not match [c]``
     (first differing column in ``columns`` order), coalesced keys, both sides of each column, both versions and
     ``source_approx_date``.  Differences whose source time is within ``grace_minutes`` of ``now`` are left out
     (unknown time is kept).  ``nulls='default'`` makes NULL equal its type default; ``'strict'`` compares null-safely.
+    ``since`` bounds the compare by date (see ``classify_pairs``); the size of a table never does.
     """
-    if date_column is None and max_rows is not None:
-        date_column = pick_date_column(pub)
-    pub_b, sub_b, _mode = _bounded_inputs(pub, sub, date_column, days, max_rows, now)
-    if pub_b is None:
-        pub_b, sub_b = pub.limit(0), sub.limit(0)
-    pairs = classify_pairs(pub_b, sub_b, keys, columns, pub_version, sub_version, nulls, identity, defaults)
+    pairs = classify_pairs(pub, sub, keys, columns, pub_version, sub_version, nulls, identity, defaults, date_column, since)
     if not include_matched:
         pairs = pairs.where(F.col("difference") != MATCHED)
     if checkpoints is not None:
@@ -112,9 +105,10 @@ def compare_tables(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns:
 
 def compare_summary(pub: DataFrame, sub: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
                     nulls: str = "default", pub_version: str = "rv", sub_version: str = "sourcerv",
-                    identity: Sequence[str] = ()) -> DataFrame:
+                    identity: Sequence[str] = (), defaults: dict | None = None,
+                    date_column: str | None = None, since=None) -> DataFrame:
     """Count of keys per outcome, ``Matched`` included — the "matched N rows" message as data."""
-    pairs = classify_pairs(pub, sub, keys, columns, pub_version, sub_version, nulls, identity)
+    pairs = classify_pairs(pub, sub, keys, columns, pub_version, sub_version, nulls, identity, defaults, date_column, since)
     return pairs.groupBy("difference").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
@@ -138,25 +132,16 @@ def repair_from_diff(diff: DataFrame, pub: DataFrame, keys: Sequence[str], base:
     return patched, deletes
 
 
-def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = CHECKPOINT_COPY_PREFIX, max_rows: int | None = None,
-                **kw) -> DataFrame:
-    """Compare many tables (dict name → (pub, sub)) and union their summaries.
+def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = CHECKPOINT_COPY_PREFIX, **kw) -> DataFrame:
+    """Compare many tables (dict name → (pub, sub)) and union their summaries; ``kw`` as in ``compare_summary``.
 
-    Replicated checkpoint copies (``skip_prefix``) are left out; a table above ``max_rows`` without a date column
-    is reported as skipped instead of compared (the loop is over table specs, never over rows).
+    Replicated checkpoint copies (``skip_prefix``) are left out; every other table is compared (the loop is over table
+    specs, never over rows).
     """
     out = None
     for name, (pub, sub) in pairs.items():
         if skip_prefix and name.startswith(skip_prefix):
             continue
-        if max_rows is not None and pick_date_column(pub) is None:
-            n = pub.count()
-            if n > max_rows:
-                s = pub.sparkSession.createDataFrame(
-                    [(name, f"skipped: no date column and {n} rows exceed {max_rows}", n)],
-                    "table_name string, difference string, n bigint")
-                out = s if out is None else out.unionByName(s)
-                continue
         s = compare_summary(pub, sub, keys_of[name], **kw).select(F.lit(name).alias("table_name"), "difference", "n")
         out = s if out is None else out.unionByName(s)
     return out

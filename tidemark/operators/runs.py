@@ -140,13 +140,18 @@ def recollect_detail(detail: DataFrame, run_id: int, routines: DataFrame, measur
     return detail.where(~this).unionByName(kept_this).unionByName(measured.select(*detail.columns))
 
 
-def tables_loaded(tables: DataFrame, detail: DataFrame, run_id: int, stage_prefix: str = "stg_") -> DataFrame:
+def tables_loaded(tables: DataFrame, detail: DataFrame, run_id: int, stage_prefix: str = "stg_",
+                  stage_flag: str = "is_stage") -> DataFrame:
     """Tables of a feed that moved rows in a run: the detail names the table itself or its stage.
 
-    The two-branch OR of the match becomes one equi semi-join after normalising the stage name.
+    A row names a stage only if its boolean ``stage_flag`` says so; then ``stage_prefix`` is taken off the name.  A real
+    table whose name starts like a stage is matched as it is, also when the detail has no such column.  The two-branch
+    OR of the match becomes one equi semi-join.
     """
-    d = (detail.where(F.col("import_log_id") == F.lit(run_id))
-         .select(F.regexp_replace(F.col("table_name"), "^" + stage_prefix, "").alias("table_name")).distinct())
+    name = F.col("table_name")
+    if stage_flag in detail.columns:
+        name = F.when(F.col(stage_flag) & name.startswith(stage_prefix), F.expr(f"substring(table_name, {len(stage_prefix) + 1})")).otherwise(name)
+    d = detail.where(F.col("import_log_id") == F.lit(run_id)).select(name.alias("table_name")).distinct()
     return tables.join(d, "table_name", "left_semi")
 
 

@@ -143,7 +143,7 @@ class Fixtures:
             F.when(k % 109 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
             F.when(k % 107 == 0, F.lit(None).cast("double")).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
             (k + 1).alias("sourcerv"))
-        s_extra = o.where(k % 211 == 0).select((k + 10000000).alias("o_orderkey"), "o_orderstatus", "o_orderpriority",
+        s_extra = o.where(k % 211 == 0).select((-k - 1).alias("o_orderkey"), "o_orderstatus", "o_orderpriority",
                                                "o_totalprice", (k + 1).alias("sourcerv"))
         return p, s_main.unionByName(s_extra)
 

@@ -283,15 +283,39 @@ def compare_summary(spark, sf_dir):
 
 
 def compare_windowed(spark, sf_dir):
+    """The last year of ``orders`` by the newer date of each pair; some copies carry an older date than their source."""
     fx = _fx(spark, sf_dir)
     p, s = fx.pair
-    dates = fx.table("orders").select("o_orderkey", "o_orderdate")
-    p = p.join(dates, "o_orderkey")
-    s = s.join(dates.select((F.col("o_orderkey") + 10000000).alias("o_orderkey"), "o_orderdate")
-               .unionByName(dates), "o_orderkey")
-    now = str(fx.table("orders").agg(F.max("o_orderdate").cast("string")).first()[0])
-    return compare.compare_tables(p, s, list(PAIR_KEYS), list(PAIR_COLUMNS), now=now, date_column="o_orderdate",
-                                  days=365, max_rows=1000)
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    orders = fx.table("orders")
+    older = F.when(k % 97 == 0, F.date_sub(d, 400)).otherwise(d)
+    s_dates = orders.select(k, older.alias("o_orderdate")).unionByName(
+        orders.where(k % 211 == 0).select((-k - 1).alias("o_orderkey"),
+                                          F.when((-k - 1) % 97 == 0, F.date_sub(d, 400)).otherwise(d).alias("o_orderdate")))
+    since = str(orders.agg(F.date_sub(F.max(d), 365)).first()[0])
+    return compare.compare_tables(p.join(orders.select(k, d.alias("o_orderdate")), "o_orderkey"), s.join(s_dates, "o_orderkey"),
+                                  list(PAIR_KEYS), list(PAIR_COLUMNS), date_column="o_orderdate", since=since)
+
+
+def _marks(fx):
+    """The two copies with one binary column."""
+    mark = F.encode("o_orderstatus", "utf-8").alias("mark")
+    p, s = fx.pair
+    return p.select("o_orderkey", mark, "rv"), s.select("o_orderkey", mark, "sourcerv")
+
+
+def compare_binary(spark, sf_dir):
+    p, s = _marks(_fx(spark, sf_dir))
+    diff = compare.compare_tables(p, s, list(PAIR_KEYS))
+    return diff.select("difference", "o_orderkey", F.hex("publisher_mark").alias("publisher_mark"),
+                       F.hex("subscriber_mark").alias("subscriber_mark"))
+
+
+def compare_all(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    keys = list(PAIR_KEYS)
+    pairs = {"orders": fx.pair, "marks": _marks(fx), compare.CHECKPOINT_COPY_PREFIX + "_1": fx.pair}
+    return compare.compare_all(pairs, dict.fromkeys(pairs, keys))
 
 
 def repair_from_diff(spark, sf_dir):
@@ -386,6 +410,8 @@ QUERIES = {
     "compare_strict": compare_strict,
     "compare_summary": compare_summary,
     "compare_windowed": compare_windowed,
+    "compare_binary": compare_binary,
+    "compare_all": compare_all,
     "repair_from_diff": repair_from_diff,
     "fill_type_defaults": fill_type_defaults_q,
     "format_duration": format_duration_q,

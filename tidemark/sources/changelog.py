@@ -24,9 +24,10 @@ class ChangeLog:
         self.block = int(block)
 
     def append(self, changes: DataFrame) -> None:
-        """Add change records; rows are clustered by block and sorted by version inside each file."""
+        """Add change records.  Rows are range-partitioned by version, so a large block is written by many tasks and each
+        file holds a narrow, sorted stretch of versions."""
         out = changes.withColumn(BLOCK_COL, F.expr(f"`{SOURCE_VERSION}` div {self.block}"))
-        (out.repartition(BLOCK_COL).sortWithinPartitions(BLOCK_COL, SOURCE_VERSION)
+        (out.repartitionByRange(BLOCK_COL, SOURCE_VERSION).sortWithinPartitions(BLOCK_COL, SOURCE_VERSION)
          .write.mode("append").partitionBy(BLOCK_COL).parquet(self.root))
 
     def read(self) -> DataFrame:
