@@ -56,6 +56,24 @@ def test_toxicity_without_labels_and_edge_rows(spark, label):
     assert edge.limit(0).select(toxicity.score(model, spark, F.col("text"))).count() == 0
 
 
+def test_toxicity_ships_or_joins_with_equal_scores(spark):
+    rows = spark.createDataFrame(list(texts(240)), "doc_id long, text string, toxic int")
+    part = F.col("doc_id") % 5 == 1
+    shipped, joined = toxicity.fit(rows, part=part), toxicity.fit(rows, part=part, max_shipped=5)
+    assert isinstance(shipped, toxicity.ToxicityModel) and isinstance(joined, toxicity.JoinedModel)
+    edge = spark.createDataFrame(EDGE + [(i, t) for i, t, _ in texts(40, seed=4)], "doc_id long, text string")
+    some = edge.withColumn("gram", F.lit("clash")).withColumn("word", F.lit("clash"))
+    a, b = (toxicity.with_score(some, m) for m in (shipped, joined))
+    assert a.columns == b.columns == [*some.columns, "score"]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    a, b = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
+    assert [r[:2] for r in a] == [r[:2] for r in b] and [r["score"] for r in a] == pytest.approx([r["score"] for r in b], abs=1e-9)
+    words = spark.createDataFrame([(w,) for w in ("stone", "idiot", "qzxv")], "word string")      # an ordinary word stays ordinary
+    got = {r["word"]: r["ratio"] for r in joined.ratios(words).collect()}
+    assert got == {w: pytest.approx(shipped.ratios([w])[0]) for w in got} and len(got) == 3
+    assert toxicity.with_score(some.limit(0), joined).count() == 0
+
+
 def test_quality_held_out(spark):
     rows = [(i, (t.upper().replace(" ", "!! ") if i % 4 == 0 else " ".join([t.split()[0]] * 40) if i % 4 == 1 else t), int(i % 4 > 1)) for i, t, _ in texts(300)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")

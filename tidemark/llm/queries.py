@@ -41,8 +41,8 @@ def toxicity_model(spark, sf_dir, docs):
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity_model(spark, sf_dir, docs)
-    return (docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), toxicity.score(model, spark, F.col("text")).alias("score"))
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    scored = toxicity.with_score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ classes.  A rare expression therefore falls back to the same probability in both
 expression that one class favours, also with an ending not met before, separates them.
 
 A word counts once per document, so one document repeating itself is one observation.  All labelled rows of the
-training fold are counted, in Spark; the model that reaches the scoring tasks is bounded by ``max_grams`` entries,
-those that separate the classes most.
+training fold are counted, in Spark, and no entry of the model is left out.  While its counted entries are at most
+``max_shipped`` the sorted tables travel to the tasks (16 bytes an entry); beyond that the distinct words' grams are
+joined with the tables, which gives the same evidence.
 
 A document's evidence, normalised for its length, is three figures over its distinct words' log-likelihood ratios:
 the mean ratio, the largest ratio, and the ratio of a mixture in which a small share of words follows the toxic
@@ -28,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import logistic, written
+from .common import ROWS_A_FILE, logistic, written
 
 ORDER = 5                 # characters in a gram
 DISCOUNT = 0.9            # taken off each class count of the highest order
@@ -36,6 +37,7 @@ SHARED_DISCOUNT = 0.75    # taken off each pooled continuation count
 SHARE = 0.02              # share of toxic words in the mixture
 MEMO_WORDS = 200_000      # words whose ratio a task remembers at once
 NEW_WORDS = 20_000        # words whose ratios are worked out together
+MAX_SHIPPED = 4_000_000   # entries of the model that travel to the tasks: at most 64 MB a task
 WORD = re.compile(r"[^\W_]+")
 PAD, END = "\x02", "\x03"
 FEATURES = ("mean_ratio", "max_ratio", "mixture_ratio")
@@ -127,13 +129,8 @@ def gram_ratios(grams: DataFrame, order: int = ORDER, discount: float = DISCOUNT
     return seen, unseen
 
 
-def _table(frame: DataFrame, key: str, max_grams: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes and ratios of about ``max_grams`` entries at most, those of the largest ratios."""
-    size = F.abs("ratio")
-    n = frame.count()
-    if n > max_grams:
-        least = frame.select(size.alias("size")).approxQuantile("size", [1 - max_grams / n], 0.001)[0]
-        frame = frame.filter(size > least)
+def _table(frame: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes and ratios of all entries."""
 
     @F.pandas_udf("long")
     def code(grams: pd.Series) -> pd.Series:
@@ -210,14 +207,65 @@ def _look_up(table, codes):
     return np.where(found, table[1][at], 0.0), ~found
 
 
-def _model(labelled, text_col, label_col, order, max_grams) -> ToxicityModel:
-    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams", 2 * max_grams)
+@dataclass
+class JoinedModel:
+    """A model whose tables, (gram, ratio) and (head, ratio), stay DataFrames."""
+    order: int
+    grams: DataFrame
+    heads: DataFrame
+    curve: tuple = None
+
+    def ratios(self, words: DataFrame) -> DataFrame:
+        """(word, ratio) of distinct ``words`` (word)."""
+        order = self.order
+        schema = pa.schema([("word", pa.string()), ("gram", pa.string())])
+
+        def run(batches):
+            for batch in batches:
+                found = batch.column(0).to_pylist()
+                if found:
+                    _, _, sizes, at, joined = _codes(found, order)
+                    names = pa.array(found, pa.string()).take(pa.array(np.repeat(np.arange(len(found)), sizes)))
+                    yield pa.RecordBatch.from_arrays([names, pa.array([joined[i:i + order] for i in at.tolist()], pa.string())], schema=schema)
+
+        grams = words.mapInArrow(run, "word string, gram string").withColumn("head", F.substring("gram", 1, order - 1))
+        seen, unseen = self.grams.withColumnRenamed("ratio", "seen"), self.heads.withColumnRenamed("ratio", "unseen")
+        both = grams.join(seen, "gram", "left").join(unseen, "head", "left")
+        return both.groupBy("word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("ratio"))
+
+    def with_evidence(self, docs: DataFrame, text: Column, name: str) -> DataFrame:
+        """``docs`` with their FEATURES as an array; worked out once for each distinct text."""
+        key = F.sha2(F.coalesce(text, F.lit("")), 256)
+        schema = pa.schema([("_key_", pa.string()), ("word", pa.string())])
+
+        def run(batches):
+            for batch in batches:
+                for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    words = list(dict.fromkeys(words_of(t)))
+                    if words:
+                        yield pa.RecordBatch.from_arrays([pa.array([k] * len(words)), pa.array(words)], schema=schema)
+
+        pairs = docs.select(key.alias("k"), text.alias("t")).mapInArrow(run, "_key_ string, word string").distinct()
+        z = F.col("ratio")
+        mixture = F.sum(F.log1p(SHARE * F.expm1(F.least(z, F.lit(50.0))))) / F.sqrt(F.count(F.lit(1)))
+        found = (pairs.join(self.ratios(pairs.select("word").distinct()), "word").groupBy("_key_")
+                 .agg(F.array(F.avg(z), F.max(z), mixture).alias("_found_")))
+        zero = F.array(*[F.lit(0.0)] * len(FEATURES))
+        return (docs.withColumn("_text_key_", key).join(found, F.col("_text_key_") == F.col("_key_"), "left")
+                .select(*[docs[c] for c in docs.columns if c != name], F.coalesce("_found_", zero).alias(name)))
+
+
+def _model(labelled, text_col, label_col, order, max_shipped) -> ToxicityModel | JoinedModel:
+    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams", 2 * max(max_shipped, ROWS_A_FILE))
     seen, unseen = gram_ratios(grams, order)
-    return ToxicityModel(order, _table(seen, "gram", max_grams, order), _table(unseen, "head", max_grams, order))
+    heads = grams.select(F.substring("gram", 1, order - 1)).distinct().count()
+    if grams.count() + heads <= max_shipped:
+        return ToxicityModel(order, _table(seen, "gram"), _table(unseen, "head"))
+    return JoinedModel(order, written(seen, "toxic-ratios"), written(unseen, "toxic-heads"))
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", part: Column | None = None, *,
-        order: int = ORDER, max_grams: int = 1_000_000, max_curve_rows: int = 50_000) -> ToxicityModel:
+        order: int = ORDER, max_shipped: int = MAX_SHIPPED, max_curve_rows: int = 50_000) -> ToxicityModel | JoinedModel:
     """Fit both models on all rows of ``labelled``.
 
     ``part`` (a condition on the rows) marks the share used for the curve: a first pair of models is counted without
@@ -226,26 +274,29 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", p
     """
     part = F.pmod(F.xxhash64(F.col(text_col)), F.lit(5)) == 0 if part is None else part
     rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), part.alias("part")).filter("t is not null and y in (0, 1)")
-    first = _model(rows.filter("not part"), "t", "y", order, max_grams)
+    first = _model(rows.filter("not part"), "t", "y", order, max_shipped)
     n = rows.filter("part").count()
     share = min(1.0, max_curve_rows / max(n, 1))
     chosen = rows.filter("part") if share == 1.0 else rows.filter(F.col("part") & (F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20))))
-    shared = rows.sparkSession.sparkContext.broadcast(first.parts())
+    if isinstance(first, JoinedModel):
+        seen = first.with_evidence(chosen.select("t", "y"), F.col("t"), "x").select("x", "y").toPandas()
+    else:
+        shared = rows.sparkSession.sparkContext.broadcast(first.parts())
 
-    @F.pandas_udf("array<double>")
-    def evidence(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(ToxicityModel(*shared.value).evidence(texts)))
+        @F.pandas_udf("array<double>")
+        def evidence(texts: pd.Series) -> pd.Series:
+            return pd.Series(list(ToxicityModel(*shared.value).evidence(texts)))
 
-    seen = chosen.select(evidence("t").alias("x"), "y").toPandas()
+        seen = chosen.select(evidence("t").alias("x"), "y").toPandas()
     x = np.array(seen["x"].tolist()).reshape(-1, len(FEATURES))
     curve = logistic(x, seen["y"].to_numpy(dtype=float), np.ones(len(x)))
-    model = _model(rows, "t", "y", order, max_grams)
+    model = _model(rows, "t", "y", order, max_shipped)
     model.curve = curve
     return model
 
 
 def score(model: ToxicityModel, spark, text: Column) -> Column:
-    """The score of a text column, as a column."""
+    """The score of a text column, as a column; for a model whose tables are shipped."""
     shared = spark.sparkContext.broadcast(model.parts())
 
     @F.pandas_udf("double")
@@ -253,3 +304,15 @@ def score(model: ToxicityModel, spark, text: Column) -> Column:
         return pd.Series(ToxicityModel(*shared.value).scores(texts))
 
     return scored(text)
+
+
+def with_score(docs: DataFrame, model: ToxicityModel | JoinedModel, text_col: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with the score of their texts as column ``name``, whichever way the model is looked up."""
+    if isinstance(model, ToxicityModel):
+        return docs.withColumn(name, score(model, docs.sparkSession, F.col(text_col)))
+    mean, scale, beta, intercept = model.curve
+    total = F.lit(float(intercept))
+    for i in range(len(FEATURES)):
+        total = total + (F.get("_evidence_", F.lit(i)) - float(mean[i])) / float(scale[i]) * float(beta[i])
+    found = model.with_evidence(docs, F.col(text_col), "_evidence_")
+    return found.withColumn(name, 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total))))).drop("_evidence_")
