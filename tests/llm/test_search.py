@@ -141,6 +141,33 @@ def test_decontamination(spark):
     assert decontam.overlaps(frame.limit(0), items).count() == 0 and decontam.overlaps(frame, items.limit(0)).count() == 0
 
 
+def test_the_longest_run_that_meets_the_share(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [bool(x) for x in rng.random(int(rng.integers(1, 60))) < rng.choice([0.5, 0.7, 0.8])]) for i in range(150)]
+    rows.append((900, [True] * 5 + [False] * 2 + [True] * 6))           # neither part holds 10 equal words, the whole does
+    frame = spark.createDataFrame(rows, "n int, equal array<boolean>").select("n", decontam._best_run(F.col("equal"), 0.75).alias("run"))
+    got = {r["n"]: r["run"] for r in frame.collect()}
+    for n, equal in rows:
+        runs = [(b - a, -a) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1) if sum(equal[a:b]) >= 0.75 * (b - a)]
+        most = max((sum(equal[-a:-a + size]) for size, a in runs), default=0)
+        run = got[n]
+        assert run["matched"] == most
+        if most:
+            part = equal[run["first"]:run["first"] + run["length"]]
+            assert part[0] and part[-1] and sum(part) == most and most >= 0.75 * len(part)
+
+
+def test_looser_text_around_a_passage_does_not_hide_it(spark):
+    item = [f"i{n}" for n in range(60)]
+    good = set(range(20, 30)) | {32, 35, 38, 41, 44, 47} | {16, 13, 10, 7, 4}      # ten words in a row, a third around them
+    around = [w if n in good or n % 3 else f"x{n}" for n, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(around)), (2, " ".join(w if n in good else f"y{n}" for n, w in enumerate(item)))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    for limit in (1_000_000, 0):
+        got = {r["id"]: r for r in decontam.overlaps(docs, items, max_broadcast=limit).collect()}
+        assert set(got) == {1, 2} and all(r["matched"] >= 10 and r["share"] >= 0.75 for r in got.values())
+
+
 def test_decontamination_on_the_table_equals_shared_runs(spark):
     words = lambda t: re.findall(r"[^\W_]+", t.lower())
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()

@@ -4,12 +4,12 @@ A text becomes the array of its words' hashes (runs of letters and digits, lower
 ``SPAN`` words of which a fixed mask keeps some; the others may differ, so a passage with substituted words still
 shares seeds with its source.  Documents and benchmark items are joined on the seeds' hashes.  Each hit names a
 diagonal (place in the document minus place in the item), and the words of document and item along it are compared:
-the best run, scoring +1 for an equal word and -2 for another, is the overlap.  It is reported if at least
-``min_overlap`` words match (or ``min_share`` of an item shorter than that) and at least ``min_share`` of its words
-are equal.
+the longest run of which at least ``min_share`` of the words are equal, from an equal word to an equal word, is the
+overlap.  No other run of the diagonal that meets the share has more equal words, so none is lost.  It is reported if
+at least ``min_overlap`` words match (or ``min_share`` of an item shorter than that).
 
-The items' seeds are broadcast only while their number, which is counted, is at most ``max_broadcast``; beyond it the
-join shuffles.  The documents' text never moves; a hit takes along only the words the item can cover.
+The items' seeds, rows of three numbers without the words, are broadcast only while they are counted to be at most
+``max_broadcast``; beyond it the join shuffles.  A hit takes along only the words the item can cover.
 
 Defined cases: null and empty texts, and texts or items with fewer than ``SPAN`` words, have no seed and no overlap;
 repeated rows of a document are reported once for each item; repeated items are reported each under their id, and
@@ -57,22 +57,54 @@ def _seeded(words: DataFrame, prefix: str) -> DataFrame:
     return out.withColumn(f"{prefix}_at", F.col("k") % (F.col("size") - SPAN + 1)).drop("k", "size")
 
 
-def _best_run(equal: Column) -> Column:
-    """(score, matched, first, length) of the run with the highest score; of equals the first."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _best_run(equal: Column, min_share: float) -> Column:
+    """(matched, first, length) of the longest run with ``min_share`` equal words, of equals the first; its ends are equal words.
+
+    With ``gain`` for an equal word and ``gain - 10000`` for another, a run has the share if its sum is not negative.
+    Running sums are compared: the lowest up to i and the highest from j on tell whether a run of j - i words exists.
+    """
     i = lambda x: F.lit(x).cast("int")
-    run = F.struct(i(0).alias("score"), i(0).alias("matched"), i(0).alias("first"), i(0).alias("length"))
-    start = F.struct(run.alias("best"), run.alias("now"), i(0).alias("at"))
+    gain = 10_000 - round(min_share * 10_000)
+    n = F.size(equal)
+    nil = F.array(F.lit(0).cast("long"))
+
+    def add(acc, same):
+        total = F.element_at(acc["sums"], -1) + F.when(same, gain).otherwise(gain - 10_000).cast("long")
+        return F.struct(F.concat(acc["sums"], F.array(total)).alias("sums"), F.concat(acc["low"], F.array(F.least(F.element_at(acc["low"], -1), total))).alias("low"))
+
+    sums = F.aggregate(equal, F.struct(nil.alias("sums"), nil.alias("low")), add)
+
+    def highest(values):
+        start = F.slice(F.reverse(values), 1, 1)
+        return F.reverse(F.aggregate(F.slice(F.reverse(values), F.lit(2), n), start, lambda acc, x: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), x)))))
+
+    def walk(both):
+        start = F.struct(i(0).alias("i"), i(0).alias("j"), i(0).alias("length"), i(0).alias("first"))
+
+        def step(acc, _):
+            inside = (acc["i"] <= n) & (acc["j"] <= n)
+            fits = inside & (F.get(both["low"], acc["i"]) <= F.get(both["high"], acc["j"]))
+            longer = fits & (acc["j"] - acc["i"] > acc["length"])
+            return F.struct(F.when(inside & ~fits, acc["i"] + 1).otherwise(acc["i"]).cast("int").alias("i"), F.when(fits, acc["j"] + 1).otherwise(acc["j"]).cast("int").alias("j"),
+                            F.when(longer, acc["j"] - acc["i"]).otherwise(acc["length"]).cast("int").alias("length"), F.when(longer, acc["i"]).otherwise(acc["first"]).cast("int").alias("first"))
 
-    def step(acc, same):
-        score = acc["now"]["score"] + F.when(same, 1).otherwise(-2)
-        fresh = score <= 0
-        now = F.struct(F.when(fresh, i(0)).otherwise(score).cast("int").alias("score"),
-                       F.when(fresh, i(0)).otherwise(acc["now"]["matched"] + same.cast("int")).cast("int").alias("matched"),
-                       F.when(fresh, acc["at"] + 1).otherwise(acc["now"]["first"]).cast("int").alias("first"),
-                       F.when(fresh, i(0)).otherwise(acc["now"]["length"] + 1).cast("int").alias("length"))
-        return F.struct(F.when(now["score"] > acc["best"]["score"], now).otherwise(acc["best"]).alias("best"), now.alias("now"), (acc["at"] + 1).cast("int").alias("at"))
+        return F.aggregate(F.sequence(i(1), 2 * n + 2), start, step)
 
-    return F.aggregate(equal, start, step, lambda acc: acc["best"])
+    def trim(found):
+        def cut(run):
+            lead = F.greatest(F.array_position(run, F.lit(True)) - 1, F.lit(0))
+            trail = F.greatest(F.array_position(F.reverse(run), F.lit(True)) - 1, F.lit(0))
+            return F.struct(F.size(F.filter(run, lambda x: x)).alias("matched"), (found["first"] + lead).cast("int").alias("first"), (F.size(run) - lead - trail).cast("int").alias("length"))
+
+        return _let(F.slice(equal, found["first"] + 1, found["length"]), cut)
+
+    walked = _let(sums, lambda v: _let(F.struct(v["low"].alias("low"), highest(v["sums"]).alias("high")), walk))
+    return _let(walked, trim)
 
 
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -82,24 +114,24 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     Places count words from 0; ``share`` is matched / length, ``coverage`` matched / words of the item.
     """
     words = _words(docs, id_col, text_col, "doc")
-    item_words = _words(items, item_id, item_text, "item")
-    item_seeds = _seeded(item_words, "item").filter("seed is not null")
-    if item_seeds.count() <= max_broadcast:
-        hits = _seeded(words, "doc").join(F.broadcast(item_seeds), "seed")
-    else:                                     # seeds are shuffled without the words, which only hits get back
-        places = _seeded(words, "doc").drop("doc_words", "doc_id").join(item_seeds.drop("item_words", "item_id"), "seed")
-        places = places.select("doc_key", "item_key", "doc_at", "item_at", (F.col("doc_at") - F.col("item_at")).alias("d")).dropDuplicates(["doc_key", "item_key", "d"])
-        hits = places.join(item_words, "item_key").join(words, "doc_key")
+    item_words = _words(items, item_id, item_text, "item").dropDuplicates(["item_key"])
+    item_seeds = _seeded(item_words, "item").filter("seed is not null").select("seed", "item_key", "item_at", F.size("item_words").alias("item_size"))
     diagonal = F.col("doc_at") - F.col("item_at")
     first = F.greatest(diagonal, F.lit(0))                       # the document's words that the item can cover
     item_first = F.greatest(-diagonal, F.lit(0))
-    length = F.least(F.size("doc_words") - first, F.size("item_words") - item_first)
-    pairs = (hits.select("doc_id", "item_id", first.alias("first"), item_first.alias("item_first"), F.size("item_words").alias("item_size"),
-                         F.slice("doc_words", first + 1, length).alias("a"), F.slice("item_words", item_first + 1, length).alias("b"))
-             .groupBy("doc_id", "item_id", "first", "item_first", "item_size", F.xxhash64("a").alias("same"), F.xxhash64("b").alias("same_item"))
-             .agg(F.first("a").alias("a"), F.first("b").alias("b")))
-    run = pairs.withColumn("run", _best_run(F.zip_with("a", "b", lambda x, y: x == y)))
+    length = F.least(F.size("doc_words") - first, F.col("item_size") - item_first)
+    if item_seeds.count() <= max_broadcast:
+        hits = _seeded(words, "doc").join(F.broadcast(item_seeds), "seed")
+    else:                                     # seeds are shuffled without the words, which only hits get back
+        places = _seeded(words, "doc").drop("doc_words", "doc_id").join(item_seeds, "seed")
+        places = places.withColumn("d", diagonal).dropDuplicates(["doc_key", "item_key", "d"]).drop("d", "seed")
+        hits = places.join(words, "doc_key")
+    pairs = (hits.select("doc_id", "item_key", first.alias("first"), item_first.alias("item_first"), "item_size", F.slice("doc_words", first + 1, length).alias("a"))
+             .groupBy("doc_id", "item_key", "first", "item_first", "item_size", F.xxhash64("a").alias("same")).agg(F.first("a").alias("a"))
+             .join(item_words, "item_key").withColumn("b", F.slice("item_words", F.col("item_first") + 1, F.size("a"))))
     needed = F.least(F.lit(float(min_overlap)), F.ceil(F.col("item_size") * min_share))
+    compared = pairs.select("doc_id", "item_id", "first", "item_first", "item_size", F.zip_with("a", "b", lambda x, y: x == y).alias("equal"))
+    run = compared.filter(F.size(F.filter("equal", lambda x: x)) >= needed).withColumn("run", _best_run(F.col("equal"), min_share))
     good = run.filter((F.col("run.matched") >= needed) & (F.col("run.matched") >= F.col("run.length") * min_share))
     best = F.max(F.struct(F.col("run.matched").alias("matched"), (-F.col("run.length")).alias("l"), (-F.col("first") - F.col("run.first")).alias("d"),
                           (-F.col("item_first") - F.col("run.first")).alias("i"), "item_size")).alias("best")
