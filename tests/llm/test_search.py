@@ -121,6 +121,30 @@ def test_licenses(spark):
     assert licenses.scan(docs, templates={}).count() == 0 and licenses.scan(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text,want", [
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0 line"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0 line"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0 line"]),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", ["CC BY-NC 4.0 long line"]),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC BY 4.0 line"]),
+    ("This work is licensed under a Creative Commons Attribution 3.0 International License.", []),
+    ("Licensed under CC BY-SA 4.0", ["CC BY-SA 4.0 short"]), ("Licensed under CC BY 4.0", ["CC BY 4.0 short"]),
+    ("Licensed under CC BY-NC 4.0", ["CC BY-NC 4.0 line"]), ("Licensed under CC BY-NC-SA 4.0", ["CC BY-NC-SA 4.0 short"]),
+    ("x Released under MIT License. y", ["MIT line"]), ("Released under the BSD License.", []), ("the work was released under the old license", []),
+    (licenses.TEMPLATES["Apache-2.0 notice"], ["Apache-2.0 notice"]), (licenses.TEMPLATES["GPL-2.0 notice"], ["GPL-2.0 notice"]),
+    ("Licensed under the Apache License, Version 2.0. All rights reserved.", ["Apache-2.0 line", "Reserved"]), (licenses.TEMPLATES["MIT text"], ["MIT text"]),
+    (licenses.TEMPLATES["GPL notice"].replace("program", "library"), ["GPL notice"]), (licenses.TEMPLATES["GPL notice"].replace("General", "Library General"), [])])
+def test_neighbouring_licences_are_told_apart(text, want):
+    scanner = licenses.Scanner(licenses.TEMPLATES, 3, 2, 4, 0.8)
+    assert [h[0] for h in scanner.scan(text)] == want
+    assert [h[0] for h in scanner.scan("Some words before it. " + text + " And others after.")] == want
+
+
+def test_every_template_finds_itself():
+    scanner = licenses.Scanner(licenses.TEMPLATES, 3, 2, 4, 0.8)
+    assert {n: [h[0] for h in scanner.scan(t)] for n, t in licenses.TEMPLATES.items()} == {n: [n] for n in licenses.TEMPLATES}
+
+
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
 

@@ -4,14 +4,20 @@ Templates are cut into words (letters and digits, lower case).  The codes of the
 of every ``window`` neighbouring codes the smallest is kept, so a run of k + window - 1 words that text and template
 share holds a kept code.  An inverted index maps each kept code to its templates and places.  A text looks up all its
 runs; hits on about the same diagonal make a candidate, and a banded alignment of the template with the text around
-it tells how many template words match, in order, and where.  A candidate is reported if the matched words cover at
-least ``min_coverage`` of the template.
+it tells how many template words match, in order, and where.  Templates under ``SHORT`` words keep all their codes,
+those under ``BRIEF`` words of runs of two.
+
+A candidate is reported if the matched words cover at least ``min_coverage`` of the template, the words between them
+are at most the share of the template that may be missing, and the words that tell licences apart (``TELLING`` and
+numbers) agree: each of the template's is matched, and none stands between the matched words.  So a notice of a
+neighbouring licence is not taken for the template.  Of overlapping candidates of all templates only the best, the one
+with the most matched words, is reported.
 
 The templates are a parameter and travel with the tasks; they are a short list, not a table that grows with the data.
 
 Defined cases: null and empty texts have no match; each occurrence is reported, also several in a text; rows that
-repeat an id are scanned each; of overlapping candidates of one template the best is kept, ties going to the first;
-an empty table or list of templates gives an empty result.  Only the id and text columns are read.
+repeat an id are scanned each; of overlapping candidates ties go to the larger coverage, then to the shorter span, the
+first place and the template's name; an empty table or list of templates gives an empty result.  Only the id and text columns are read.
 """
 from __future__ import annotations
 
@@ -33,7 +39,24 @@ TEMPLATES = {
     "CC BY-NC 4.0 line": "Licensed under CC BY-NC 4.0.",
     "CC BY 4.0 line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "Reserved": "All rights reserved.",
+    "GPL-2.0 line": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0 notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "AGPL notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "LGPL-2.1 line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    **{f"CC {kind} 4.0 short": f"Licensed under CC {kind} 4.0." for kind in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
+    **{f"CC {kind} 4.0 line": f"This work is licensed under a Creative Commons {name} 4.0 International License."
+       for kind, name in (("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                          ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))},
+    "CC BY-NC 4.0 long line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "MIT text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
 }
+# fixed values: words that tell neighbouring licences apart, besides numbers
+TELLING = frozenset("apache mit bsd gnu gpl lgpl agpl lesser library affero mozilla cc by nc sa nd attribution noncommercial sharealike noderivatives noderivs creative commons reserved".split())
+BRIEF, SHORT = 8, 16      # words of templates with runs of two, and of those that are not winnowed
 WORD = re.compile(r"[^\W_]+")
 OUT = "id long, template string, matched int, template_words int, coverage double, start_char long, end_char long, start_word long, end_word long"
 
@@ -81,9 +104,41 @@ def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> t
     return int(score[c]), int(first[c]), int(last[c])
 
 
+def chain(template: np.ndarray, words: np.ndarray, barred: set[int]) -> list[tuple[int, int]]:
+    """(place in the template, place in the words) of the matched words of a longest common subsequence, its ends cut.
+
+    The part is kept that scores most with +1 for a matched word and -1 for each word between two of them; it has no
+    ``barred`` word between them.
+    """
+    n, m = len(template), len(words)
+    best = np.zeros((n + 1, m + 1), dtype=np.int64)
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i, j] = best[i + 1, j + 1] + 1 if template[i] == words[j] else max(best[i + 1, j], best[i, j + 1])
+    pairs, i, j = [], 0, 0
+    while i < n and j < m:
+        if template[i] == words[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1, j] >= best[i, j + 1]:
+            i += 1
+        else:
+            j += 1
+    most, kept, score, first = 0, (0, 0), 0, 0
+    for at, (_, j) in enumerate(pairs):
+        between = words[pairs[at - 1][1] + 1:j].tolist() if at else []
+        score = 0 if barred.intersection(between) else score - len(between)
+        if score <= 0:
+            score, first = 0, at
+        score += 1
+        if score > most:
+            most, kept = score, (first, at + 1)
+    return pairs[slice(*kept)]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], k: int, window: int, band: int, min_coverage: float):
-        self.k, self.band, self.min_coverage = k, band, min_coverage
+        self.band, self.min_coverage = band, min_coverage
         words = {name: WORD.findall(t.lower()) for name, t in templates.items()}
         self.number: dict[str, int] = {}
         for ws in words.values():
@@ -91,42 +146,64 @@ class Scanner:
                 self.number.setdefault(w, len(self.number) + 1)
         self.names = [n for n in sorted(words) if words[n]]
         self.ids = [np.array([self.number[w] for w in words[n]], dtype=np.int64) for n in self.names]
-        self.index: dict[int, list[tuple[int, int]]] = {}
-        self.short: dict[int, list[int]] = {}
+        self.sets = [set(ids.tolist()) for ids in self.ids]
+        tells = lambda w: w in TELLING or w.isdigit()
+        self.must = [{self.number[w] for w in words[n] if tells(w)} for n in self.names]
+        self.telling = {-1} | {i for w, i in self.number.items() if tells(w)}
+        self.index: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for t, ids in enumerate(self.ids):
-            codes = _codes(ids, min(k, len(ids)))
-            if len(ids) < k:                         # shorter than a run: its whole word sequence is looked up
-                self.short.setdefault(len(ids), []).append(t)
-            for place in winnow(codes, window):
-                self.index.setdefault(int(codes[place]), []).append((t, place))
-        self.kept = np.array(sorted(self.index), dtype=np.uint64)
+            size = min(2 if 3 < len(ids) < BRIEF else k, len(ids))
+            codes = _codes(ids, size)
+            for place in range(len(codes)) if len(ids) < SHORT else winnow(codes, window):
+                self.index.setdefault(size, {}).setdefault(int(codes[place]), []).append((t, place))
+        self.kept = {size: np.array(sorted(found), dtype=np.uint64) for size, found in self.index.items()}
+
+    def _number(self, word: str) -> int:
+        """The number of a word; -1 for one of no template that tells licences apart."""
+        low = word.lower()
+        return self.number.get(low, -1 if low in TELLING or low.isdigit() else 0)
+
+    def _candidate(self, t: int, ids: np.ndarray, diagonal: int):
+        """(matched, first, last) if the template lies in the text around the diagonal."""
+        template, band = self.ids[t], self.band
+        n, least = len(template), self.min_coverage * len(template)
+        around = ids[max(0, diagonal - band):max(0, diagonal + n + band)].tolist()
+        if not self.must[t].issubset(around) or sum(w in self.sets[t] for w in around) < least:
+            return None
+        matched, first, last = align(template, ids, diagonal, band)
+        if matched < least:
+            return None
+        pairs = chain(template, ids[first:last + 1], self.telling)
+        begin, end = pairs[0][1], pairs[-1][1]
+        if len(pairs) < least or end + 1 - begin - len(pairs) > n - least:
+            return None
+        if not self.must[t].issubset(int(template[i]) for i, _ in pairs):
+            return None
+        return len(pairs), first + begin, first + end
 
     def scan(self, text: str | None) -> list[tuple]:
         if not text or not self.index:
             return []
-        words, number = WORD.findall(text), self.number
-        ids = np.fromiter((number.get(w.lower(), 0) for w in words), dtype=np.int64, count=len(words))
-        near: dict[int, list[int]] = {}
-        for size in {self.k, *self.short}:
+        words = WORD.findall(text)
+        ids = np.fromiter(map(self._number, words), dtype=np.int64, count=len(words))
+        near: set[tuple[int, int]] = set()
+        for size, index in self.index.items():
             codes = _codes(ids, size)
-            known = np.flatnonzero(np.isin(codes, self.kept)) if len(codes) else []
+            known = np.flatnonzero(np.isin(codes, self.kept[size])) if len(codes) else []
             for p in known:
-                for t, place in self.index[int(codes[p])]:
-                    if min(self.k, len(self.ids[t])) == size:
-                        near.setdefault(t, []).append(int(p) - place)
-        out, spans = [], []
-        for t, diagonals in sorted(near.items()):
-            found = []
-            for d in sorted(set(diagonals)):
-                matched, first, last = align(self.ids[t], ids, d, self.band)
-                if matched >= self.min_coverage * len(self.ids[t]):
-                    found.append((-matched, last - first, first, last))
-            taken = []
-            for neg, _, first, last in sorted(found):
-                if all(last < a or first > b for a, b in taken):
-                    taken.append((first, last))
-                    spans = spans or list(WORD.finditer(text))
-                    out.append((self.names[t], -neg, len(self.ids[t]), -neg / len(self.ids[t]), spans[first].start(), spans[last].end(), first, last + 1))
+                near.update((t, int(p) - place) for t, place in index[int(codes[p])])
+        found = set()
+        for t, d in near:
+            hit = self._candidate(t, ids, d)
+            if hit:
+                found.add((-hit[0], -hit[0] / len(self.ids[t]), hit[2] - hit[1], hit[1], self.names[t], len(self.ids[t])))
+        out, taken = [], []
+        spans = list(WORD.finditer(text)) if found else []
+        for neg, cover, long, first, name, size in sorted(found):
+            last = first + long
+            if all(last < a or first > b for a, b in taken):
+                taken.append((first, last))
+                out.append((name, -neg, size, -cover, spans[first].start(), spans[last].end(), first, last + 1))
         return sorted(out, key=lambda r: (r[4], r[0]))
 
 
