@@ -242,6 +242,16 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(values)) == len(rows) and not set(values) & set(rows)
 
 
+def test_names_do_not_run_out_and_families_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SYLLABLES", {k: v[:2] for k, v in pii.SYLLABLES.items()})        # 32 families at first
+    monkeypatch.setattr(pii, "GIVEN", {k: v[:2] for k, v in pii.GIVEN.items()})
+    last = [f"Петр{chr(0x430 + i)}{chr(0x430 + j)}" for i in range(20) for j in range(10)]
+    names = last + [f"Иван {n}" for n in last] + [f"Имя{chr(0x430 + i)} {last[0]}" for i in range(30)] + [f"Петр Иван {last[1]}"]
+    got = {r["canon"]: r["surrogate"] for r in pii.assign(spark.createDataFrame([("man", n) for n in names], "kind string, canon string"), "k").collect()}
+    assert set(got) == set(names) and len(set(got.values())) == len(names) and not set(got.values()) & set(names)
+    assert all(got[n].split()[-1] == got[n.split()[-1]] and len(got[n].split()) == len(n.split()) for n in names)
+
+
 def test_main_paths_run_no_python(spark):
     docs = spark.createDataFrame(PERSONAL, "doc_id long, text string")
     for df in (pii.replace(docs, "k")[0], decontam.overlaps(docs, docs.withColumnRenamed("doc_id", "item_id"))):

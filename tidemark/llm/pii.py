@@ -7,7 +7,9 @@ script, case and length of letters, digits as digits, valid octets, a card's che
 
 The distinct entities form a table.  Surrogates of attempt 0 that equal each other, or a value that occurs in the
 corpus, are found by grouping and joining; all but one of them go to the next attempt, until none is left.  So
-different entities keep different surrogates and no surrogate is someone's real value.  The surrogates are joined back
+different entities keep different surrogates and no surrogate is someone's real value.  Family names are assigned
+first, each once for its gender, so all mentions of a family share one; given names follow.  Both get a syllable more
+with every attempt, so free names do not run out.  The surrogates are joined back
 to the mentions, and only texts with mentions are put together again; the others pass as they are.
 
 Defined cases: null and empty texts stay as they are; repeated rows are rewritten alike; mentions that overlap are
@@ -108,18 +110,39 @@ def _check_digit(digits: Column) -> Column:
     return F.concat(F.expr("substring(_d_, 1, length(_d_) - 1)"), F.pmod(10 - total % 10, F.lit(10)).cast("string"))
 
 
-def _name(key: str, gender: str, script: str, name: Column, attempt: Column) -> Column:
-    """A given name of the gender (if the name has two parts) and a family name, in the script."""
-    given, syl = GIVEN[(script, gender)], SYLLABLES[script]
-    first, last = F.element_at(F.split(name, " "), 1), F.element_at(F.split(name, " "), -1)
-    pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
-    part = lambda j: pick(syl, _number(key, F.lit("family"), last, attempt, F.lit(j)))
-    family = F.concat(F.initcap(F.concat(*[part(j) for j in range(5)])), F.lit(ENDINGS[(script, gender)]))
-    return F.when(name.contains(" "), F.concat(pick(given, _number(key, F.lit("given"), first, attempt)), F.lit(" "), family)).otherwise(family)
+def _pick(values: tuple, n: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+
+
+def _by_script(name: Column, of) -> Column:
+    """``of`` the script that the name has letters of."""
+    return F.when(name.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(name.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin"))
+
+
+def _syllables(key: str, script: str, count: Column, *parts: Column) -> Column:
+    """``count`` syllables that depend on the key and the parts."""
+    some = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda j: _pick(SYLLABLES[script], _number(key, *parts, j)))
+    return F.when(count > 0, F.array_join(some, "")).otherwise("")
+
+
+def _family(key: str, gender: str, name: Column, attempt: Column) -> Column:
+    """A family name of 5 syllables and one more for each attempt, in the name's script."""
+    of = lambda script: F.concat(F.initcap(_syllables(key, script, attempt + 5, F.lit("family"), name, attempt)), F.lit(ENDINGS[(script, gender)]))
+    return _by_script(name, of)
+
+
+def _given(key: str, gender: str, names: Column, attempt: Column) -> Column:
+    """As many given names of the gender as ``names`` has, each with one syllable more for each attempt."""
+    def one(name, i):
+        of = lambda script: F.concat(_pick(GIVEN[(script, gender)], _number(key, F.lit("given"), name, i, attempt)),
+                                     _syllables(key, script, attempt, F.lit("more"), name, i, attempt))
+        return _by_script(name, of)
+
+    return F.array_join(F.transform(F.split(names, " "), one), " ")
 
 
 def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """``entities`` (kind, canon, attempt) with the surrogate of that attempt."""
+    """``entities`` (kind, canon, attempt) with the surrogate of that attempt; names bring their family's surrogate (family)."""
     kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
     alike = _alike(key, canon, kind, canon, attempt)
     octet = lambda j: (_number(key, kind, canon, attempt, F.lit(j)) % 254 + 1).cast("string")
@@ -132,10 +155,11 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     out = out.when(kind == "iban", F.concat(F.substring("canon", 1, 2), _alike(key, F.expr("substring(canon, 3)"), kind, canon, attempt)))
     out = out.when(kind == "hex", _alike(key, canon, kind, canon, attempt, lower="abcdef"))
     out = out.when((kind == "secret") & canon.rlike("^[0-9a-f]+$"), _alike(key, canon, kind, canon, attempt, lower="abcdef"))
+    family = F.col("family") if "family" in entities.columns else F.lit(None).cast("string")
     for gender in ("man", "woman"):
-        for script in ("cyrillic", "greek", "latin"):
-            fits = canon.rlike({"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "latin": "."}[script])
-            out = out.when((kind == gender) & fits, _name(key, gender, script, canon, attempt))
+        givens = F.regexp_extract(canon, "^(.*) [^ ]+$", 1)
+        out = out.when(kind == f"family of {gender}", _family(key, gender, canon, attempt))
+        out = out.when(kind == gender, F.when(canon.contains(" "), F.concat(_given(key, gender, givens, attempt), F.lit(" "), family)).otherwise(family))
     card = F.concat(F.substring("canon", 1, 1), F.expr("substring(_a_, 2)"))
     return (entities.withColumn("_a_", alike).withColumn("_d_", card)
             .withColumn("surrogate", F.when(kind == "card", _check_digit(F.col("_d_"))).otherwise(out.otherwise(F.col("_a_")))).drop("_a_", "_d_"))
@@ -143,7 +167,21 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def assign(entities: DataFrame, key: str, attempts: int = 50) -> DataFrame:
     """(kind, canon, surrogate) for distinct ``entities`` (kind, canon): distinct within a kind, and no entity's own value."""
-    real = entities.select("kind", F.col("canon").alias("surrogate"))
+    names, last = F.col("kind").isin("man", "woman"), F.element_at(F.split("canon", " "), -1)
+    people = entities.filter(names).withColumn("own", F.concat(F.lit("family of "), "kind")).withColumn("last", last)
+    families = people.select(F.col("own").alias("kind"), F.col("last").alias("canon")).distinct()
+    taken = families.select(F.explode(F.array(F.lit("family of man"), F.lit("family of woman"))).alias("kind"), F.col("canon").alias("surrogate"))
+    others = entities.filter(~names)
+    real = others.select("kind", F.col("canon").alias("surrogate")).union(taken).distinct()
+    first = _settle(others.select("kind", "canon").union(families), real, key, attempts)
+    settled = first.filter(F.col("kind").startswith("family of ")).select(F.col("kind").alias("own"), F.col("canon").alias("last"), F.col("surrogate").alias("family"))
+    people = people.join(settled, ["own", "last"]).select("kind", "canon", "family")
+    second = _settle(people, people.select("kind", F.col("canon").alias("surrogate")), key, attempts)
+    return first.filter(~F.col("kind").startswith("family of ")).union(second)
+
+
+def _settle(entities: DataFrame, real: DataFrame, key: str, attempts: int) -> DataFrame:
+    """(kind, canon, surrogate) of all entities; no surrogate is twice in a kind or among ``real`` (kind, surrogate)."""
     pending = entities.withColumn("attempt", F.lit(0))
     done = None
     for _ in range(attempts):
