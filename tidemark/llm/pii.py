@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import written
 
-_NAME = r"\p{Lu}\p{L}+(?:[-']\p{Lu}\p{L}+)?(?: \p{Lu}\p{L}+(?:[-']\p{Lu}\p{L}+)?)?"
+_PART = r"\p{Lu}\p{L}+(?:[-']\p{Lu}\p{L}+)?"
+# all capitalised parts that follow, initials before a part and particles between two
+_NAME = rf"(?:\p{{Lu}}\. )*{_PART}(?: (?:\p{{Lu}}\. )*(?:(?:de|del|della|der|den|di|da|dos|du|la|van|von|zu) )*{_PART})*"
 # fixed values: titles by gender
 MALE = r"(?:Mr\.?|Mister|Herr|Monsieur|Señor|Sr\.|г-н|господин|κ\.|Κύριος)"
 FEMALE = r"(?:Mrs\.?|Ms\.?|Miss|Frau|Madame|Mme|Señora|Sra\.|г-жа|госпожа|κα\.|Κυρία)"
@@ -33,15 +35,15 @@ TYPES = {
     "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:password|passwd|secret|token|api_key)\s?[=:]\s?\"?[A-Za-z0-9_/+.-]{8,}\"?",
     "hex": r"[0-9a-f]{32,64}(?![A-Za-z0-9])",
-    "iban": r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "phone": r"(?<!\d\.)(?:(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)|\+\d{8,14}(?!\d))",
+    "iban": r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?=(?: ?[A-Z]{0,4} ?\d){8}) [A-Z0-9]{4}(?: [A-Z0-9]{4}){1,6}(?: (?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "phone": r"(?<!\d\.)(?:(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?:\+\d{1,3}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)|\+\d{8,14}(?!\d)|\+\d{1,3}[ .-](?:\(\d{1,5}\)|\d{1,5})(?:[ .-]?\d{2,8}){1,3}(?!\d))",
     "ssn": r"(?<!\d-)\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<!\d\.)(?:(?:\d{4}[ -]){3}\d{1,7}(?!\d)|\d{13,19}(?!\d))",
+    "card": r"(?<!\d\.)(?:(?:\d{4}[ -]){3}\d{1,7}(?!\d)|\d{4}[ -]\d{6}[ -]\d{4,5}(?!\d)|\d{13,19}(?!\d))",
     "ip": r"(?<!\d\.)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
 }
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(TYPES.values()) + ")"
 # one of these is in every text that has a mention; a text without them need not be searched further
-HINT = rf"[0-9@=:]|(?<!\p{{L}})(?:{MALE}|{FEMALE}) "
+HINT = rf"[0-9@=:]|AKIA|[a-f]{{32}}|(?<!\p{{L}})(?:{MALE}|{FEMALE}) "
 DIGITS = ("phone", "ssn", "card")
 # fixed values: given names by script and gender, and what family names are composed of
 GIVEN = {
@@ -60,9 +62,25 @@ SYLLABLES = {
 ENDINGS = {("latin", "man"): "er", ("latin", "woman"): "er", ("cyrillic", "man"): "ов", ("cyrillic", "woman"): "ова", ("greek", "man"): "ης", ("greek", "woman"): "η"}
 
 
+def pattern_of(text: Column) -> Column:
+    """The pattern of a text's mentions: ``PATTERN``, and the names of two parts and more that the text has behind a title."""
+    longest = F.array_sort(names_of(text), lambda a, b: F.length(b["name"]) - F.length(a["name"]))
+    again = F.array_join(F.transform(longest, lambda x: F.concat(F.lit(r"\Q"), x["name"], F.lit(r"\E"))), "|")
+    return F.when(F.size(longest) == 0, F.lit(PATTERN)).otherwise(F.concat(F.lit(PATTERN[:-1] + "|(?:"), again, F.lit(r")(?![\p{L}\p{N}]))")))
+
+
+def names_of(text: Column) -> Column:
+    """The (name, kind) of all names of two parts and more that stand behind a title."""
+    def one(kind, title):
+        found = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}\p{{N}}]){title} ({_NAME})"), F.lit(1))
+        return F.transform(F.filter(found, lambda n: n.contains(" ")), lambda n: F.struct(n.alias("name"), F.lit(kind).alias("kind")))
+
+    return F.when(text.rlike(rf"(?:{MALE}|{FEMALE}) "), F.array_distinct(F.concat(one("man", MALE), one("woman", FEMALE)))).otherwise(F.array().cast("array<struct<name:string,kind:string>>"))
+
+
 def mentions(text: Column) -> Column:
-    """All mentions of a text, from the left."""
-    return F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1))
+    """All mentions of a text, from the left; a name that is behind a title once is found again without one."""
+    return F.regexp_extract_all(text, F.concat(F.lit("("), pattern_of(text), F.lit(")")), F.lit(1))
 
 
 def type_of(mention: Column) -> Column:
@@ -77,7 +95,8 @@ def canonical(kind: Column, mention: Column) -> Column:
     """What mentions of one entity have in common."""
     digits = F.regexp_replace(mention, r"\D", "")
     name = F.regexp_replace(mention, rf"^(?:{MALE}|{FEMALE}) ", "")
-    return (F.when(kind == "phone", F.when(mention.startswith("+") & ~mention.rlike(r"[ ().-]"), digits).otherwise(F.substring(digits, -10, 10)))
+    return (F.when(kind == "phone", F.when(mention.startswith("+") & ~mention.rlike(r"\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}$"), digits).otherwise(F.substring(digits, -10, 10)))
+            .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
             .when(kind.isin(*DIGITS), digits).when(kind == "email", F.lower(mention)).when(kind.isin("man", "woman"), name)
             .when(kind == "secret", F.regexp_extract(mention, r"[=:]\s?\"?([^\"]+)\"?$", 1)).otherwise(mention))
 
@@ -212,7 +231,8 @@ def render(kind: Column, mention: Column, canon: Column, surrogate: Column) -> C
     digits = F.aggregate(chars, start, step, lambda acc: acc["s"])
     upper = (F.upper(mention) == mention) & mention.rlike(r"\p{L}") & (kind == "email")
     inside = F.concat(F.expr("substring(mention, 1, locate(canon, mention) - 1)"), surrogate, F.expr("substring(mention, locate(canon, mention) + length(canon))"))
-    return F.when(kind.isin(*DIGITS), digits).when(upper, F.upper(surrogate)).when(kind.isin("man", "woman", "secret"), inside).otherwise(surrogate)
+    return (F.when(kind.isin(*DIGITS), digits).when(upper, F.upper(surrogate)).when(kind.isin("man", "woman", "secret"), inside)
+            .when((kind == "iban") & mention.contains(" "), F.regexp_replace(surrogate, "(.{4})(?=.)", "$1 ")).otherwise(surrogate))
 
 
 def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -223,16 +243,16 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     """
     text = F.col(text_col)
     flagged = docs.withColumn("_pii_", F.coalesce(text.rlike(HINT) & text.rlike(PATTERN), F.lit(False)))
-    some = flagged.filter("_pii_").select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), mentions(text).alias("m"))
-    found = written(some.select("id", "h", F.posexplode("m").alias("ord", "mention"))
-                    .withColumn("kind", type_of(F.col("mention"))).withColumn("canon", canonical(F.col("kind"), F.col("mention"))), "mentions")
+    some = flagged.filter("_pii_").select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), mentions(text).alias("m"), names_of(text).alias("names"))
+    found = written(some.select("id", "h", "names", F.posexplode("m").alias("ord", "mention"))
+                    .withColumn("kind", F.coalesce(F.get(F.filter("names", lambda x: x["name"] == F.col("mention")), F.lit(0))["kind"], type_of(F.col("mention")))).drop("names").withColumn("canon", canonical(F.col("kind"), F.col("mention"))), "mentions")
     table = assign(found.select("kind", "canon").distinct(), key)
     placed = (found.join(table, ["kind", "canon"])
               .withColumn("replacement", render(F.col("kind"), F.col("mention"), F.col("canon"), F.col("surrogate"))))
     texts = (placed.groupBy(F.col("id").alias("_id_"), F.col("h").alias("_h_")).agg(F.collect_set(F.struct("ord", "replacement")).alias("_new_")))
     held = flagged.filter("_pii_").withColumn("_own_", F.xxhash64(text))
     joined = held.join(texts, held[id_col].eqNullSafe(texts["_id_"]) & (held["_own_"] == texts["_h_"]))
-    between = F.split(text, PATTERN, -1)
+    between = F.split(text, pattern_of(text), -1)
     fresh = F.concat(F.transform(F.array_sort("_new_"), lambda x: x["replacement"]), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(between, fresh, lambda a, b: F.concat(a, b)), "")
     rewritten = joined.withColumn(text_col, whole).select(*docs.columns)
