@@ -50,3 +50,21 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-2,
         if np.abs(step).max() < 1e-7:
             break
     return mean, scale, beta[:-1], float(beta[-1])
+
+
+def numbered(df: DataFrame, order: list, name: str, col: str = "number") -> DataFrame:
+    """``df`` with ``col`` = 0, 1, 2, ... in the order of the columns ``order``, and no window over all rows.
+
+    Rows are dealt by range, sorted and written with their partition and place; the partitions' row counts, one number
+    each, are all that reaches the driver.  ``df`` is read twice (the ranges are sampled), so it should be a written table.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(placed.withColumn("_part_", F.spark_partition_id()).withColumn("_at_", F.monotonically_increasing_id()), name)
+    before, offsets = 0, []
+    for part, n in sorted((r["_part_"], r["n"]) for r in placed.groupBy("_part_").agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((part, before))
+        before += n
+    spark = df.sparkSession
+    first = F.broadcast(spark.createDataFrame(offsets, "_part_ int, _before_ long"))
+    at = F.col("_at_").bitwiseAND(F.lit((1 << 33) - 1))                  # the place in the partition
+    return placed.join(first, "_part_").withColumn(col, F.col("_before_") + at).drop("_part_", "_at_", "_before_")

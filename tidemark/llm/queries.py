@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.sources.tables import read_table
 
-from . import ann, decontam, langid, licenses, packing, pii, quality, simhash, token_files, toxicity
+from . import ann, decontam, langid, licenses, packing, pii, quality, resampling, sharding, simhash, token_files, toxicity, variants
 from .common import fold
 
 PII_KEY = "registered-query-key"       # a deployment passes its own secret
@@ -99,6 +99,25 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("p.best").alias("lang_pred"), "p.score", "p.margin", "p.rejected")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resampling.resample(docs, read_table(spark, sf_dir, "benchmark").select("text"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.group(variants.word_counts(docs, drop_every=199)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sharding.shard(docs, shards=40, row_bytes=16)
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_ann, op4_packing, op5_simhash, op6_quality, op7_licenses,
-                                   op8_token_files, op9_decontamination, op10_language)}
+                                   op8_token_files, op9_decontamination, op10_language, op11_resampling,
+                                   op12_variants, op13_sharding)}
 ORACLE_SQL: dict[str, str] = {}
