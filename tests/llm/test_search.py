@@ -1,5 +1,6 @@
 """Near-duplicates, neighbours, licences, decontamination and surrogates against brute force."""
 import re
+import time
 
 import numpy as np
 import pytest
@@ -274,3 +275,71 @@ def test_main_paths_run_no_python(spark):
     docs = spark.createDataFrame(PERSONAL, "doc_id long, text string")
     for df in (pii.replace(docs, "k")[0], decontam.overlaps(docs, docs.withColumnRenamed("doc_id", "item_id"))):
         assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+
+
+def test_one_row_of_a_component_stays(spark):
+    docs = spark.createDataFrame([(1, "one text of its own here", 1), (1, "quite another one that differs", 2), (5, "one text of its own here", 3),
+                                  (None, "no id a b c", 4), (None, "no id a b c", 5), (7, "same row x y z", 6), (7, "same row x y z", 6)], "doc_id long, text string, `meta.url` int")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, "no id a b c"), (1, "one text of its own here"), (1, "quite another one that differs"), (7, "same row x y z")]
+
+
+def test_repeated_words_and_long_items(spark):
+    words = " ".join(f"a{i}" for i in range(10_000))
+    docs = [(1, "word " * 5000), (2, "ha ha ho " * 1700), (3, f"x {words} y"), (4, "a b a b c"), (5, " ".join("z" if i % 9 == 0 else f"a{i}" for i in range(10_000)))]
+    items = [(10, "word " * 500), (11, "ha ha ho " * 170), (12, words)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("a.b", F.lit(1))
+    got = {(r["id"], r["item_id"]): r for r in decontam.overlaps(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == {(1, 10), (2, 11), (3, 12), (5, 12)}
+    assert [got[k]["matched"] for k in sorted(got)] == [500, 510, 10_000, 8888]
+    assert (got[(3, 12)]["doc_start"], got[(5, 12)]["length"]) == (1, 9998)
+
+
+def test_diagonals_equal_all_pairs_of_places(spark):
+    rng = np.random.default_rng(3)
+    runs = [(int(a), int(b) if n > 1 else 0, n) for a, b, n in zip(rng.integers(0, 30, 60), rng.integers(1, 5, 60), [int(x) for x in rng.integers(1, 7, 60)])]
+    rows = [(*x, *y) for x, y in zip(runs[::2], runs[1::2])]
+    frame = spark.createDataFrame(rows, "a_first int, a_step int, a_n int, b_first int, b_step int, b_n int")
+    for r, row in zip(frame.select(decontam._diagonals("a", "b").alias("d")).collect(), rows):
+        (f, s, n), (g, t, m) = row[:3], row[3:]
+        assert set(r["d"]) == {f + i * s - g - j * t for i in range(n) for j in range(m)}
+    places = spark.createDataFrame([(1, 9, int(p)) for p in (3, 4, 5, 6, 20, 22, 24, 50)], "x_key long, seed long, at int")
+    held = {r["first"] + i * r["step"] for r in decontam._strides(places, "x").collect() for i in range(r["n"])}
+    assert held == {3, 4, 5, 6, 20, 22, 24, 50}
+
+
+def test_long_runs_of_marks_take_linear_time(spark):
+    spark.range(10).select(F.col("id").cast("string").rlike(pii.PATTERN)).collect()
+    for mark in ("-", ".", "_", ":", "Dr. ", "A. ", "a.", "+1 "):
+        seconds = []
+        for n in (250_000, 1_000_000):
+            text = spark.createDataFrame([("x1 " + mark * (n // len(mark)),)], "t string")
+            begin = time.time()
+            text.select(F.col("t").rlike(pii.PATTERN)).collect()
+            seconds.append(time.time() - begin)
+        assert seconds[1] <= 8 * seconds[0] + 2, (mark, seconds)
+
+
+def test_one_person_in_all_spellings(spark):
+    rows = [(1, "Mr. JOHN SMITH and Mr. John Smith"), (2, "Mr. Smith, Smith again"), (3, "Dr. Smith came; Mr. John Smith called, SMITH left"), (4, "Smith alone, Dr. Brown too"),
+            (5, "DE89 3704 0044 0532 0130 00 at 2001:0db8:85a3:0000:0000:8a2e:0370:7334 or 2001:DB8::1; 12:30:45 std::vector a::b"), (6, "Frau Prof. Dr. Weber, Prof. Weber")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("meta.url", F.lit(1))
+    out, found = pii.replace(docs, "key")
+    assert out.columns == docs.columns
+    text = {r["doc_id"]: r["text"] for r in out.collect()}
+    one = re.fullmatch(r"Mr\. ([A-Z]+ [A-Z]+) and Mr\. (\w+ \w+)", text[1])
+    assert one[1] == one[2].upper() and one[2] != one[1] and "SMITH" not in one[1]
+    two = re.fullmatch(r"Mr\. (\w+), (\w+) again", text[2])
+    three = re.fullmatch(r"Dr\. (\w+) came; Mr\. (\w+) (\w+) called, ([A-Z]+) left", text[3])
+    assert two[1] == two[2] == three[1] == three[3] == one[2].split()[1] and three[4] == three[1].upper() and three[2] == one[2].split()[0]
+    assert text[4].startswith("Smith alone, Dr. ") and "Brown" not in text[4]
+    six = re.fullmatch(r"Frau Prof\. Dr\. (\w+), Prof\. (\w+)", text[6])
+    assert six[1] == six[2] != "Weber"
+    account, v6, short = re.fullmatch(r"(DE\d\d(?: \d{4}){4} \d\d) at ([0-9a-f:]{39}) or ([0-9A-F:]+); 12:30:45 std::vector a::b", text[5]).groups()
+    moved = account.replace(" ", "")[4:] + account[:4]
+    assert int("".join(str(int(c, 36)) for c in moved)) % 97 == 1 and "::" in short and v6 != rows[4][1].split()[7]
+    addresses = [("email", f"{c}@b.cc") for c in "abcdefghijklmnopqrstuvwxyz"]
+    values = [r["surrogate"] for r in pii.assign(spark.createDataFrame(addresses, "kind string, canon string"), "k").collect()]
+    assert len(set(values)) == 26 and not set(values) & {c for _, c in addresses}

@@ -25,11 +25,25 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def col(name: str) -> Column:
+    """The column of exactly this name, also if it holds dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def all_columns(df: DataFrame) -> list[Column]:
+    return [col(c) for c in df.columns]
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; -1 for a null id (which is in no fold)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds, F.lit(-1))
 
 
+def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
+    """A hash of a row's id and text, or of its text and place if there is no such id, by which samples are chosen."""
+    return F.xxhash64(F.lit(6), col(id_col) if id_col in df.columns else F.monotonically_increasing_id(), col(text_col))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-2, steps: int = 50):
     """Weighted logistic regression by Newton steps on standardised columns: (mean, scale, coefficients, intercept)."""
     if len(x) == 0:

@@ -4,12 +4,13 @@ A text becomes the array of its words' hashes (runs of letters and digits, lower
 ``SPAN`` words of which a fixed mask keeps some; the others may differ, so a passage with substituted words still
 shares seeds with its source.  Documents and benchmark items are joined on the seeds' hashes.  Each hit names a
 diagonal (place in the document minus place in the item), and the words of document and item along it are compared:
-the longest run of which at least ``min_share`` of the words are equal, from an equal word to an equal word, is the
-overlap.  No other run of the diagonal that meets the share has more equal words, so none is lost.  It is reported if
-at least ``min_overlap`` words match (or ``min_share`` of an item shorter than that).
+the run from an equal word to an equal word that has the most of them, at least ``min_share`` of its words, is the
+overlap.  It is reported if at least ``min_overlap`` words match (or ``min_share`` of an item shorter than that).
 
-The items' seeds, rows of three numbers without the words, are broadcast only while they are counted to be at most
-``max_broadcast``; beyond it the join shuffles.  A hit takes along only the words the item can cover.
+Until texts are compared only numbers move.  Seeds that no item has are dropped where they arise, by the items' distinct
+seeds, which are broadcast while at most ``max_broadcast``.  A seed that comes again and again, as in a repeated word or
+phrase, is folded into runs of equal steps on both sides before they are joined, so its hits are not multiplied out:
+two runs give their diagonals as a sequence.  Each pair of texts then meets once, with the set of its diagonals.
 
 Defined cases: null and empty texts, and texts or items with fewer than ``SPAN`` words, have no seed and no overlap;
 repeated rows of a document are reported once for each item; repeated items are reported each under their id, and
@@ -18,7 +19,9 @@ place in the document; empty tables give an empty result.  Only the id and text
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from .common import col, written
 
 MASKS = ("110011011", "111101001", "101011011")      # 1: the word counts; all of one length
 SPAN = len(MASKS[0])
@@ -44,67 +47,74 @@ def seeds(words: Column) -> Column:
     return F.when(F.size(words) >= SPAN, F.concat(*masks)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _words(rows: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
-    """The id, a key of id and text, and the words' hashes."""
-    text = F.col(text_col)
-    return rows.select(F.col(id_col).alias(f"{prefix}_id"), F.xxhash64(F.col(id_col), text).alias(f"{prefix}_key"), word_hashes(text).alias(f"{prefix}_words"))
+def _key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(col(id_col), col(text_col))
 
 
-def _seeded(words: DataFrame, prefix: str) -> DataFrame:
-    """One row per seed: the window's place and the seed beside the row's columns."""
-    out = words.select("*", seeds(F.col(f"{prefix}_words")).alias("seeds"))
-    out = out.select(*words.columns, F.size(f"{prefix}_words").alias("size"), F.posexplode_outer("seeds").alias("k", "seed"))
-    return out.withColumn(f"{prefix}_at", F.col("k") % (F.col("size") - SPAN + 1)).drop("k", "size")
+def _seeded(rows: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
+    """(<prefix>_key, seed, at): one row per seed of the rows, with the window's place."""
+    words = rows.select(_key(id_col, text_col).alias(f"{prefix}_key"), word_hashes(col(text_col)).alias("words"))
+    out = words.select(f"{prefix}_key", F.size("words").alias("size"), F.posexplode(seeds(F.col("words"))).alias("k", "seed"))
+    return out.select(f"{prefix}_key", "seed", (F.col("k") % (F.col("size") - SPAN + 1)).alias("at"))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _strides(places: DataFrame, prefix: str) -> DataFrame:
+    """(<prefix>_key, seed, first, step, n): the places of each seed in a text as runs of equal steps.
 
+    A repeated word or phrase gives one or two rows, however long it goes on.
+    """
+    key = f"{prefix}_key"
+    order = Window.partitionBy(key, "seed").orderBy("at")
+    stepped = places.distinct().withColumn("step", F.coalesce(F.col("at") - F.lag("at").over(order), F.lit(0)))
+    turns = stepped.withColumn("run", F.sum((F.col("step") != F.lag("step", 1, -1).over(order)).cast("int")).over(order))
+    return turns.groupBy(key, "seed", "run").agg(F.min("at").alias("first"), F.max("step").alias("step"), F.count(F.lit(1)).cast("int").alias("n")).drop("run")
 
-def _best_run(equal: Column, min_share: float) -> Column:
-    """(matched, first, length) of the longest run with ``min_share`` equal words, of equals the first; its ends are equal words.
 
-    With ``gain`` for an equal word and ``gain - 10000`` for another, a run has the share if its sum is not negative.
-    Running sums are compared: the lowest up to i and the highest from j on tell whether a run of j - i words exists.
-    """
-    i = lambda x: F.lit(x).cast("int")
-    gain = 10_000 - round(min_share * 10_000)
-    n = F.size(equal)
-    nil = F.array(F.lit(0).cast("long"))
+def _diagonals(x: str, y: str) -> Column:
+    """All differences of a place of the run ``x`` and one of the run ``y`` (prefixes of first, step and n)."""
+    f, s, n = (lambda c: F.col(f"{x}_{c}")), (lambda c: F.col(f"{y}_{c}")), F.lit(1)
+    last = lambda r: r("first") + (r("n") - 1) * r("step")
+    step = F.greatest(F.when(f("n") > 1, f("step")).otherwise(s("step")), n)
+    whole = F.sequence(f("first") - last(s), last(f) - s("first"), step)
+    alone = F.flatten(F.transform(F.sequence(F.lit(0), f("n") - 1), lambda i: F.sequence(
+        f("first") + i * f("step") - last(s), f("first") + i * f("step") - s("first"), F.greatest(s("step"), n))))
+    return F.when((f("n") == 1) | (s("n") == 1) | (f("step") == s("step")), whole).otherwise(alone)
 
-    def add(acc, same):
-        total = F.element_at(acc["sums"], -1) + F.when(same, gain).otherwise(gain - 10_000).cast("long")
-        return F.struct(F.concat(acc["sums"], F.array(total)).alias("sums"), F.concat(acc["low"], F.array(F.least(F.element_at(acc["low"], -1), total))).alias("low"))
 
-    sums = F.aggregate(equal, F.struct(nil.alias("sums"), nil.alias("low")), add)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    def highest(values):
-        start = F.slice(F.reverse(values), 1, 1)
-        return F.reverse(F.aggregate(F.slice(F.reverse(values), F.lit(2), n), start, lambda acc, x: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), x)))))
 
-    def walk(both):
-        start = F.struct(i(0).alias("i"), i(0).alias("j"), i(0).alias("length"), i(0).alias("first"))
+def _best_run(equal: Column, min_share: float) -> Column:
+    """(matched, first, length) of the run with ``min_share`` equal words that has the most; of equals the first."""
+    return _best_of(F.filter(F.sequence(F.lit(0), F.size(equal) - 1), lambda i: F.get(equal, i)), min_share)
 
-        def step(acc, _):
-            inside = (acc["i"] <= n) & (acc["j"] <= n)
-            fits = inside & (F.get(both["low"], acc["i"]) <= F.get(both["high"], acc["j"]))
-            longer = fits & (acc["j"] - acc["i"] > acc["length"])
-            return F.struct(F.when(inside & ~fits, acc["i"] + 1).otherwise(acc["i"]).cast("int").alias("i"), F.when(fits, acc["j"] + 1).otherwise(acc["j"]).cast("int").alias("j"),
-                            F.when(longer, acc["j"] - acc["i"]).otherwise(acc["length"]).cast("int").alias("length"), F.when(longer, acc["i"]).otherwise(acc["first"]).cast("int").alias("first"))
 
-        return F.aggregate(F.sequence(i(1), 2 * n + 2), start, step)
+def _best_of(places: Column, min_share: float) -> Column:
+    """As ``_best_run``, from the places of the equal words.
 
-    def trim(found):
-        def cut(run):
-            lead = F.greatest(F.array_position(run, F.lit(True)) - 1, F.lit(0))
-            trail = F.greatest(F.array_position(F.reverse(run), F.lit(True)) - 1, F.lit(0))
-            return F.struct(F.size(F.filter(run, lambda x: x)).alias("matched"), (found["first"] + lead).cast("int").alias("first"), (F.size(run) - lead - trail).cast("int").alias("length"))
+    The run from the a-th to the b-th equal word, at p_a and p_b, has the share if f(b) + 1 - share >= f(a), where
+    f(k) = k - share * p_k.  Starts and ends are sorted by these values together; on the way the smallest start so far
+    is the best for every end that follows.
+    """
+    share = round(min_share * 10_000)
+    none = F.lit(None).cast("int")
+    f = lambda p, k: k.cast("long") * 10_000 - p.cast("long") * share
+    starts = F.transform(places, lambda p, k: F.struct(f(p, k).alias("at"), F.lit(0).alias("end"), k.alias("k"), p.alias("p")))
+    ends = F.transform(places, lambda p, k: F.struct((f(p, k) + (10_000 - share)).alias("at"), F.lit(1).alias("end"), k.alias("k"), p.alias("p")))
+    zero = F.struct(none.alias("k"), none.alias("p"), F.lit(0).alias("matched"), none.alias("first"), F.lit(0).alias("length"))
 
-        return _let(F.slice(equal, found["first"] + 1, found["length"]), cut)
+    def step(acc, x):
+        start, size = x["end"] == 0, x["k"] - acc["k"] + 1
+        lower = start & (acc["k"].isNull() | (x["k"] < acc["k"]))
+        better = ~start & ((size > acc["matched"]) | ((size == acc["matched"]) & (acc["p"] < acc["first"])))
+        pick = lambda cond, new, old: F.when(cond, new).otherwise(old)
+        return F.struct(pick(lower, x["k"], acc["k"]).alias("k"), pick(lower, x["p"], acc["p"]).alias("p"), pick(better, size, acc["matched"]).alias("matched"),
+                        pick(better, acc["p"], acc["first"]).alias("first"), pick(better, x["p"] - acc["p"] + 1, acc["length"]).alias("length"))
 
-    walked = _let(sums, lambda v: _let(F.struct(v["low"].alias("low"), highest(v["sums"]).alias("high")), walk))
-    return _let(walked, trim)
+    walked = F.aggregate(F.array_sort(F.concat(starts, ends)), zero, step)
+    return _let(walked, lambda w: F.struct(w["matched"].alias("matched"), F.coalesce(w["first"], F.lit(0)).alias("first"), w["length"].alias("length")))
 
 
 def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
@@ -113,29 +123,33 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
     Places count words from 0; ``share`` is matched / length, ``coverage`` matched / words of the item.
     """
-    words = _words(docs, id_col, text_col, "doc")
-    item_words = _words(items, item_id, item_text, "item").dropDuplicates(["item_key"])
-    item_seeds = _seeded(item_words, "item").filter("seed is not null").select("seed", "item_key", "item_at", F.size("item_words").alias("item_size"))
-    diagonal = F.col("doc_at") - F.col("item_at")
-    first = F.greatest(diagonal, F.lit(0))                       # the document's words that the item can cover
-    item_first = F.greatest(-diagonal, F.lit(0))
-    length = F.least(F.size("doc_words") - first, F.col("item_size") - item_first)
-    if item_seeds.count() <= max_broadcast:
-        hits = _seeded(words, "doc").join(F.broadcast(item_seeds), "seed")
-    else:                                     # seeds are shuffled without the words, which only hits get back
-        places = _seeded(words, "doc").drop("doc_words", "doc_id").join(item_seeds, "seed")
-        places = places.withColumn("d", diagonal).dropDuplicates(["doc_key", "item_key", "d"]).drop("d", "seed")
-        hits = places.join(words, "doc_key")
-    pairs = (hits.select("doc_id", "item_key", first.alias("first"), item_first.alias("item_first"), "item_size", F.slice("doc_words", first + 1, length).alias("a"))
-             .groupBy("doc_id", "item_key", "first", "item_first", "item_size", F.xxhash64("a").alias("same")).agg(F.first("a").alias("a"))
-             .join(item_words, "item_key").withColumn("b", F.slice("item_words", F.col("item_first") + 1, F.size("a"))))
-    needed = F.least(F.lit(float(min_overlap)), F.ceil(F.col("item_size") * min_share))
-    compared = pairs.select("doc_id", "item_id", "first", "item_first", "item_size", F.zip_with("a", "b", lambda x, y: x == y).alias("equal"))
-    run = compared.filter(F.size(F.filter("equal", lambda x: x)) >= needed).withColumn("run", _best_run(F.col("equal"), min_share))
-    good = run.filter((F.col("run.matched") >= needed) & (F.col("run.matched") >= F.col("run.length") * min_share))
-    best = F.max(F.struct(F.col("run.matched").alias("matched"), (-F.col("run.length")).alias("l"), (-F.col("first") - F.col("run.first")).alias("d"),
-                          (-F.col("item_first") - F.col("run.first")).alias("i"), "item_size")).alias("best")
-    return good.groupBy("doc_id", "item_id").agg(best).select(
+    item_places = written(_strides(_seeded(items, item_id, item_text, "item"), "item"), "benchmark-seeds")
+    known = item_places.select("seed").distinct()
+    known = F.broadcast(known) if item_places.count() <= max_broadcast else known
+    doc_places = _strides(_seeded(docs, id_col, text_col, "doc").join(known, "seed", "left_semi"), "doc")
+    run = lambda frame, p: frame.select(f"{p}_key", "seed", *[F.col(c).alias(f"{p}_{c}") for c in ("first", "step", "n")])
+    hits = run(doc_places, "doc").join(run(item_places, "item"), "seed").select("doc_key", "item_key", F.explode(_diagonals("doc", "item")).alias("d"))
+    pairs = written(hits.groupBy("doc_key", "item_key").agg(F.collect_set("d").alias("diagonals")), "benchmark-pairs")
+    hit = pairs.select("doc_key").distinct()
+    hit = F.broadcast(hit) if hit.count() <= max_broadcast else hit          # one number a row
+
+    texts = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("t"), _key(id_col, text_col).alias("doc_key")).join(hit, "doc_key", "left_semi")
+    doc_words = texts.dropDuplicates(["doc_key"]).select("doc_key", "doc_id", word_hashes(F.col("t")).alias("doc_words"))
+    item_words = items.select(_key(item_id, item_text).alias("item_key"), col(item_id).alias("item_id"), word_hashes(col(item_text)).alias("item_words")).dropDuplicates(["item_key"])
+    both = pairs.join(doc_words, "doc_key").join(item_words, "item_key")
+    needed = F.least(F.lit(float(min_overlap)), F.ceil(F.size("item_words") * min_share))
+
+    def judged(d):
+        first, item_first = F.greatest(d, F.lit(0)), F.greatest(-d, F.lit(0))
+        length = F.least(F.size("doc_words") - first, F.size("item_words") - item_first)
+        equal = F.filter(F.sequence(F.lit(0), length - 1), lambda i: F.get("doc_words", first + i) == F.get("item_words", item_first + i))
+        all_ = F.struct(length.alias("matched"), F.lit(0).alias("first"), length.alias("length"))
+        best = lambda p: F.when(F.size(p) == length, all_).when(F.size(p) >= needed, _best_of(p, min_share))
+        return _let(_let(equal, best), lambda r: F.struct(r["matched"].alias("matched"), (-r["length"]).alias("l"), (-first - r["first"]).alias("d"), (-item_first - r["first"]).alias("i")))
+
+    good = both.select("doc_id", "item_id", F.size("item_words").alias("item_size"), F.array_max(F.filter(F.transform("diagonals", judged), lambda r: r["matched"] >= needed)).alias("best"))
+    best = F.max(F.struct("best.matched", "best.l", "best.d", "best.i", "item_size")).alias("best")
+    return good.filter("best is not null").groupBy("doc_id", "item_id").agg(best).select(
         F.col("doc_id").alias("id"), "item_id", "best.matched", (-F.col("best.l")).alias("length"), (F.col("best.matched") / -F.col("best.l")).alias("share"),
         (F.col("best.matched") / F.col("best.item_size")).alias("coverage"), (-F.col("best.d")).alias("doc_start"), (-F.col("best.i")).alias("item_start"))
 
@@ -143,4 +157,4 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without an overlap; columns and repeated rows as they are.  Rows with a null id stay."""
     found = overlaps(docs, items, id_col, text_col, **options).select(F.col("id").alias("_hit_")).distinct()
-    return docs.join(found, docs[id_col] == found["_hit_"], "left_anti")
+    return docs.join(found, col(id_col) == found["_hit_"], "left_anti")

@@ -30,7 +30,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 def normal(text: str | None) -> bytes:
     """The letters of a text in lower case, runs of other characters as one space."""
-    return " ".join(LETTERS.findall(text.lower())).encode("utf-8", "replace") if text else b""
+    found = " ".join(LETTERS.findall(text.lower())) if text else ""
+    return found.encode("utf-8", "replace") if any(map(str.isalpha, found)) else b""          # numerals alone are no letters
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", *, excerpts: int = 64,

@@ -20,6 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import row_key
+
 BUCKETS = 1 << 16
 REPEATED = 0              # bucket of a pair of equal tokens
 GRAMS = (3, 4, 5)
@@ -150,14 +152,17 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, *, dim:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", *, max_rows: int = 4000,
-        max_chars: int = 16_000_000, **training) -> QualityModel:
-    """Fit on a sample of at most about ``max_rows`` rows and ``max_chars`` characters of ``labelled``."""
-    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y")).filter("t is not null and y in (0, 1)")
+        max_chars: int = 16_000_000, id_col: str = "doc_id", **training) -> QualityModel:
+    """Fit on a sample of about ``max_rows`` rows and ``max_chars`` characters of ``labelled``, never twice as many rows.
+
+    Rows are chosen by the hash of ``id_col`` and text, so copies of one text do not come all together.
+    """
+    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), row_key(labelled, id_col, text_col).alias("key")).filter("t is not null and y in (0, 1)")
     n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
     share = min(1.0, max_rows / max(n, 1), max_chars / max(chars, 1))
-    pick = F.pmod(F.xxhash64("t", F.lit(6)), F.lit(1 << 30)) < int(share * (1 << 30))
+    pick = F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30))
     sparse = F.pandas_udf(_sparse, "b array<int>, w array<float>")
-    got = (rows if share == 1.0 else rows.filter(pick)).select(sparse("t").alias("f"), "y").select("f.b", "f.w", "y").toArrow()
+    got = (rows if share == 1.0 else rows.filter(pick).limit(2 * max_rows)).select(sparse("t").alias("f"), "y").select("f.b", "f.w", "y").toArrow()
     docs = [(b.values.to_numpy(), w.values.to_numpy(), y.as_py()) for b, w, y in zip(got["b"], got["w"], got["y"])]
     docs.sort(key=lambda d: (len(d[0]), d[0].tobytes(), d[2]))                # the same fit for any row order
     return train([d[:2] for d in docs], np.array([d[2] for d in docs]), **training)

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ROWS_A_FILE, logistic, written
+from .common import all_columns, logistic, row_key, written
 
 ORDER = 5                 # characters in a gram
 DISCOUNT = 0.9            # taken off each class count of the highest order
@@ -252,11 +252,11 @@ class JoinedModel:
                  .agg(F.array(F.avg(z), F.max(z), mixture).alias("_found_")))
         zero = F.array(*[F.lit(0.0)] * len(FEATURES))
         return (docs.withColumn("_text_key_", key).join(found, F.col("_text_key_") == F.col("_key_"), "left")
-                .select(*[docs[c] for c in docs.columns if c != name], F.coalesce("_found_", zero).alias(name)))
+                .select(*[c for c, n in zip(all_columns(docs), docs.columns) if n != name], F.coalesce("_found_", zero).alias(name)))
 
 
 def _model(labelled, text_col, label_col, order, max_shipped) -> ToxicityModel | JoinedModel:
-    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams", 2 * max(max_shipped, ROWS_A_FILE))
+    grams = written(gram_counts(labelled, text_col, label_col, order), "toxic-grams")
     seen, unseen = gram_ratios(grams, order)
     heads = grams.select(F.substring("gram", 1, order - 1)).distinct().count()
     if grams.count() + heads <= max_shipped:
@@ -265,19 +265,20 @@ def _model(labelled, text_col, label_col, order, max_shipped) -> ToxicityModel |
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", part: Column | None = None, *,
-        order: int = ORDER, max_shipped: int = MAX_SHIPPED, max_curve_rows: int = 50_000) -> ToxicityModel | JoinedModel:
+        order: int = ORDER, max_shipped: int = MAX_SHIPPED, max_curve_rows: int = 50_000, id_col: str = "doc_id") -> ToxicityModel | JoinedModel:
     """Fit both models on all rows of ``labelled``.
 
     ``part`` (a condition on the rows) marks the share used for the curve: a first pair of models is counted without
-    it, its documents' evidence under those models gives the curve (from at most about ``max_curve_rows`` of them),
-    and the final models are counted on all rows.  Without ``part`` a fifth by the hash of the text is used.
+it, its documents' evidence under those models gives the curve (from at most about ``max_curve_rows`` of them,
+    chosen by the hash of ``id_col`` and text, so copies of one text do not come all together), and the final models
+    are counted on all rows.  Without ``part`` a fifth by the hash of the text is used.
     """
     part = F.pmod(F.xxhash64(F.col(text_col)), F.lit(5)) == 0 if part is None else part
-    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), part.alias("part")).filter("t is not null and y in (0, 1)")
+    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), part.alias("part"), row_key(labelled, id_col, text_col).alias("key")).filter("t is not null and y in (0, 1)")
     first = _model(rows.filter("not part"), "t", "y", order, max_shipped)
     n = rows.filter("part").count()
     share = min(1.0, max_curve_rows / max(n, 1))
-    chosen = rows.filter("part") if share == 1.0 else rows.filter(F.col("part") & (F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    chosen = rows.filter("part") if share == 1.0 else rows.filter(F.col("part") & (F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)))).limit(2 * max_curve_rows)
     if isinstance(first, JoinedModel):
         seen = first.with_evidence(chosen.select("t", "y"), F.col("t"), "x").select("x", "y").toPandas()
     else:
