@@ -21,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .byte_words import groups_of
 from .common import written
-from .tokens import encoder
+from .tokens import GROUP_CHARS, encoder
 
 CAPACITY = 2048
 PIECES = "id long, start long, length long, doc_tokens long, ids binary, ids_crc32 long"
@@ -83,19 +84,20 @@ def _cut(path: str, capacity: int, end_id: int):
     def run(batches):
         for batch in batches:
             coder = encoder(path)
-            texts, keys = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-            cols = [[] for _ in range(6)]
-            for key, ids in zip(keys, coder.encode(texts)):
-                ids = np.append(ids, end_id).astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    raw = ids[start:start + capacity].tobytes()
-                    for col, v in zip(cols, (key, start, len(raw) // 4, len(ids), raw, zlib.crc32(raw))):
-                        col.append(v)
-                if len(cols[0]) >= 1000:
+            for a, b in groups_of(batch.column(1), GROUP_CHARS):            # few texts at a time are Python strings
+                texts, keys = batch.column(1).slice(a, b - a).to_pylist(), batch.column(0).slice(a, b - a).to_pylist()
+                cols = [[] for _ in range(6)]
+                for key, ids in zip(keys, coder.encode(texts)):
+                    ids = np.append(ids, end_id).astype("<u4")
+                    for start in range(0, len(ids), capacity):
+                        raw = ids[start:start + capacity].tobytes()
+                        for col, v in zip(cols, (key, start, len(raw) // 4, len(ids), raw, zlib.crc32(raw))):
+                            col.append(v)
+                    if len(cols[0]) >= 1000:
+                        yield _pieces(cols)
+                        cols = [[] for _ in range(6)]
+                if cols[0]:
                     yield _pieces(cols)
-                    cols = [[] for _ in range(6)]
-            if cols[0]:
-                yield _pieces(cols)
     return run
 
 

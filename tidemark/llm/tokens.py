@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 MEMO_WORDS = 400_000
 MEMO_CHARS = 10_000_000
-GROUP_CHARS = 6_000_000        # texts of about so many characters are cut together
+GROUP_CHARS = 3_000_000        # texts of about so many characters are cut together
 # white space but single spaces and line breaks between other characters, the two marks below, and a letter that has no
 # single lower-case form
 OTHER_SPACE = r"[\t\x0b\x0c\r\x1c-\x1f\x01\x02\x{85}\p{Zl}\p{Zp}\x{130}]|[^\P{Zs} ]|[ \n]{2}|\A[ \n]|[ \n]\z"
