@@ -7,7 +7,7 @@ from tidemark.operators import runs
 from tidemark.operators.versions import empty_delete_log
 from tidemark.plans.feeds import sync_feed
 from tidemark.plans.spec import FeedSpec
-from tidemark.sources.runlog import RunLog
+from tidemark.sources.runlog import BASELINE_MESSAGE, RunLog
 
 
 def _detail(spark):
@@ -89,7 +89,7 @@ def test_baseline_run_sets_mark(spark):
     log.set_baseline(3, 12345, now="2024-01-01 00:00:00")
     r = log.runs().first()
     assert (r["rv_from"], r["rv_to"], r["success"], r["total_rows"], r["message"]) == (0, 12345, 1, -1,
-                                                                                        "Fake Initialization")
+                                                                                        BASELINE_MESSAGE)
     assert runs.high_water_mark(log.runs()).first()["hwm"] == 12345
 
 

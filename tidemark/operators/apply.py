@@ -71,8 +71,8 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
     ``guard='changed'`` (the reference's rule): 'D' rows delete the key with no version check; other rows update a
     matched key when its version differs or is NULL — every non-key, non-identity column plus the version — and
     insert unmatched keys.  ``guard='newer'`` updates and deletes only when the staged version is higher, so a
-    re-delivered or late older change never moves a row back (deletes leave no tombstone: an older insert of a key
-    deleted meanwhile still lands, so windows are applied in commit order).
+    re-delivered or late older change never moves a row back.  A delete leaves no row to compare with: pass the stage
+    through ``without_stale`` and keep its deletes with ``next_tombstones`` where older inserts may arrive late.
     Untouched rows pass as they are.
     """
     cols = user_columns(target)
@@ -126,6 +126,29 @@ def apply_changes(target: DataFrame, stage: DataFrame, keys: Sequence[str], iden
     return full.select(*merged_columns())
 
 
+def without_stale(stage: DataFrame, tombstones: DataFrame, keys: Sequence[str], version_col: str = SOURCE_VERSION) -> DataFrame:
+    """The changes of ``stage`` that are newer than the delete of their key in ``tombstones`` (keys, ``deleted_at``)."""
+    t = tombstones.select(*[F.col(_q(k)).alias(f"__key{i}__") for i, k in enumerate(keys)], F.col("deleted_at").alias("__deleted_at__"))
+    on = None
+    for i, k in enumerate(keys):
+        same = F.col(_q(k)) == F.col(f"__key{i}__")
+        on = same if on is None else on & same
+    late = on & (F.col(version_col) <= F.col("__deleted_at__"))
+    return stage.join(t, late, "left_anti")
+
+
+def next_tombstones(tombstones: DataFrame | None, stage: DataFrame, keys: Sequence[str], horizon: int = 0,
+                    version_col: str = SOURCE_VERSION) -> DataFrame:
+    """Tombstones (keys, ``deleted_at``) after ``stage``: the newest delete of each key above ``horizon``.
+
+    ``horizon`` is the mark up to which all changes have arrived: nothing older can come late, so older deletes need not
+    be kept and the relation follows the open windows, not the history.
+    """
+    new = stage.where(F.col(OP_COL) == "D").select(*[F.col(_q(k)) for k in keys], F.col(version_col).cast("bigint").alias("deleted_at"))
+    both = new if tombstones is None else tombstones.select(*[F.col(_q(k)) for k in keys], "deleted_at").unionByName(new)
+    return both.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.max("deleted_at").alias("deleted_at")).where(F.col("deleted_at") > horizon)
+
+
 def deleted_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str], version_col: str = SOURCE_VERSION) -> DataFrame:
     """Target rows a stage deletes, carrying the delete's version (what a chained delete log on the target logs)."""
     d = stage.where(F.col(OP_COL) == "D").select(*keys, F.col(version_col).alias("__del_ver__"))

@@ -10,14 +10,17 @@ Keys are compared without a time zone: wall-clock values (timestamp_ntz, date) a
 """
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.versions import rv_to_hex
 from .versions import number_rows
 
-# Number of buckets the interval join aims for.
-BUCKETS = 4096
+# Most ranges of the interval join.
+BUCKETS = 1024
 # Most ranges of checkpoints; their bounds (one number each) reach the driver.
 RANGES = 1 << 14
 DEFAULT_BROADCAST_ROWS = 2_000_000       # rows of three or four fixed-width values: under 100 MB
@@ -64,11 +67,6 @@ def build_checkpoints(changes: DataFrame, time_col: str, version_col: str, unit:
             .agg(agg(version_col).alias("rv")))
 
 
-def _div(col: Column, width: int) -> Column:
-    """Floor division by a positive width in BIGINT arithmetic (no double rounding for large versions)."""
-    return F.floor(col.cast("decimal(38,0)") / F.lit(int(width))).cast("bigint")
-
-
 def checkpoint_ranges(ck: DataFrame, key_num: Column, val_col: str):
     """Checkpoints → (``_range``, ``_start``, ``_end``, ``_val``): disjoint intervals ``[_start, _end)`` of the numeric
     key that carry the running maximum of the value (right even when it falls); ``_end`` is NULL for the last one.
@@ -141,34 +139,75 @@ def asof_date(df: DataFrame, ck: DataFrame, version_col: str = "rv", out_col: st
 
 
 def range_join(points: DataFrame, intervals: DataFrame, point_col: str, lo_col: str, hi_col: str,
-               inclusive: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               inclusive: bool = True, on: Sequence[str] = (), broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Every (point, interval) pair with the point inside the interval; intervals may overlap.
 
-    Intervals are cut into buckets of width (range / BUCKETS); a pair is found once, in the point's bucket.
+    The intervals' ends, as many in one range as in the next, bound at most ``BUCKETS`` ranges (one pass of quantiles;
+    ranges only deal the work out, so their accuracy does not touch the result).  An interval joins every range it
+    meets, a point its own, so one far interval does not widen the ranges of the others.  ``on`` names columns of both
+    sides that must be equal, such as a subscription.  Points and intervals with a NULL end or key match nothing.
     """
-    r = intervals.agg(F.min(lo_col).alias("lo"), F.max(hi_col).alias("hi"), F.count(F.lit(1)).alias("n"),
-                      F.sum(F.greatest(F.col(hi_col) - F.col(lo_col), F.lit(0)).cast("decimal(38,0)")).alias("span")).first()
+    ends = intervals.select(F.explode(F.array(F.col(lo_col).cast("bigint"), F.col(hi_col).cast("bigint"))).alias("e"))
+    r = ends.agg(F.count("e").alias("n"), F.percentile_approx("e", [i / BUCKETS for i in range(BUCKETS + 1)], 4 * BUCKETS).alias("q")).first()
+    extra = [c for c in intervals.columns if c not in points.columns]
     if not r["n"]:
-        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in intervals.schema.fields
-                 if f.name not in points.columns]
-        return points.select("*", *extra).where(F.lit(False))
-    lo, hi = int(r["lo"]), int(r["hi"])
-    width = max((hi - lo) // BUCKETS + 1, 1)
-    # Upper bound of the exploded rows: every interval covers at most (length / width + 2) buckets.
-    ex_rows = int(r["span"] or 0) // width + 2 * int(r["n"])
-    first = _div(F.col(lo_col) - F.lit(lo), width)
-    last = _div(F.col(hi_col) - F.lit(lo), width)
-    ex = intervals.withColumn("_b", F.explode(F.sequence(first, F.greatest(first, last))))
-    p = points.withColumn("_b", _div(F.col(point_col) - F.lit(lo), width))
-    right = F.broadcast(ex) if ex_rows <= broadcast_rows else ex     # broadcast only under the computed bound
-    if inclusive:
-        cond = (p[point_col] >= right[lo_col]) & (p[point_col] <= right[hi_col])
+        return points.select("*", *[F.lit(None).cast(intervals.schema[c].dataType).alias(c) for c in extra]).where(F.lit(False))
+    first = sorted(set(r["q"]))
+    ranges = F.sequence(_range_of(F.col(lo_col).cast("bigint"), first), _range_of(F.col(hi_col).cast("bigint"), first))
+    ex = intervals.where(F.col(lo_col) <= F.col(hi_col)).withColumn("_b", F.explode(ranges))
+    p = points.withColumn("_b", _range_of(F.col(point_col).cast("bigint"), first))
+    covered = int(ex.select(F.count(F.lit(1))).first()[0])
+    right = F.broadcast(ex) if covered <= broadcast_rows else ex                # broadcast only under the counted bound
+    inside = (p[point_col] >= right[lo_col]) if inclusive else (p[point_col] > right[lo_col])
+    cond = (p["_b"] == right["_b"]) & inside & (p[point_col] <= right[hi_col])
+    for c in on:
+        cond = cond & (p[c] == right[c])
+    j = p.join(right, cond, "inner")
+    return j.select(*[p[c] for c in points.columns], *[right[c] for c in extra])
+
+
+def runs_containing(versions: DataFrame, runs: DataFrame, version_col: str = "rv", inclusive: bool = True,
+                    on: Sequence[str] = ()) -> DataFrame:
+    """Runs whose ``[rv_from, rv_to]`` contains each version (inclusive both ends by default, for tracing); with
+    ``on=("subscription_id",)`` only those of the version's own subscription."""
+    return range_join(versions, runs, version_col, "rv_from", "rv_to", inclusive, on)
+
+
+def trace(versions: DataFrame, runs: DataFrame, version_col: str = "rv") -> DataFrame:
+    """The runs of its subscription that moved each version (``subscription_id``, table_name, version), with the command
+    that replays the run's window for that table."""
+    hits = runs_containing(versions, runs, version_col, inclusive=False, on=("subscription_id",))
+    window = F.concat(rv_to_hex("rv_from"), F.lit(" "), rv_to_hex("rv_to"))
+    return hits.withColumn("replay", F.concat(F.lit("sync "), F.col("subscription_id").cast("string"), F.lit(" "), F.col("table_name"), F.lit(" "), window))
+
+
+def window_counts(changes: DataFrame, windows: DataFrame, version_col: str = "rv", out_col: str = "total_rows",
+                  max_bounds: int = RANGES) -> DataFrame:
+    """``windows`` (rv_from, rv_to) with the number of changes inside (rv_from, rv_to], without change-window pairs.
+
+    The windows' bounds cut the versions into steps; each change finds the last bound below it and is counted there, one
+    partial count a bound and task.  Running sums over the bounds, which are as few as the windows, give the changes up
+    to each bound, and a window's count is the difference of two of them.  Up to ``max_bounds`` bounds are searched in a
+    constant array and summed on the driver; more are looked up by an as-of join, with equal results.
+    """
+    bounds = windows.select(F.explode(F.array(F.col("rv_from").cast("bigint"), F.col("rv_to").cast("bigint"))).alias("bound")).where("bound is not null").distinct()
+    below = changes.where(F.col(version_col).isNotNull()).select((F.col(version_col) - 1).cast("bigint").alias("v"))
+    first = sorted(r["bound"] for r in bounds.limit(max_bounds + 1).collect())
+    if len(first) <= max_bounds:                                                # a search in a constant array
+        at = below.groupBy(_range_of(F.col("v"), first).alias("i")).agg(F.count(F.lit(1)).alias("n")).collect()      # a row a bound
+        steps = {r["i"]: r["n"] for r in at}
+        before = [0]
+        for i in range(len(first) - 1):
+            before.append(before[-1] + steps.get(i, 0))
+        sums = changes.sparkSession.createDataFrame(list(zip(first, before)), "bound bigint, before bigint")
     else:
-        cond = (p[point_col] > right[lo_col]) & (p[point_col] <= right[hi_col])
-    j = p.join(right, (p["_b"] == right["_b"]) & cond, "inner")
-    return j.select(*[p[c] for c in points.columns], *[right[c] for c in intervals.columns if c not in points.columns])
-
-
-def runs_containing(versions: DataFrame, runs: DataFrame, version_col: str = "rv", inclusive: bool = True) -> DataFrame:
-    """Runs whose ``[rv_from, rv_to]`` contains each version (inclusive both ends by default, for tracing)."""
-    return range_join(versions, runs, version_col, "rv_from", "rv_to", inclusive)
+        placed = asof_join(below, bounds.withColumn("at", F.col("bound")), "v", "bound", "at", "at")
+        counted = placed.groupBy("at").agg(F.count(F.lit(1)).alias("n"))       # at NULL: before every bound
+        sums = bounds.join(counted, bounds["bound"] == counted["at"], "left").select("bound", F.coalesce("n", F.lit(0)).alias("n"))
+        upto = Window.orderBy("bound").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.select("bound", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    a = sums.select(F.col("bound").alias("_a"), F.col("before").alias("_na"))
+    b = sums.select(F.col("bound").alias("_b"), F.col("before").alias("_nb"))
+    j = windows.join(a, windows["rv_from"] == a["_a"], "left").join(b, windows["rv_to"] == b["_b"], "left")
+    count = F.when(F.col("rv_to") > F.col("rv_from"), F.col("_nb") - F.col("_na")).otherwise(0)
+    return j.select(*[windows[c] for c in windows.columns], F.coalesce(count, F.lit(0)).cast("bigint").alias(out_col))

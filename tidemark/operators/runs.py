@@ -40,6 +40,32 @@ def high_water_mark(log: DataFrame, subscriptions: DataFrame | None = None, doub
     return j.select(*subscriptions.columns, F.coalesce(pick, F.lit(BEGINNING).cast("bigint")).alias(out_col))
 
 
+def contiguous_marks(windows: DataFrame, base: int = BEGINNING, out_col: str = "mark") -> DataFrame:
+    """Per subscription, how far its closed ``windows`` (subscription_id, rv_from, rv_to) reach without a gap.
+
+    Windows are half-open, arrive in any order and may overlap.  In the order of their lower bounds one begins a new
+    island when all before it end below it; ``out_col`` is the end of the island that starts at or below ``base``
+    (``base`` itself if none does), and ``waiting`` counts the windows beyond the first gap.  The list of windows is run
+    metadata; a subscription's are ordered together.
+    """
+    w = Window.partitionBy("subscription_id").orderBy("rv_from", "rv_to")
+    reach = F.coalesce(F.max("rv_to").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(base))
+    gaps = windows.withColumn("_gap", (F.col("rv_from") > F.greatest(reach, F.lit(base))).cast("int"))
+    beyond = gaps.withColumn("_beyond", F.sum("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0)) > 0)
+    return beyond.groupBy("subscription_id").agg(
+        F.greatest(F.coalesce(F.max(F.when(~F.col("_beyond"), F.col("rv_to"))), F.lit(base)), F.lit(base)).cast("bigint").alias(out_col),
+        F.sum(F.col("_beyond").cast("bigint")).alias("waiting"))
+
+
+def closed_windows(published: DataFrame, received: DataFrame) -> DataFrame:
+    """Windows (rv_from, rv_to, rows) of ``published`` whose rows have all arrived, by ``received`` (rv_to, batch, rows).
+
+    A batch that was reported again counts once.
+    """
+    got = received.groupBy("rv_to", "batch").agg(F.max("rows").alias("rows")).groupBy("rv_to").agg(F.sum("rows").alias("_got"))
+    return published.join(got, "rv_to", "left").where(F.coalesce("_got", F.lit(0)) >= F.col("rows")).drop("_got")
+
+
 def run_window(subscriptions: DataFrame, log: DataFrame, current: int) -> DataFrame:
     """Window of the next run per subscription: init flag or no mark → (0, current] loaded directly (no stage);
     else (mark, current] through the stage.  ``rv_total_rows`` is the window width."""

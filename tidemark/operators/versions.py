@@ -76,14 +76,12 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], base: int = 0, col: st
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    # the range partitioner samples its input and the checkpoint then reads it: compute the input once
-    src = df.persist() if order_cols else df
+    # the range partitioner samples its input and the sort then reads it: compute the input once
+    src = df.checkpoint(eager=True) if order_cols else df
     ordered = src.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) if order_cols else src
     ordered = (ordered.withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id())
                .checkpoint(eager=True))
-    if order_cols:
-        src.unpersist()
     counts = sorted((r["_pid"], r["n"]) for r in ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, running = [], 0
     for pid, n in counts:
@@ -129,6 +127,49 @@ def capture_deletes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base:
     return numbered.select("rv", dt.alias("dt"), "sourcerv", *keys, *track)
 
 
+def classify_snapshot(prev: DataFrame, curr: DataFrame, keys: Sequence[str], track: Sequence[str] = (),
+                      version_col: str = ROW_VERSION) -> DataFrame:
+    """One full outer join of two snapshots by key, written once.
+
+    Rows are the user columns of ``curr`` (of ``prev`` for keys that are gone: keys and ``track`` columns), ``_p_rv`` =
+    the previous version, and ``_kind``: 0 same, 1 changed or new, 2 gone.  Keys are not NULL and unique on both sides.
+    """
+    cols = user_columns(curr)
+    values = [c for c in cols if c not in keys]
+    kept = [c for c in track if c not in keys]
+    c = curr.select(*keys, *[F.col(f"`{v}`").alias(f"_c_{v}") for v in values], F.lit(True).alias("_in_c"))
+    p = prev.select(*keys, *[F.col(f"`{v}`").alias(f"_p_{v}") for v in dict.fromkeys([*values, *kept])],
+                    F.col(version_col).alias("_p_rv"), F.lit(True).alias("_in_p"))
+    same = F.col("_in_p").isNotNull() & F.col("_in_c").isNotNull()
+    for v in values:
+        same = same & F.col(f"_c_{v}").eqNullSafe(F.col(f"_p_{v}"))
+    gone = F.col("_in_c").isNull()
+    kind = F.when(gone, 2).when(same, 0).otherwise(1)
+    j = c.join(p, list(keys), "full_outer").withColumn("_kind", kind)
+    checkpoint_dir(curr.sparkSession)
+    return j.select(*[F.col(k) if k in keys else F.col(f"_c_{k}").alias(k) for k in cols],
+                    *[F.col(f"_p_{t}").alias(f"_t_{t}") for t in kept], "_p_rv", "_kind").checkpoint(eager=True)
+
+
+def publish_changes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base: int, at=None, track: Sequence[str] = (),
+                    version_col: str = ROW_VERSION):
+    """(versioned table, delete-log rows) of a new snapshot, both from one classified join and one numbering.
+
+    Changed and new rows get versions from ``base`` + 1 on in key order, then the deleted keys theirs; unchanged rows
+    keep the version they have.
+    """
+    from ..functions.timefn import ts_literal
+    cols = user_columns(curr)
+    rows = classify_snapshot(prev, curr, keys, track, version_col)
+    numbered = number_rows(rows.where("_kind > 0"), ["_kind", *keys], base, "_new_rv")
+    fresh = numbered.where("_kind = 1").select(*cols, F.col("_new_rv").alias(version_col))
+    table = rows.where("_kind = 0").select(*cols, F.col("_p_rv").alias(version_col)).unionByName(fresh)
+    dt = F.localtimestamp() if at is None else ts_literal(at)
+    deletes = numbered.where("_kind = 2").select(F.col("_new_rv").alias("rv"), dt.alias("dt"), F.col("_p_rv").alias("sourcerv"), *keys,
+                                                 *[F.col(f"_t_{t}").alias(t) for t in track if t not in keys])
+    return table, deletes
+
+
 def current_version(table: DataFrame, delete_log: DataFrame | None = None, version_col: str = ROW_VERSION) -> int:
     """Highest version issued so far (table and delete log); 0 when both are empty."""
     best = table.agg(F.max(version_col)).first()[0] or 0

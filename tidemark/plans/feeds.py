@@ -1,14 +1,22 @@
-"""Run every table and routine of a feed configuration (``FeedSpec``): small tables first, then routines."""
+"""Run every table and routine of a feed configuration (``FeedSpec``): small tables first, then routines.
+
+``run_subscription`` is one run of a subscription: one mark, one upper bound and one run id for all of its tables.
+``sync_feed`` keeps a log and a mark for each table.
+"""
 from __future__ import annotations
 
 from typing import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.versions import BEGINNING
+from ..operators.runs import clear_init_flags, delayed_version, end_run_flags, high_water_mark
+from ..operators.versions import current_version
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog
 from .spec import FeedSpec, VersionWindow
-from .sync import sync_table
+from .sync import move_table, sync_table
 
 
 def sync_feed(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str, log_root: str, subscription_id: int,
@@ -47,3 +55,45 @@ def sync_feed(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str,
     else:
         parts = [one(t) for t in tables]
     return [r for part in parts for r in part]
+
+
+def run_subscription(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str, log: RunLog, subscription_id: int,
+                     current: int | None = None, num_buckets: int = 64, double_read: bool = False, checkpoints=None, now=None) -> dict:
+    """One run: every table of the subscription brought from the one mark to the one upper bound, then its routines.
+
+    The upper bound is ``current``, or the version of the newest checkpoint old enough (``checkpoints`` given), or the
+    highest version issued in any table.  A table that is new or flagged ``initialize`` is loaded from the beginning.
+    Routines run in the order of ``routine_order`` after all tables, with the run's window; a routine that returns a
+    DataFrame is logged by its rows.  When the run moved rows or has a routine, the ``initialize`` flags of the tables it
+    loaded are cleared.  A failure closes the run with success 0, flags stay, and the next run covers the window again.
+    """
+    tables = [s for s in specs if s.source is not None]
+    sources = {s.local_name: (s.source(spark), s.delete_log(spark) if s.delete_log else None) for s in tables}
+    if current is None:
+        current = max((current_version(src, dels) for src, dels in sources.values()), default=BEGINNING)
+        current = current if checkpoints is None else delayed_version(checkpoints, now, current)
+    mark = high_water_mark(log.runs().where(F.col("subscription_id") == subscription_id), double_read=double_read).first()
+    rv_from = BEGINNING if mark is None else int(mark["hwm"])
+    run_id = log.start_run(subscription_id, rv_from, current, now)
+    try:
+        for spec in tables:
+            src, dels = sources[spec.local_name]
+            target = BucketedTable(spark, f"{target_root}/{spec.local_name}", spec.key_columns, num_buckets)
+            lo = BEGINNING if spec.initialize or not target.exists() else rv_from
+            moved = move_table(spark, spec.local_name, spec.key_columns, src.drop(*spec.ignore_columns), dels, target, VersionWindow(lo, current),
+                               f"{target_root}/_stage/run={run_id}/{spec.local_name}", spec.identity_columns, spec.compress_columns)
+            log.log_table(run_id, moved["logged_as"], moved["rows"], moved["kbs"], moved["is_stage"])
+        routines = sorted(((spec.routine_order, i, r) for spec in specs for i, r in enumerate(spec.routines)), key=lambda x: x[:2])
+        for _, _, routine in routines:
+            out = routine(spark, VersionWindow(rv_from, current))
+            if out is not None:
+                log.log_table(run_id, routine.__name__, out.count())
+        total = log.end_run(run_id, True, "ok", now)
+    except Exception as ex:
+        log.end_run(run_id, False, f"{type(ex).__name__}: {ex}", now)
+        raise
+    flags = spark.createDataFrame([(s.local_name, int(s.initialize)) for s in tables], "table_name string, initialize int")
+    left = {r["table_name"]: r["initialize"] for r in clear_init_flags(flags, log.detail(), run_id, True, total, bool(routines)).collect()}   # a row a table
+    for s in tables:
+        s.initialize = bool(left[s.local_name])
+    return dict(run_id=run_id, rv_from=rv_from, rv_to=current, total_rows=total, cleared=end_run_flags(True, total, bool(routines)))

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.asof import build_checkpoints, range_join
+from ..operators.asof import build_checkpoints, window_counts
 from ..operators.extract import extract_changes, latest_per_key
 from ..operators.versions import feed_from_log, number_rows, segment_span
 from ..plans.spec import VersionWindow
@@ -124,10 +124,8 @@ class Fixtures:
         runs = self.import_log.select("import_log_id", "rv_from", "rv_to")
         parts = []
         for name, df in (("events", self.chg.select("rv")), ("del_log", self.del_log.select("rv"))):
-            hits = range_join(df, runs, "rv", "rv_from", "rv_to", inclusive=False)
-            parts.append(hits.groupBy("import_log_id")
-                         .agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
-                         .select("import_log_id", F.lit(name).alias("table_name"), "total_rows"))
+            moved = window_counts(df, runs).where("total_rows > 0")
+            parts.append(moved.select("import_log_id", F.lit(name).alias("table_name"), "total_rows"))
         return parts[0].unionByName(parts[1])
 
     # ---- F5 ------------------------------------------------------------------------------------------------------

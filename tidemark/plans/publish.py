@@ -11,22 +11,25 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.versions import capture_deletes, current_version, stamp_versions
+from ..operators.versions import current_version, publish_changes, stamp_versions
 from ..session import checkpoint_dir
+from .spec import require_key
 
 
 def publish_snapshot(prev: DataFrame | None, snapshot: DataFrame, keys: Sequence[str],
                      delete_log: DataFrame | None = None, at=None, track: Sequence[str] = ()):
-    """(versioned table, delete-log rows added, new current version) for a new ``snapshot`` of a keyed table."""
+    """(versioned table, delete-log rows added, new current version) for a new ``snapshot`` of a keyed table.
+
+    A snapshot whose key is NULL or repeated is refused before anything is written.  Both outputs come from one join.
+    """
     checkpoint_dir(snapshot.sparkSession)
+    require_key(snapshot, keys)
     base = current_version(prev, delete_log) if prev is not None else (
         current_version(delete_log.select("rv")) if delete_log is not None else 0)
-    table = stamp_versions(prev, snapshot, keys, base)
-    table = table.checkpoint(eager=True)
-    changed = table.agg(F.max("rv")).first()[0] or base
     if prev is None:
-        return table, None, int(changed)
-    deletes = capture_deletes(prev, snapshot, keys, max(changed, base), at, track)
-    deletes = deletes.checkpoint(eager=True)
-    top = deletes.agg(F.max("rv")).first()[0]
-    return table, deletes, int(max(changed, base, top or 0))
+        table = stamp_versions(None, snapshot, keys, base).checkpoint(eager=True)
+        return table, None, int(table.agg(F.max("rv")).first()[0] or base)
+    table, deletes = publish_changes(prev, snapshot, keys, base, at, track)
+    table, deletes = table.checkpoint(eager=True), deletes.checkpoint(eager=True)
+    issued = table.select("rv").unionByName(deletes.select("rv")).agg(F.max("rv")).first()[0]
+    return table, deletes, int(max(base, issued or 0))

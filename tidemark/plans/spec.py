@@ -57,6 +57,7 @@ class FeedSpec:
     date_columns: Sequence[str] = DATE_COLUMN_PRIORITY
     initialize: bool = False
     routines: Sequence[Callable] = ()
+    routine_order: int = 0                                     # among the routines of the subscription
 
     @property
     def local_name(self) -> str:
@@ -146,6 +147,35 @@ def validate_key(df: DataFrame, keys: Sequence[str], name: str = "") -> DataFram
     return stats.withColumn("is_valid", (F.col("null_key_rows") == 0) & (F.col("duplicate_keys") == 0))
 
 
+def judge_keys(df: DataFrame, candidates: dict, name: str = "") -> DataFrame:
+    """``validate_key`` of several candidate keys in one pass: {rank: key columns} → a row each, with ``rank``.
+
+    Every row is tagged once for each candidate, with that key's hash and parts as text; one shuffle counts all keys
+    together, with map-side partial counts.
+    """
+    def parts(keys):
+        return F.array(*[F.col(f"`{k}`").cast("string") for k in keys])
+
+    tagged = df.select(F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), parts(k).alias("key")) for r, k in candidates.items()])).alias("c"))
+    null = F.exists("c.key", lambda x: x.isNull())
+    per_key = tagged.groupBy("c.rank", "c.key").agg(F.count(F.lit(1)).alias("n"), F.max(null.cast("int")).alias("has_null"))
+    total = lambda cond, x: F.coalesce(F.sum(F.when(cond, x)), F.lit(0)).cast("bigint")
+    found = per_key.groupBy("rank").agg(
+        F.sum("n").cast("bigint").alias("total_rows"), F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
+        total(F.col("has_null") == 1, F.col("n")).alias("null_key_rows"), total(F.col("n") > 1, F.lit(1)).alias("duplicate_keys"))
+    names = F.create_map(*[F.lit(x) for r, k in candidates.items() for x in (r, ", ".join(k))])
+    valid = (F.col("null_key_rows") == 0) & (F.col("duplicate_keys") == 0)
+    return found.select(F.lit(name).alias("table_name"), "rank", names[F.col("rank")].alias("key_columns"), "total_rows",
+                        "distinct_keys", "null_key_rows", "duplicate_keys", valid.alias("is_valid"))
+
+
+def require_key(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key part of ``df`` is NULL or a key is held by several rows."""
+    r = validate_key(df, list(keys)).first()
+    if not r["is_valid"]:
+        raise ValueError(f"({', '.join(keys)}) is no key: {r['null_key_rows']} rows with a NULL part, {r['duplicate_keys']} repeated keys")
+
+
 def choose_key(candidates: DataFrame) -> DataFrame:
     """Best valid key per table from ``validate_key`` rows with a ``rank`` column (1 = primary, 2 = unique)."""
     from pyspark.sql import Window

@@ -2,6 +2,7 @@
 them.  Names and output columns match ``oracle.ORACLE_SQL``."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.defaults import fill_type_defaults
@@ -11,7 +12,9 @@ from ..functions.versions import hex_to_rv, rv_to_hex
 from ..operators import apply as ap
 from ..operators import asof, compare, extract, runs, versions
 from .fixtures import COMPARE_NOW, DUE_AT, FEED_KEYS, FEED_VALUES, PAIR_COLUMNS, PAIR_KEYS, Fixtures
-from .spec import OP_COL, VersionWindow, validate_key
+from ..session import scratch_path
+from ..streaming.sync import raw_window
+from .spec import OP_COL, FeedSpec, VersionWindow, choose_key as choose, judge_keys, validate_key
 
 K = list(FEED_KEYS)
 PUBLISHED = ("orders", "customer", "events")
@@ -35,7 +38,6 @@ def incremental_extract(spark, sf_dir):
 def changelog_extract(spark, sf_dir):
     """The events feed appended to a version-blocked change log, then the window (lo, hi] read back collapsed:
     block folders outside the window are pruned before any file is opened."""
-    from ..session import scratch_path
     from ..sources.changelog import ChangeLog
     fx = _fx(spark, sf_dir)
     log = ChangeLog(spark, scratch_path(spark, "changelog"), K, block=max(fx.hi // 16, 1))
@@ -83,8 +85,20 @@ def version_stamp(spark, sf_dir):
 
 def current_version(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    versions_ = fx.src.select("rv").unionByName(fx.del_log.select("rv"))
-    return versions_.agg(F.max("rv").alias("current_version"))
+    return spark.createDataFrame([(versions.current_version(fx.src, fx.del_log),)], "current_version bigint")
+
+
+def _published(fx):
+    return versions.publish_changes(fx.tgt.withColumnRenamed("sourcerv", "rv"), fx.src.drop("rv"), K, fx.hi, fx.last_event_time)
+
+
+def publish_table(spark, sf_dir):
+    """The versioned table of a new snapshot, and below its delete log: both from one classified join."""
+    return _published(_fx(spark, sf_dir))[0]
+
+
+def publish_deletes(spark, sf_dir):
+    return _published(_fx(spark, sf_dir))[1]
 
 
 # ---- apply --------------------------------------------------------------------------------------------------------
@@ -109,6 +123,16 @@ def delete_only_apply(spark, sf_dir):
     return ap.apply_changes(fx.tgt, fx.stg.where(F.col(OP_COL) == "D"), K)
 
 
+def late_changes(spark, sf_dir):
+    """The later half of the window applied first, the earlier half after it: tombstones keep what was deleted."""
+    fx = _fx(spark, sf_dir)
+    mid = (fx.lo + fx.hi) // 2
+    later, earlier = raw_window(fx, mid, fx.hi), raw_window(fx, fx.lo, mid)
+    ahead = ap.apply_changes(fx.tgt, later, K, guard="newer")
+    gone = ap.next_tombstones(None, later, K, horizon=fx.lo)
+    return ap.apply_changes(ahead, ap.without_stale(earlier, gone, K), K, guard="newer")
+
+
 def deleted_rows(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     return ap.deleted_rows(fx.tgt, fx.stg, K)
@@ -131,7 +155,8 @@ def upsert_replace(spark, sf_dir):
 
 def full_load(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return ap.load_full(extract.extract_changes(fx.src, fx.del_log, K, VersionWindow(0, fx.hi)))
+    loaded = ap.load_full(extract.extract_changes(fx.src, fx.del_log, K, VersionWindow(0, fx.hi)))
+    return ap.stage_changes(loaded, scratch_path(spark, "full-load"))
 
 
 # ---- as-of --------------------------------------------------------------------------------------------------------
@@ -171,6 +196,13 @@ def runs_containing(spark, sf_dir):
     return hits.withColumn("rv_from_hex", rv_to_hex("rv_from")).withColumn("rv_to_hex", rv_to_hex("rv_to"))
 
 
+def trace_versions(spark, sf_dir):
+    """Every logged delete traced to the runs of its own subscription, with the command that replays the window."""
+    fx = _fx(spark, sf_dir)
+    found = fx.del_log.select("rv", F.lit("events").alias("table_name"), (F.col("user_id") % 5).alias("subscription_id"))
+    return asof.trace(found, fx.import_log.select("import_log_id", "subscription_id", "rv_from", "rv_to"))
+
+
 # ---- runs ---------------------------------------------------------------------------------------------------------
 def import_log(spark, sf_dir):
     return _fx(spark, sf_dir).import_log
@@ -241,6 +273,38 @@ def recollect_detail(spark, sf_dir):
     return runs.recollect_detail(fx.import_log_detail, run["import_log_id"], routines, measured)
 
 
+def contiguous_marks(spark, sf_dir):
+    """Each run's own window (from the run before it); only successful ones are closed, so a failed run is a gap."""
+    fx = _fx(spark, sf_dir)
+    own = F.lag("rv_to", 1, 0).over(Window.partitionBy("subscription_id").orderBy("import_log_id"))
+    windows = fx.import_log.withColumn("rv_from", own).where("success = 1").select("subscription_id", "rv_from", "rv_to")
+    return runs.contiguous_marks(windows)
+
+
+def clear_init_flags(spark, sf_dir):
+    """The flags of the published tables after the newest successful run: those whose rows it moved are cleared."""
+    fx = _fx(spark, sf_dir)
+    run = fx.import_log.where("success = 1").agg(F.max("import_log_id")).first()[0]
+    flags = spark.createDataFrame([(n, 1) for n in ("events", "del_log", "orders", "stg_events")], "table_name string, initialize int")
+    total = fx.import_log_detail.where(F.col("import_log_id") == run).agg(F.coalesce(F.sum("total_rows"), F.lit(0))).first()[0]
+    return runs.clear_init_flags(flags, fx.import_log_detail, run, True, total, False)
+
+
+def sync_feed(spark, sf_dir):
+    """Two runs of one subscription over three tables: what its run log and detail say afterwards."""
+    from .feeds import run_subscription
+    from ..sources.runlog import RunLog
+    fx, root = _fx(spark, sf_dir), scratch_path(spark, "sync-feed")
+    table = lambda name, key: (lambda s: fx.table(name).withColumn("rv", F.col(key) + 1))
+    specs = [FeedSpec("customer", ["c_custkey"], table("customer", "c_custkey")), FeedSpec("orders", ["o_orderkey"], table("orders", "o_orderkey")),
+             FeedSpec("events", K, lambda s: fx.src, lambda s: fx.del_log)]
+    log = RunLog(spark, f"{root}/log")
+    run_subscription(spark, specs, f"{root}/target", log, 1, current=fx.lo, num_buckets=8)
+    run_subscription(spark, specs, f"{root}/target", log, 1, current=fx.hi, num_buckets=8)
+    runs_ = log.runs().select("import_log_id", "rv_from", "rv_to", "success", F.col("total_rows").alias("run_rows"))
+    return log.detail().drop("total_kbs").join(runs_, "import_log_id")
+
+
 def run_window(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     subs = fx.subscriptions.select(
@@ -364,7 +428,24 @@ def validate_key_q(spark, sf_dir):
     return out
 
 
+def choose_key(spark, sf_dir):
+    """The best valid key of three tables; each table's candidates are judged in one pass."""
+    fx = _fx(spark, sf_dir)
+    candidates = {"orders": {1: ["o_orderkey"], 2: ["o_custkey", "o_orderdate"]}, "customer": {1: ["c_nationkey"], 2: ["c_custkey"]},
+                  "lineitem": {1: ["l_orderkey"], 2: ["l_orderkey", "l_linenumber"]}}
+    judged = [judge_keys(fx.table(t), c, t) for t, c in candidates.items()]
+    return choose(judged[0].unionByName(judged[1]).unionByName(judged[2]))
+
+
 QUERIES = {
+    "publish_table": publish_table,
+    "publish_deletes": publish_deletes,
+    "late_changes": late_changes,
+    "trace_versions": trace_versions,
+    "contiguous_marks": contiguous_marks,
+    "clear_init_flags": clear_init_flags,
+    "sync_feed": sync_feed,
+    "choose_key": choose_key,
     "snapshot_extract": snapshot_extract,
     "incremental_extract": incremental_extract,
     "change_op_counts": change_op_counts,

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.compress import compress_columns, decompress_columns
@@ -37,26 +37,32 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
     run_id = log.start_run(subscription_id, rv_from, current, now)
     window = VersionWindow(rv_from, current)
     try:
-        if window.is_snapshot:
-            snap = extract_snapshot(source, window)
-            version = target.write_full(load_full(snap))
-            rows = target.read().count()
-            folders = sorted(set(target.manifest(version)["buckets"].values()))
-            log.log_table(run_id, name, rows, sum(folder_kbs(spark, f"{target.root}/{f}") for f in folders))
-            stats = dict(mode="full", rows=rows)
-        else:
-            changes = extract_changes(source, delete_log, keys, window)
-            if compress:
-                changes = compress_columns(changes, compress)
-            stage_path = f"{stage_root.rstrip('/')}/run={run_id}/{name}"
-            stage = stage_changes(changes, stage_path)
-            rows = stage.count()
-            to_apply = decompress_columns(stage, compress) if compress else stage
-            applied = target.apply(to_apply, identity=identity, stage_rows=rows)
-            log.log_table(run_id, f"stg_{name}", rows, folder_kbs(spark, stage_path))
-            stats = dict(mode="incremental", rows=rows, **applied)
+        moved = move_table(spark, name, keys, source, delete_log, target, window, f"{stage_root.rstrip('/')}/run={run_id}/{name}", identity, compress)
+        log.log_table(run_id, moved["logged_as"], moved["rows"], moved["kbs"], moved["is_stage"])
         log.end_run(run_id, True, "ok", now)
-        return dict(run_id=run_id, rv_from=rv_from, rv_to=current, **stats)
+        return dict(run_id=run_id, rv_from=rv_from, rv_to=current, **moved)
     except Exception as ex:
         log.end_run(run_id, False, f"{type(ex).__name__}: {ex}", now)
         raise
+
+
+def move_table(spark: SparkSession, name: str, keys: Sequence[str], source: DataFrame, delete_log: DataFrame | None, target: BucketedTable,
+               window: VersionWindow, stage_path: str, identity: Sequence[str] = (), compress: Sequence[str] = ()) -> dict:
+    """Load the snapshot into ``target``, or stage and apply the window's changes; rows are observed while they are written.
+
+    Returns mode, rows, kbs, the name the detail is logged under and whether it names a stage.
+    """
+    seen = Observation()
+    counted = lambda df: df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if window.is_snapshot:
+        version = target.write_full(counted(load_full(extract_snapshot(source, window))))
+        folders = sorted(set(target.manifest(version)["buckets"].values()))
+        kbs = sum(folder_kbs(spark, f"{target.root}/{f}") for f in folders)
+        return dict(mode="full", rows=int(seen.get["rows"]), kbs=kbs, logged_as=name, is_stage=False)
+    changes = extract_changes(source, delete_log, keys, window)
+    if compress:
+        changes = compress_columns(changes, compress)
+    stage = stage_changes(counted(changes), stage_path)
+    rows = int(seen.get["rows"])
+    applied = target.apply(decompress_columns(stage, compress) if compress else stage, identity=identity, stage_rows=rows)
+    return dict(mode="incremental", rows=rows, kbs=folder_kbs(spark, stage_path), logged_as=f"stg_{name}", is_stage=True, **applied)

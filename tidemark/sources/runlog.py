@@ -17,8 +17,8 @@ from .fs import HadoopFs
 LOG_SCHEMA = ("import_log_id bigint, subscription_id bigint, seq bigint, rv_from bigint, rv_to bigint, "
               "start_date timestamp_ntz, end_date timestamp_ntz, success int, total_rows bigint, rv_total_rows bigint, "
               "total_kbs bigint, use_stage boolean, message string")
-DETAIL_SCHEMA = "import_log_id bigint, table_name string, total_rows bigint, total_kbs bigint, seq bigint"
-BASELINE_MESSAGE = "Fake Initialization"
+DETAIL_SCHEMA = "import_log_id bigint, table_name string, total_rows bigint, total_kbs bigint, seq bigint, is_stage boolean"
+BASELINE_MESSAGE = "baseline: the copy already holds this state"
 
 
 def _now(now=None) -> dt.datetime:
@@ -81,8 +81,8 @@ class RunLog:
         self._rows[run_id] = {}
         return run_id
 
-    def log_table(self, run_id: int, table_name: str, rows: int, kbs: int | None = None) -> None:
-        self._append(self._detail_path, [(run_id, table_name, int(rows), kbs, self._next_seq())], DETAIL_SCHEMA)
+    def log_table(self, run_id: int, table_name: str, rows: int, kbs: int | None = None, is_stage: bool = False) -> None:
+        self._append(self._detail_path, [(run_id, table_name, int(rows), kbs, self._next_seq(), is_stage)], DETAIL_SCHEMA)
         if run_id in self._rows:
             self._rows[run_id][table_name] = (int(rows), kbs)
 

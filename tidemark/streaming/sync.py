@@ -10,29 +10,90 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.versions import BEGINNING
+from ..operators.apply import next_tombstones, without_stale
 from ..operators.extract import extract_changes, extract_snapshot, latest_per_key
-from ..plans.fixtures import FEED_KEYS, Fixtures
-from ..plans.spec import SOURCE_VERSION, VersionWindow
+from ..operators.runs import closed_windows, contiguous_marks
+from ..plans.fixtures import FEED_KEYS, FEED_VALUES, Fixtures
+from ..plans.spec import OP_COL, SOURCE_VERSION, VersionWindow
 from ..plans.sync import sync_table
 from ..session import checkpoint_dir, scratch_path
 from ..sources.bucketed import BucketedTable
 from ..sources.changelog import BLOCK_COL, ChangeLog
+from ..sources.fs import HadoopFs
 from ..sources.runlog import RunLog
 
 
-def publish_window(changes: DataFrame, change_dir: str) -> None:
-    """Append one window's change records to the change folder (the stream's source)."""
-    changes.write.mode("append").parquet(change_dir)
+WINDOW_COL = "window_to"          # upper bound of the published window that a change record belongs to
+WINDOWS_SCHEMA = "subscription_id bigint, rv_from bigint, rv_to bigint, rows bigint"
+RECEIVED_SCHEMA = "rv_to bigint, batch bigint, rows bigint"
+
+
+def publish_window(changes: DataFrame, change_dir: str, window: VersionWindow | None = None, windows_dir: str | None = None,
+                   subscription_id: int = 0) -> None:
+    """Append one window's change records to the change folder (the stream's source).
+
+    With ``window`` the records carry its upper bound, and once they are written the window is listed in ``windows_dir``
+    with the number of its records, observed while they were written: it is closed when a subscriber has seen as many.
+    """
+    if window is None:
+        changes.write.mode("append").parquet(change_dir)
+        return
+    seen = Observation()
+    out = changes.withColumn(WINDOW_COL, F.lit(window.hi).cast("bigint")).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out.write.mode("append").parquet(change_dir)
+    row = [(subscription_id, window.lo, window.hi, int(seen.get["rows"]))]
+    changes.sparkSession.createDataFrame(row, WINDOWS_SCHEMA).coalesce(1).write.mode("append").parquet(windows_dir)
+
+
+class StreamState:
+    """What a stream remembers beside its offsets: rows received of each window, and tombstones, one folder a batch.
+
+    A batch that is run again writes its own folders again, from those of the batches before it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, windows_dir: str):
+        self.spark, self.root, self.windows_dir = spark, root.rstrip("/"), windows_dir
+
+    def _batches(self, name: str) -> list:
+        names = HadoopFs(self.spark, f"{self.root}/{name}").list_names()
+        return sorted(int(n.split("-")[1]) for n in names if n.startswith("batch-"))
+
+    def received(self, before: int | None = None) -> DataFrame:
+        paths = [f"{self.root}/received/batch-{b}" for b in self._batches("received") if before is None or b < before]
+        return self.spark.read.schema(RECEIVED_SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], RECEIVED_SCHEMA)
+
+    def tombstones(self, before: int) -> DataFrame | None:
+        held = [b for b in self._batches("tombstones") if b < before]
+        return self.spark.read.parquet(f"{self.root}/tombstones/batch-{held[-1]}") if held else None
+
+    def marks(self, received: DataFrame | None = None) -> DataFrame:
+        """(subscription_id, mark, waiting): how far closed windows reach without a gap, and how many wait beyond it."""
+        published = self.spark.read.schema(WINDOWS_SCHEMA).parquet(self.windows_dir)
+        return contiguous_marks(closed_windows(published, self.received() if received is None else received))
+
+    def mark(self, received: DataFrame | None = None) -> int:
+        return max((int(r["mark"]) for r in self.marks(received).collect()), default=BEGINNING)        # a row a subscription
+
+    def keep(self, batch_id: int, received: DataFrame, tombstones: DataFrame) -> None:
+        tombstones.write.mode("overwrite").parquet(f"{self.root}/tombstones/batch-{batch_id}")
+        received.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/received/batch-{batch_id}")
 
 
 def sync_stream(spark: SparkSession, change_dir: str, schema: T.StructType, target: BucketedTable,
                 checkpoint: str, keys: Sequence[str], log: RunLog | None = None, subscription_id: int = 0,
-                max_files_per_trigger: int | None = None, available_now: bool = True, processing_time: str | None = None):
-    """Start the stream; returns the ``StreamingQuery`` (``available_now`` runs what is there and stops)."""
+                max_files_per_trigger: int | None = None, available_now: bool = True, processing_time: str | None = None,
+                state: StreamState | None = None):
+    """Start the stream; returns the ``StreamingQuery`` (``available_now`` runs what is there and stops).
+
+    With ``state`` windows may arrive in any order: a run is logged up to the end of the contiguous closed windows, never
+    a batch's maximum, and the deletes above that mark are kept as tombstones, so an older insert that arrives late does
+    not bring a deleted row back.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -40,17 +101,28 @@ def sync_stream(spark: SparkSession, change_dir: str, schema: T.StructType, targ
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         checkpoint_dir(batch.sparkSession)
-        if BLOCK_COL in batch.columns:
-            batch = batch.drop(BLOCK_COL)
+        counts = batch.groupBy(F.col(WINDOW_COL).alias("rv_to")).agg(F.count(F.lit(1)).alias("rows")) if state else None
+        batch = batch.drop(BLOCK_COL, WINDOW_COL)
         # Materialise the collapsed batch once (shared checkpoint folder): the stats, the touched-bucket list and
         # the apply all read it.
-        stage = latest_per_key(batch, keys, SOURCE_VERSION).checkpoint(eager=True)
+        stage = latest_per_key(batch, keys, SOURCE_VERSION)
+        old = state.tombstones(batch_id) if state else None
+        stage = (without_stale(stage, old, keys) if old is not None else stage).checkpoint(eager=True)
         lo_hi = stage.agg(F.min(SOURCE_VERSION), F.max(SOURCE_VERSION), F.count(F.lit(1))).first()
-        if not lo_hi[2]:
+        if state:
+            before = state.received(batch_id)
+            got = counts.select("rv_to", F.lit(batch_id).cast("bigint").alias("batch"), "rows").checkpoint(eager=True)    # a row a window
+            rv_from, rv_to = state.mark(before), state.mark(before.unionByName(got))
+        elif not lo_hi[2]:
             return
-        run_id = log.start_run(subscription_id, int(lo_hi[0]) - 1, int(lo_hi[1])) if log else None
+        else:
+            rv_from, rv_to = int(lo_hi[0]) - 1, int(lo_hi[1])
+        run_id = log.start_run(subscription_id, rv_from, rv_to) if log else None
         try:
-            target.apply(stage, guard="newer", stage_rows=int(lo_hi[2]))
+            if lo_hi[2]:
+                target.apply(stage, guard="newer", stage_rows=int(lo_hi[2]))
+            if state:
+                state.keep(batch_id, got, next_tombstones(old, stage, keys, rv_to))
             if log:
                 log.log_table(run_id, "stream", int(lo_hi[2]))
                 log.end_run(run_id, True, f"batch {batch_id}")
@@ -116,3 +188,41 @@ def sync_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     RunLog(spark, f"{root}/log"), max_files_per_trigger=8)
     q.awaitTermination()
     return target.read()
+
+
+def raw_window(fx: Fixtures, lo: int, hi: int) -> DataFrame:
+    """The feed's last change per key inside (lo, hi], as a publisher sends it: deletes with NULL values."""
+    live = F.col("op") == "U"
+    inside = latest_per_key(fx.chg.where((F.col("rv") > F.lit(lo)) & (F.col("rv") <= F.lit(hi))), list(FEED_KEYS), "rv")
+    return inside.select(F.col("op").alias(OP_COL), *FEED_KEYS, *[F.when(live, F.col(c)).alias(c) for c in FEED_VALUES], F.col("rv").alias(SOURCE_VERSION))
+
+
+def _out_of_order(spark: SparkSession, sf_dir: str):
+    """Windows one, three and two published in this order, the stream run after each; (target, marks after each)."""
+    fx = Fixtures(spark, sf_dir)
+    root = scratch_path(spark, "stream-marks")
+    ends = [0, *_window_ends(fx)]
+    target, log, marks = BucketedTable(spark, f"{root}/target", list(FEED_KEYS), num_buckets=16), RunLog(spark, f"{root}/log"), []
+    state = StreamState(spark, f"{root}/state", f"{root}/windows")
+    schema = raw_window(fx, 0, 0).schema
+    target.write_full(spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != OP_COL])))
+    for k in (0, 2, 1):
+        publish_window(raw_window(fx, ends[k], ends[k + 1]), f"{root}/changes", VersionWindow(ends[k], ends[k + 1]), f"{root}/windows", 1)
+        q = sync_stream(spark, f"{root}/changes", T.StructType([*schema.fields, T.StructField(WINDOW_COL, T.LongType())]), target,
+                        f"{root}/checkpoint", list(FEED_KEYS), log, 1, state=state)
+        q.awaitTermination()
+        marks.append(state.marks().withColumn("step", F.lit(len(marks) + 1)).select("step", "mark", "waiting"))
+        marks[-1] = spark.createDataFrame(marks[-1].collect(), "step int, mark bigint, waiting bigint")     # one row, before the next step
+    return target, marks
+
+
+def stream_marks_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark and the windows waiting after each of three windows that arrive out of order."""
+    _, marks = _out_of_order(spark, sf_dir)
+    return marks[0].unionByName(marks[1]).unionByName(marks[2])
+
+
+def stream_late_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target after the same windows: rows deleted in the third stay deleted when the second brings them late."""
+    target, _ = _out_of_order(spark, sf_dir)
+    return target.read()
