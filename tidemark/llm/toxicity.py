@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .byte_words import groups_of
 from .common import all_columns, logistic, row_key, written
 
 ORDER = 5                 # characters in a gram
@@ -36,6 +37,7 @@ DISCOUNT = 0.9            # taken off each class count of the highest order
 SHARED_DISCOUNT = 0.75    # taken off each pooled continuation count
 SHARE = 0.02              # share of toxic words in the mixture
 MEMO_WORDS = 200_000      # words whose ratio a task remembers at once
+GROUP_BYTES = 8_000_000   # texts of about so many bytes are counted together
 NEW_WORDS = 20_000        # words whose ratios are worked out together
 MAX_SHIPPED = 4_000_000   # entries of the model that travel to the tasks: at most 64 MB a task
 WORD = re.compile(r"[^\W_]+")
@@ -70,20 +72,21 @@ def _count_grams(order: int):
 
     def run(batches):
         for batch in batches:
-            seen = {0: Counter(), 1: Counter()}
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[label].update(set(words_of(text)))
-            words = list(seen[0].keys() | seen[1].keys())
-            if not words:
-                continue
-            code, _, sizes, at, joined = _codes(words, order)
-            _, first, place = np.unique(code, return_index=True, return_inverse=True)
-            counts = []
-            for label in (1, 0):
-                c = np.fromiter((seen[label][w] for w in words), dtype=np.int64, count=len(words))
-                counts.append(np.bincount(place, weights=np.repeat(c, sizes)).astype(np.int64))
-            grams = [joined[i:i + order] for i in at[first].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts[0]), pa.array(counts[1])], schema=schema)
+            for a, b in groups_of(batch.column(0), GROUP_BYTES):             # few texts at a time are Python strings
+                seen = {0: Counter(), 1: Counter()}
+                for text, label in zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist()):
+                    seen[label].update(set(words_of(text)))
+                words = list(seen[0].keys() | seen[1].keys())
+                if not words:
+                    continue
+                code, _, sizes, at, joined = _codes(words, order)
+                _, first, place = np.unique(code, return_index=True, return_inverse=True)
+                counts = []
+                for label in (1, 0):
+                    c = np.fromiter((seen[label][w] for w in words), dtype=np.int64, count=len(words))
+                    counts.append(np.bincount(place, weights=np.repeat(c, sizes)).astype(np.int64))
+                grams = [joined[i:i + order] for i in at[first].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts[0]), pa.array(counts[1])], schema=schema)
 
     return run
 
