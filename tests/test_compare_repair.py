@@ -1,4 +1,5 @@
 """Compare → repair → re-sync → compare shows only what cannot be repaired without a delete log."""
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import apply as ap
@@ -29,6 +30,26 @@ def test_repair_then_resync_clears_differences(spark, fx01):
     assert after.count() == 0
 
 
+def test_repair_loop_ends_with_equal_copies(spark):
+    pub = spark.createDataFrame([(1, "a", 11), (2, "b", 12), (3, None, 13)], "k bigint, v string, rv bigint")
+    sub = spark.createDataFrame([(2, "x", 5), (3, "", 6), (7, "gone", 7), (8, "unlogged", 8)], "k bigint, v string, sourcerv bigint")
+    log = spark.createDataFrame([(9, None, 4, 7, "t")], "rv bigint, dt timestamp_ntz, sourcerv bigint, k bigint, v string")
+    table, log2, fixed, top = compare.repair_until_equal(pub, log, sub, ["k"], 13, ["v"], at="2024-01-01 00:00:00")
+    assert sorted(map(tuple, fixed.collect())) == [(1, "a", 14), (2, "b", 15), (3, "", 6)]
+    assert sorted((r["rv"], r["sourcerv"], r["k"], r["v"]) for r in log2.collect()) == [(16, 4, 7, "t"), (17, 8, 8, None)]
+    assert top == 17 and table.count() == 3
+    with pytest.raises(RuntimeError, match="still differ"):
+        compare.repair_until_equal(pub, log, sub, ["k"], 13, ["v"], rounds=0)
+
+
+def test_repair_of_equal_and_empty_copies_changes_nothing(spark):
+    pub = spark.createDataFrame([(1, "a", 3)], "k bigint, v string, rv bigint")
+    log = spark.createDataFrame([], "rv bigint, dt timestamp_ntz, sourcerv bigint, k bigint")
+    sub = pub.withColumnRenamed("rv", "sourcerv")
+    assert compare.repair_until_equal(pub, log, sub, ["k"], 3)[3] == 3
+    assert compare.repair_until_equal(pub.limit(0), log, sub.limit(0), ["k"], 0)[2].count() == 0
+
+
 def test_compare_all_skips_only_checkpoint_copies(spark, fx01):
     p, s = fx01.pair
     out = compare.compare_all({"orders": (p, s), "DatesFromSubscription_1": (p, s), "big": (p, s)},

@@ -14,8 +14,11 @@ from pyspark.sql import types as T
 
 from ..functions.defaults import default_for
 from ..functions.timefn import minus_minutes, ts_literal
-from ..plans.spec import RESERVED, pick_date_column
+from ..plans.spec import RESERVED, VersionWindow, pick_date_column
+from ..session import checkpoint_dir
+from .apply import apply_changes
 from .asof import asof_join
+from .extract import extract_changes
 from .versions import number_rows
 
 # Fixed texts of the difference column.
@@ -132,6 +135,56 @@ def repair_from_diff(diff: DataFrame, pub: DataFrame, keys: Sequence[str], base:
     return patched, deletes
 
 
+def repair_step(pub: DataFrame, delete_log: DataFrame, diff: DataFrame, sub: DataFrame, keys: Sequence[str], base: int,
+                at=None, version_col: str = "rv", sub_version: str = "sourcerv"):
+    """(publisher table, delete log, highest version) after the rows of ``diff`` have been touched.
+
+    Publisher rows that are missing or differ in the subscriber get new versions, then the delete-log rows of keys that
+    only the subscriber holds get theirs.  Such a key without a logged delete gets a row in the log (``dt`` = ``at`` or
+    now, ``sourcerv`` = the subscriber's version, tracked columns NULL): without it no extract would ever delete the key.
+    """
+    keys = list(keys)
+    checkpoint_dir(pub.sparkSession)
+    extra = diff.where(F.col("difference") == MISSING_IN_PUBLISHER).select(*keys)
+    unlogged = extra.join(delete_log.select(*keys), keys, "left_anti").join(sub.select(*keys, F.col(sub_version).alias("sourcerv")), keys)
+    dt = F.localtimestamp() if at is None else ts_literal(at)
+    given = {"rv": F.lit(0).cast("bigint"), "dt": dt}
+    full_log = delete_log.unionByName(unlogged.select(*[given[c].alias(c) if c in given else F.col(f"`{c}`") if c in unlogged.columns
+                                                        else F.lit(None).cast(delete_log.schema[c].dataType).alias(c)
+                                                        for c in delete_log.columns])).checkpoint(eager=True)
+    patched, deletes = repair_from_diff(diff, pub, keys, base, full_log, version_col)
+    patched, deletes = patched.checkpoint(eager=True), deletes.checkpoint(eager=True)
+    table = pub.join(patched.select(*keys), keys, "left_anti").unionByName(patched.select(*pub.columns))
+    log = full_log.join(extra, keys, "left_anti").unionByName(deletes)
+    return table, log, base + patched.count() + deletes.count()
+
+
+def repair_until_equal(pub: DataFrame, delete_log: DataFrame, sub: DataFrame, keys: Sequence[str], base: int,
+                       columns: Sequence[str] | None = None, rounds: int = 3, at=None, **options):
+    """(publisher table, delete log, subscriber table, highest version) once both copies compare as equal.
+
+    Each round compares, touches what differs (``repair_step``), sends the touched versions through the ordinary extract
+    and applies the stage to the subscriber, so a repair takes the path of any other change.  ``base`` is at least the
+    highest version of both copies and the log.  One round is enough unless the copies change meanwhile; differences
+    that are left after ``rounds`` rounds (a column the subscriber does not keep, say) end in an error, not in silence.
+    ``options`` go to ``compare_tables``.
+    """
+    checkpoint_dir(pub.sparkSession)
+    base = max(base, 1)                                  # a window from 0 would be a snapshot, without deletes
+    for done in range(rounds + 1):
+        diff = compare_tables(pub, sub, keys, columns, **options).checkpoint(eager=True)
+        left = diff.count()
+        if not left:
+            return pub, delete_log, sub, base
+        if done == rounds:
+            break
+        pub, delete_log, top = repair_step(pub, delete_log, diff, sub, keys, base, at)
+        pub, delete_log = pub.checkpoint(eager=True), delete_log.checkpoint(eager=True)
+        stage = extract_changes(pub, delete_log, keys, VersionWindow(base, top))
+        sub, base = apply_changes(sub, stage, keys).checkpoint(eager=True), top
+    raise RuntimeError(f"{left} keys still differ after {rounds} rounds of repair")
+
+
 def compare_all(pairs: dict, keys_of: dict, skip_prefix: str = CHECKPOINT_COPY_PREFIX, **kw) -> DataFrame:
     """Compare many tables (dict name → (pub, sub)) and union their summaries; ``kw`` as in ``compare_summary``.
 

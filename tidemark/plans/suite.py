@@ -391,6 +391,32 @@ def repair_from_diff(spark, sf_dir):
     return patched
 
 
+def _pair_log(fx):
+    """A delete log of the two copies of orders: every second key that only the subscriber holds was logged."""
+    k = F.col("o_orderkey")
+    return fx.table("orders").where((k % 211 == 0) & (k % 2 == 0)).select(
+        (k + 1).alias("rv"), F.col("o_orderdate").cast("timestamp_ntz").alias("dt"), k.alias("sourcerv"), (-k - 1).alias("o_orderkey"))
+
+
+def repair_deletes(spark, sf_dir):
+    """Delete-log rows touched by one round of repair, those of keys without a logged delete included."""
+    fx = _fx(spark, sf_dir)
+    p, s = fx.pair
+    diff = compare.compare_tables(p, s, list(PAIR_KEYS), list(PAIR_COLUMNS))
+    base = int(p.agg(F.max("rv")).first()[0])
+    _, log, _ = compare.repair_step(p, _pair_log(fx), diff, s, list(PAIR_KEYS), base, at=COMPARE_NOW)
+    return log
+
+
+def repair_loop(spark, sf_dir):
+    """The subscriber's copy after repair until both copies compare as equal."""
+    fx = _fx(spark, sf_dir)
+    p, s = fx.pair
+    base = int(p.agg(F.max("rv")).first()[0])
+    _, _, repaired, _ = compare.repair_until_equal(p, _pair_log(fx), s, list(PAIR_KEYS), base, list(PAIR_COLUMNS), at=COMPARE_NOW)
+    return repaired
+
+
 def fill_type_defaults_q(spark, sf_dir):
     _, s = _fx(spark, sf_dir).pair
     return fill_type_defaults(s)
@@ -494,6 +520,8 @@ QUERIES = {
     "compare_binary": compare_binary,
     "compare_all": compare_all,
     "repair_from_diff": repair_from_diff,
+    "repair_deletes": repair_deletes,
+    "repair_loop": repair_loop,
     "fill_type_defaults": fill_type_defaults_q,
     "format_duration": format_duration_q,
     "rv_hex": rv_hex,
