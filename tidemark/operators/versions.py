@@ -158,9 +158,14 @@ def publish_changes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base:
     Changed and new rows get versions from ``base`` + 1 on in key order, then the deleted keys theirs; unchanged rows
     keep the version they have.
     """
-    from ..functions.timefn import ts_literal
-    cols = user_columns(curr)
     rows = classify_snapshot(prev, curr, keys, track, version_col)
+    return number_classified(rows, user_columns(curr), keys, base, at, track, version_col)
+
+
+def number_classified(rows: DataFrame, cols: Sequence[str], keys: Sequence[str], base: int, at=None, track: Sequence[str] = (),
+                      version_col: str = ROW_VERSION):
+    """(versioned table, delete-log rows) of the rows of ``classify_snapshot``."""
+    from ..functions.timefn import ts_literal
     numbered = number_rows(rows.where("_kind > 0"), ["_kind", *keys], base, "_new_rv")
     fresh = numbered.where("_kind = 1").select(*cols, F.col("_new_rv").alias(version_col))
     table = rows.where("_kind = 0").select(*cols, F.col("_p_rv").alias(version_col)).unionByName(fresh)
@@ -170,8 +175,14 @@ def publish_changes(prev: DataFrame, curr: DataFrame, keys: Sequence[str], base:
     return table, deletes
 
 
-def current_version(table: DataFrame, delete_log: DataFrame | None = None, version_col: str = ROW_VERSION) -> int:
-    """Highest version issued so far (table and delete log); 0 when both are empty."""
+def current_version(table: DataFrame | None = None, delete_log: DataFrame | None = None, version_col: str = ROW_VERSION,
+                    ledger=None) -> int:
+    """Highest version issued so far (table and delete log); 0 when both are empty.
+
+    With a ``ledger`` (``VersionLedger``) no table is read: it is the version up to which all writers are done.
+    """
+    if ledger is not None:
+        return ledger.safe()
     best = table.agg(F.max(version_col)).first()[0] or 0
     if delete_log is not None:
         best = max(best, delete_log.agg(F.max(ROW_VERSION)).first()[0] or 0)

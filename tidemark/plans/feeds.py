@@ -58,18 +58,20 @@ def sync_feed(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str,
 
 
 def run_subscription(spark: SparkSession, specs: Sequence[FeedSpec], target_root: str, log: RunLog, subscription_id: int,
-                     current: int | None = None, num_buckets: int = 64, double_read: bool = False, checkpoints=None, now=None) -> dict:
+                     current: int | None = None, num_buckets: int = 64, double_read: bool = False, checkpoints=None, now=None, ledger=None) -> dict:
     """One run: every table of the subscription brought from the one mark to the one upper bound, then its routines.
 
-    The upper bound is ``current``, or the version of the newest checkpoint old enough (``checkpoints`` given), or the
-    highest version issued in any table.  A table that is new or flagged ``initialize`` is loaded from the beginning.
+    The upper bound is ``current``, or the version up to which the ``ledger``'s writers are done (no table is read for
+    it), or the version of the newest checkpoint old enough (``checkpoints`` given), or the highest version in any table.  A table that is new or flagged ``initialize`` is loaded from the beginning.
     Routines run in the order of ``routine_order`` after all tables, with the run's window; a routine that returns a
     DataFrame is logged by its rows.  When the run moved rows or has a routine, the ``initialize`` flags of the tables it
     loaded are cleared.  A failure closes the run with success 0, flags stay, and the next run covers the window again.
     """
     tables = [s for s in specs if s.source is not None]
     sources = {s.local_name: (s.source(spark), s.delete_log(spark) if s.delete_log else None) for s in tables}
-    if current is None:
+    if current is None and ledger is not None:
+        current = current_version(ledger=ledger)
+    elif current is None:
         current = max((current_version(src, dels) for src, dels in sources.values()), default=BEGINNING)
         current = current if checkpoints is None else delayed_version(checkpoints, now, current)
     mark = high_water_mark(log.runs().where(F.col("subscription_id") == subscription_id), double_read=double_read).first()

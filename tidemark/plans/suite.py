@@ -97,6 +97,26 @@ def publish_table(spark, sf_dir):
     return _published(_fx(spark, sf_dir))[0]
 
 
+def ledger_publish(spark, sf_dir):
+    """Three publishes through one ledger of issued versions: where their versions lie and the bound after each."""
+    from ..sources.ledger import VersionLedger
+    from .publish import publish_snapshot
+    fx = _fx(spark, sf_dir)
+    ledger = VersionLedger(spark, scratch_path(spark, "ledger"), block=1000)
+    k, orders = F.col("o_orderkey"), fx.table("orders").select("o_orderkey", "o_orderstatus")
+    status = F.when(k % 103 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus")
+    out, steps = [], [("orders", None, orders, "o_orderkey"), ("customer", None, fx.table("customer").select("c_custkey", "c_name"), "c_custkey"),
+                      ("orders again", "orders", orders.where(k % 101 != 0).select(k, status), "o_orderkey")]
+    done = {}
+    for name, before, snapshot, key in steps:
+        base = ledger.issued()
+        done[name], gone, _ = publish_snapshot(done.get(before), snapshot, [key], ledger=ledger)
+        rv = done[name].select("rv") if gone is None else done[name].select("rv").unionByName(gone.select("rv"))
+        out.append(rv.where(F.col("rv") > base).agg(F.min("rv").alias("first_rv"), F.max("rv").alias("last_rv"), F.count(F.lit(1)).alias("n_rows"))
+                   .select(F.lit(name).alias("published"), "*", F.lit(versions.current_version(ledger=ledger)).cast("bigint").alias("safe_rv")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def publish_deletes(spark, sf_dir):
     return _published(_fx(spark, sf_dir))[1]
 
@@ -465,6 +485,7 @@ def choose_key(spark, sf_dir):
 
 QUERIES = {
     "publish_table": publish_table,
+    "ledger_publish": ledger_publish,
     "publish_deletes": publish_deletes,
     "late_changes": late_changes,
     "trace_versions": trace_versions,

@@ -21,8 +21,8 @@ from .spec import VersionWindow
 def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: DataFrame, delete_log: DataFrame | None,
                target: BucketedTable, log: RunLog, subscription_id: int, stage_root: str, current: int | None = None,
                initialize: bool = False, double_read: bool = False, identity: Sequence[str] = (), now=None,
-               compress: Sequence[str] = ()) -> dict:
-    """Bring ``target`` up to ``current`` (default: the source's current version) and log the run.
+               compress: Sequence[str] = (), ledger=None) -> dict:
+    """Bring ``target`` up to ``current`` (default: the ledger's safe version, or the source's highest) and log the run.
 
     No successful run yet, an initialise request, or no target → full load of the snapshot (no stage).  Otherwise
     the changes of (mark, current] are collapsed per key, written to a stage folder, and applied bucket-wise.
@@ -30,7 +30,7 @@ def sync_table(spark: SparkSession, name: str, keys: Sequence[str], source: Data
     A failure closes the run with success 0, so the next run covers the window again.
     """
     if current is None:
-        current = current_version(source, delete_log)
+        current = current_version(source, delete_log, ledger=ledger)
     runs = log.runs().where(F.col("subscription_id") == subscription_id)
     mark = high_water_mark(runs, double_read=double_read).first()       # None: never ran
     rv_from = BEGINNING if (initialize or mark is None or not target.exists()) else int(mark["hwm"])
