@@ -95,6 +95,35 @@ def test_neighbours(spark):
     assert ann.search(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_near_vectors_need_few_candidates(spark):
+    """Vectors in loose groups: the fitted tables look at a small share of the rows and still find the neighbours."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.standard_normal((150, 32)), 20, axis=0) + 0.4 * rng.standard_normal((3000, 32))
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    folded = frame.select(F.col("embedding").alias("vec"), F.array("vec_id").alias("ids")).cache()
+    asked = folded.filter("ids[0] % 50 = 0").select("vec", F.col("ids")[0].alias("query"))
+    setting = ann.fit(folded, asked, 5, 0.95, 48, 17)[32]
+    assert setting["recall"] >= 0.95 and setting["share"] < 0.2
+    got = ann.search(frame, F.pmod("vec_id", F.lit(50)) == 0).collect()
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    cos, hit = u @ u.T - 2 * np.eye(len(u)), 0
+    for q in range(0, 3000, 50):
+        hit += len(set(np.argsort(-cos[q])[:5]) & {r["id"] for r in got if r["query_id"] == q})
+    assert hit >= 0.9 * 300
+    # the share holds for all rows and queries, not only for the sample
+    hashed = ann.Tables(32, tables=48, seed=17, **{n: setting[n] for n in ann.LOOSE})
+    assert ann._candidates(hashed, ann._index(hashed, u), u[::50]).mean() < 0.2
+    folded.unpersist()
+
+
+def test_given_setting_and_rare_lengths(spark):
+    rows = [(i, [float(i % 7) + 1, 1.0, float(i % 3)]) for i in range(100)] + [(200, [1.0, 2.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    loose = ann.search(frame, F.pmod("vec_id", F.lit(50)) == 0, setting=ann.LOOSE).collect()
+    assert {r["query_id"] for r in loose} == {0, 50}
+    assert sorted(loose) == sorted(ann.search(frame, F.pmod("vec_id", F.lit(50)) == 0).collect())
+
+
 def test_recall_on_the_table(spark):
     rows = spark.read.parquet(f"{SF01}/embeddings.parquet").toPandas()
     x = np.array(rows.embedding.tolist(), dtype=float)
