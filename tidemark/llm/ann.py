@@ -66,7 +66,8 @@ class Tables:
         cell = np.floor(place)
         below = place - cell
         cost = below ** 2 @ (self.moves == -1).T + (1 - below) ** 2 @ (self.moves == 1).T
-        first = np.argsort(cost, axis=1, kind="stable")[:, :self.probes]
+        first = np.argpartition(cost, min(self.probes, cost.shape[1]) - 1, axis=1)[:, :self.probes]
+        first = np.take_along_axis(first, np.take_along_axis(cost, first, 1).argsort(axis=1, kind="stable"), 1)
         return self._codes(cell.astype(np.int64)[:, None, :] + self.moves[first])
 
 
@@ -81,15 +82,14 @@ def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def _candidates(hashed: Tables, cells: list, unit_q: np.ndarray) -> np.ndarray:
     """Which rows are candidates of which queries; ``cells`` holds each table's buckets and every row's place in them."""
-    near = np.zeros((len(unit_q), len(cells[0][1])), dtype=bool)
+    near = np.zeros((len(cells[0][1]), -(-len(unit_q) // 8)), dtype=np.uint8)          # a bit for each query
     for t, (codes, cell_of) in enumerate(cells):
         seen = hashed.visits(unit_q, t)
         at = np.minimum(np.searchsorted(codes, seen), len(codes) - 1)
-        hit, table = codes[at] == seen, np.zeros((len(unit_q), len(codes)), dtype=bool)
-        table[np.broadcast_to(np.arange(len(unit_q))[:, None], at.shape)[hit], at[hit]] = True
-        rows = np.flatnonzero(table.any(0)[cell_of])
-        near[:, rows] |= table[:, cell_of[rows]]
-    return near
+        hit, table = codes[at] == seen, np.zeros((len(codes), len(unit_q)), dtype=bool)
+        table[at[hit], np.broadcast_to(np.arange(len(unit_q))[:, None], at.shape)[hit]] = True
+        near |= np.packbits(table, axis=1)[cell_of]
+    return np.unpackbits(near, axis=1, count=len(unit_q)).T.astype(bool)
 
 
 def _index(hashed: Tables, unit: np.ndarray) -> list:
