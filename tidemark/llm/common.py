@@ -1,7 +1,10 @@
 """Helpers shared by the training-data operators: written intermediates, folds and small numeric fits."""
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.session import scratch_path
@@ -25,6 +28,17 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory():
+    """Give memory that a task has freed back to the system.
+
+    Python workers are used again for later tasks, of other stages too, and would hold the peaks of all of them.
+    """
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):                 # glibc only
+        libc.malloc_trim(0)
+
+
 def col(name: str) -> Column:
     """The column of exactly this name, also if it holds dots."""
     return F.col("`" + name.replace("`", "``") + "`")

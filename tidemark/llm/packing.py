@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .byte_words import groups_of
-from .common import written
+from .common import release_memory, written
 from .tokens import GROUP_CHARS, encoder
 
 CAPACITY = 2048
@@ -98,6 +98,8 @@ def _cut(path: str, capacity: int, end_id: int):
                         cols = [[] for _ in range(6)]
                 if cols[0]:
                     yield _pieces(cols)
+        release_memory()
+
     return run
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .byte_words import groups_of
-from .common import all_columns, logistic, row_key, written
+from .common import all_columns, logistic, release_memory, row_key, written
 
 ORDER = 5                 # characters in a gram
 DISCOUNT = 0.9            # taken off each class count of the highest order
@@ -39,6 +40,7 @@ SHARE = 0.02              # share of toxic words in the mixture
 MEMO_WORDS = 200_000      # words whose ratio a task remembers at once
 GROUP_BYTES = 8_000_000   # texts of about so many bytes are counted together
 NEW_WORDS = 20_000        # words whose ratios are worked out together
+HELD_WORDS = 200_000      # words of texts whose figures are still to be worked out
 MAX_SHIPPED = 4_000_000   # entries of the model that travel to the tasks: at most 64 MB a task
 WORD = re.compile(r"[^\W_]+")
 PAD, END = "\x02", "\x03"
@@ -87,6 +89,7 @@ def _count_grams(order: int):
                     counts.append(np.bincount(place, weights=np.repeat(c, sizes)).astype(np.int64))
                 grams = [joined[i:i + order] for i in at[first].tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts[0]), pa.array(counts[1])], schema=schema)
+        release_memory()
 
     return run
 
@@ -177,7 +180,7 @@ class ToxicityModel:
 
     def evidence(self, texts) -> np.ndarray:
         """One row of FEATURES for each text; the words' ratios are worked out once for many texts."""
-        out, memo, group, fresh = np.zeros((len(texts), len(FEATURES))), {}, [], {}
+        out, memo, group, fresh, held = np.zeros((len(texts), len(FEATURES))), {}, [], {}, 0
 
         def settle():
             memo.update(zip(fresh, self.ratios(list(fresh)).tolist()))
@@ -193,9 +196,11 @@ class ToxicityModel:
             words = list(dict.fromkeys(words_of(text)))
             if words:
                 group.append((i, words))
+                held += len(words)
                 fresh.update((w, None) for w in words if w not in memo)
-                if len(fresh) > NEW_WORDS:
+                if len(fresh) > NEW_WORDS or held > HELD_WORDS:
                     settle()
+                    held = 0
         settle()
         return out
 
@@ -304,8 +309,11 @@ def score(model: ToxicityModel, spark, text: Column) -> Column:
     shared = spark.sparkContext.broadcast(model.parts())
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(ToxicityModel(*shared.value).scores(texts))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = ToxicityModel(*shared.value)
+        for texts in batches:
+            yield pd.Series(own.scores(texts))
+        release_memory()
 
     return scored(text)
 
