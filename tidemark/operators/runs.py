@@ -198,6 +198,21 @@ def latest_detail(log: DataFrame, detail: DataFrame) -> DataFrame:
     return detail.join(newest, "import_log_id")
 
 
+def status_detail(log: DataFrame, detail: DataFrame, measured: DataFrame) -> DataFrame:
+    """The tables of each subscription's newest run: its detail if it has ended, else what is stored so far.
+
+    ``measured`` (subscription_id, table_name, total_rows) is the state of the stage or the target of the subscriptions'
+    tables now, as ``feed_stats`` gives it; it stands in for the detail, which an open run does not have in full.
+    """
+    w = Window.partitionBy("subscription_id").orderBy(F.col("import_log_id").desc())
+    newest = (log.select("subscription_id", "import_log_id", F.col("end_date").isNull().alias("is_open"), F.row_number().over(w).alias("_rn"))
+              .where("_rn = 1").drop("_rn"))
+    ended = detail.join(newest.where("not is_open"), "import_log_id")
+    running = measured.join(newest.where("is_open"), "subscription_id")
+    cols = ["subscription_id", "import_log_id", "is_open", "table_name", "total_rows"]
+    return ended.select(*cols).unionByName(running.select(*cols))
+
+
 def run_status(subscriptions: DataFrame, log: DataFrame, now, delay_alert_minutes: int | None = None) -> DataFrame:
     """Newest run per active subscription, its age in minutes, and a delay alert when the last success is older
     than the subscription's ``delay_alert_minutes`` (or the given default)."""

@@ -15,6 +15,7 @@ from ..operators.runs import clear_init_flags, delayed_version, end_run_flags, h
 from ..operators.versions import current_version
 from ..sources.bucketed import BucketedTable
 from ..sources.runlog import RunLog
+from ..sources.stats import feed_stats, stage_path
 from .spec import FeedSpec, VersionWindow
 from .sync import move_table, sync_table
 
@@ -64,7 +65,8 @@ def run_subscription(spark: SparkSession, specs: Sequence[FeedSpec], target_root
     The upper bound is ``current``, or the version up to which the ``ledger``'s writers are done (no table is read for
     it), or the version of the newest checkpoint old enough (``checkpoints`` given), or the highest version in any table.  A table that is new or flagged ``initialize`` is loaded from the beginning.
     Routines run in the order of ``routine_order`` after all tables, with the run's window; a routine that returns a
-    DataFrame is logged by its rows.  When the run moved rows or has a routine, the ``initialize`` flags of the tables it
+    DataFrame is logged by its rows.  Before the run closes its detail is collected anew from what is stored: the stage of
+    a table whose changes were staged, or the target of one that was loaded.  When the run moved rows or has a routine, the ``initialize`` flags of the tables it
     loaded are cleared.  A failure closes the run with success 0, flags stay, and the next run covers the window again.
     """
     tables = [s for s in specs if s.source is not None]
@@ -77,19 +79,24 @@ def run_subscription(spark: SparkSession, specs: Sequence[FeedSpec], target_root
     mark = high_water_mark(log.runs().where(F.col("subscription_id") == subscription_id), double_read=double_read).first()
     rv_from = BEGINNING if mark is None else int(mark["hwm"])
     run_id = log.start_run(subscription_id, rv_from, current, now)
+    staged, loaded = [], []
     try:
         for spec in tables:
             src, dels = sources[spec.local_name]
             target = BucketedTable(spark, f"{target_root}/{spec.local_name}", spec.key_columns, num_buckets)
             lo = BEGINNING if spec.initialize or not target.exists() else rv_from
             moved = move_table(spark, spec.local_name, spec.key_columns, src.drop(*spec.ignore_columns), dels, target, VersionWindow(lo, current),
-                               f"{target_root}/_stage/run={run_id}/{spec.local_name}", spec.identity_columns, spec.compress_columns)
+                               stage_path(target_root, run_id, spec.local_name), spec.identity_columns, spec.compress_columns)
             log.log_table(run_id, moved["logged_as"], moved["rows"], moved["kbs"], moved["is_stage"])
+            (staged if moved["is_stage"] else loaded).append(spec.local_name)
         routines = sorted(((spec.routine_order, i, r) for spec in specs for i, r in enumerate(spec.routines)), key=lambda x: x[:2])
         for _, _, routine in routines:
             out = routine(spark, VersionWindow(rv_from, current))
             if out is not None:
                 log.log_table(run_id, routine.__name__, out.count())
+        measured = (feed_stats(spark, staged, target_root, True, run_id).withColumn("is_stage", F.lit(True))
+                    .unionByName(feed_stats(spark, loaded, target_root, False).withColumn("is_stage", F.lit(False))))
+        log.recollect(run_id, measured, [r.__name__ for _, _, r in routines])
         total = log.end_run(run_id, True, "ok", now)
     except Exception as ex:
         log.end_run(run_id, False, f"{type(ex).__name__}: {ex}", now)

@@ -310,21 +310,44 @@ def clear_init_flags(spark, sf_dir):
     return runs.clear_init_flags(flags, fx.import_log_detail, run, True, total, False)
 
 
-def sync_feed(spark, sf_dir):
-    """Two runs of one subscription over three tables: what its run log and detail say afterwards."""
+def _two_runs(spark, sf_dir, name):
+    """Two runs of one subscription over three tables: its folder, table names and run log."""
     from .feeds import run_subscription
     from ..sources.runlog import RunLog
-    fx, root = _fx(spark, sf_dir), scratch_path(spark, "sync-feed")
+    fx, root = _fx(spark, sf_dir), scratch_path(spark, name)
     table = lambda name, key: (lambda s: fx.table(name).withColumn("rv", F.col(key) + 1))
     specs = [FeedSpec("customer", ["c_custkey"], table("customer", "c_custkey")), FeedSpec("orders", ["o_orderkey"], table("orders", "o_orderkey")),
              FeedSpec("events", K, lambda s: fx.src, lambda s: fx.del_log)]
     log = RunLog(spark, f"{root}/log")
     run_subscription(spark, specs, f"{root}/target", log, 1, current=fx.lo, num_buckets=8)
     run_subscription(spark, specs, f"{root}/target", log, 1, current=fx.hi, num_buckets=8)
+    return f"{root}/target", [s.local_name for s in specs], log
+
+
+def sync_feed(spark, sf_dir):
+    """Two runs of one subscription over three tables: what its run log and detail say afterwards."""
+    _, _, log = _two_runs(spark, sf_dir, "sync-feed")
     runs_ = log.runs().select("import_log_id", "rv_from", "rv_to", "success", F.col("total_rows").alias("run_rows"))
     return log.detail().drop("total_kbs").join(runs_, "import_log_id")
 
 
+def stored_stats(spark, sf_dir):
+    """After two runs of a subscription: rows of what the second one staged and of the target tables, from their files."""
+    from ..sources.stats import feed_stats
+    target, names, _ = _two_runs(spark, sf_dir, "stored-stats")
+    both = feed_stats(spark, names, target, True, 2).unionByName(feed_stats(spark, names, target, False))
+    return both.select("table_name", "total_rows", (F.col("total_kbs") > 0).alias("has_size"))
+
+
+def status_detail(spark, sf_dir):
+    """The tables of each newest run; the open runs of subscriptions 0 and 1 are left out, so those have ended."""
+    fx = _fx(spark, sf_dir)
+    log = fx.import_log.where("subscription_id > 1 or end_date is not null")
+    measured = (fx.src.groupBy((F.col("user_id") % 5).alias("subscription_id")).agg(F.count(F.lit(1)).alias("total_rows"))
+                .withColumn("table_name", F.lit("events")))
+    return runs.status_detail(log, fx.import_log_detail, measured)
+
+
 def run_window(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     subs = fx.subscriptions.select(
@@ -492,6 +515,8 @@ QUERIES = {
     "contiguous_marks": contiguous_marks,
     "clear_init_flags": clear_init_flags,
     "sync_feed": sync_feed,
+    "stored_stats": stored_stats,
+    "status_detail": status_detail,
     "choose_key": choose_key,
     "snapshot_extract": snapshot_extract,
     "incremental_extract": incremental_extract,

@@ -6,11 +6,13 @@ per run (the run log is small metadata: one row per run).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.extract import latest_per_key
+from ..operators.runs import recollect_detail
 from ..functions.versions import BEGINNING
 from .fs import HadoopFs
 
@@ -65,7 +67,7 @@ class RunLog:
         if not self._has(self._detail_path):
             return self.spark.createDataFrame([], DETAIL_SCHEMA).drop("seq")
         d = self.spark.read.schema(DETAIL_SCHEMA).parquet(self._detail_path)
-        return latest_per_key(d, ["import_log_id", "table_name"], "seq").drop("seq")
+        return latest_per_key(d, ["import_log_id", "table_name"], "seq").drop("seq").where("total_rows IS NOT NULL")
 
     # ---- events -------------------------------------------------------------------------------------------------
     def start_run(self, subscription_id: int, rv_from: int, rv_to: int, now=None) -> int:
@@ -86,6 +88,19 @@ class RunLog:
         if run_id in self._rows:
             self._rows[run_id][table_name] = (int(rows), kbs)
 
+    def recollect(self, run_id: int, measured: DataFrame, routines: Sequence[str] = ()) -> None:
+        """Replace a run's detail by ``measured`` (table_name, total_rows, total_kbs, is_stage); rows named like one of
+        ``routines`` stay.  The log only grows: a row that goes is appended once more without a number of rows.
+        """
+        own = self.detail().where(F.col("import_log_id") == run_id)
+        names = self.spark.createDataFrame([(r,) for r in routines], "routine_name string")
+        after = recollect_detail(own, run_id, names, measured.withColumn("import_log_id", F.lit(run_id).cast("bigint")))
+        gone = (own.join(after.select("table_name"), "table_name", "left_anti")
+                .withColumn("total_rows", F.lit(None).cast("bigint")).withColumn("total_kbs", F.lit(None).cast("bigint")))
+        rows = after.unionByName(gone).withColumn("seq", F.lit(self._next_seq()).cast("bigint"))
+        rows.select(*self.spark.createDataFrame([], DETAIL_SCHEMA).columns).coalesce(1).write.mode("append").parquet(self._detail_path)
+        self._rows.pop(run_id, None)                # the totals come from the detail now
+
     def end_run(self, run_id: int, success: bool, message: str = "", now=None) -> int:
         """Close a run: totals from its detail rows (NULL → 0), end date, success flag and message."""
         cur = self._open.pop(run_id, None) or self.runs().where(F.col("import_log_id") == run_id).first()
