@@ -105,3 +105,18 @@ def test_language(spark):
     assert [r["p"]["best"] for r in edge[:6]] == ["und"] * 6 and edge[6]["p"]["best"] in learned
     none = spark.createDataFrame([(1, "abc")], "doc_id long, text string").select(langid.predict({}, spark, F.col("text")).alias("p")).first()
     assert none["p"]["best"] == "und" and langid.fit(frame.limit(0)) == {}
+
+
+def test_evidence_does_not_depend_on_how_many_words_are_held(monkeypatch):
+    import numpy as np
+    from tidemark.llm import toxicity
+    codes, _, _, _, _ = toxicity._codes(["good", "words", "bad", "ones"], toxicity.ORDER)
+    table = np.unique(codes), np.linspace(-2, 2, len(np.unique(codes)))
+    model = toxicity.ToxicityModel(toxicity.ORDER, table, (np.zeros(1, dtype=np.uint64), np.zeros(1)))
+    texts = ["good words", None, "", "bad ones bad", "good " * 50 + "ones", "words", "...", "bad"]
+    whole = model.evidence(texts)
+    for held, fresh in ((1, 20_000), (3, 1), (200_000, 1)):
+        monkeypatch.setattr(toxicity, "HELD_WORDS", held)
+        monkeypatch.setattr(toxicity, "NEW_WORDS", fresh)
+        assert np.array_equal(model.evidence(texts), whole)
+    assert not whole[1].any() and not whole[2].any() and whole[0].any()
