@@ -471,7 +471,7 @@ def format_duration_q(spark, sf_dir):
     unit = (F.when(F.col("event_type") == "view", "second").when(F.col("event_type") == "click", "mi")
             .when(F.col("event_type") == "purchase", "hh").when(F.col("event_type") == "signup", "s")
             .otherwise("week"))
-    t = (F.col("value").cast("decimal(28,3)") * F.col("event_id")).cast("decimal(28,3)")
+    t = (F.col("value").cast("decimal(28,3)") * (F.col("event_id") % 100_000)).cast("decimal(28,3)")
     return e.select("event_id", "event_type", unit.alias("unit"), format_duration(t, unit).alias("duration"))
 
 
