@@ -107,6 +107,23 @@ def test_language(spark):
     assert none["p"]["best"] == "und" and langid.fit(frame.limit(0)) == {}
 
 
+def test_a_dictionary_serves_a_group_of_texts_at_a_time(monkeypatch):
+    c = langid.Compressors({"de": b"der hund und die katze", "en": b"the dog and the cat"})
+    texts = ["the dog", None, "12", "die Katze " * 2000, "", "Ärger – mit ½ ² ŒUVRE", "und_der 9 Hund", "²"]
+    alone = [next(c.sizes([t])) for t in texts]
+    assert [a is None for a in alone] == [False, True, True, False, True, False, False, True]
+    assert langid.normal(texts[5]) == "ärger mit ½ ² œuvre".encode() and langid.normal(texts[6]) == b"und der hund"
+    real, calls = list(c.compress), []
+    c.compress = [lambda p, k=k: calls.append(k) or real[k](p) for k in range(2)]
+    for limit, turns in ((1_000_000, 2), (100, 4)):
+        monkeypatch.setattr(langid, "GROUP_BYTES", limit)
+        calls.clear()
+        together = list(c.sizes(texts))
+        assert [None if a is None else a.tolist() for a in together] == [None if a is None else a.tolist() for a in alone]
+        assert 1 + sum(a != b for a, b in zip(calls, calls[1:])) == turns
+    assert list(c.sizes([])) == [] and list(langid.Compressors({}).sizes(["a"])) == [None]
+
+
 def test_evidence_does_not_depend_on_how_many_words_are_held(monkeypatch):
     import numpy as np
     from tidemark.llm import toxicity

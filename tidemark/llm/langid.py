@@ -9,6 +9,9 @@ The dictionaries are fitted on a bounded sample: for each language ``excerpts``
 one excerpt of at most ``excerpt_chars`` characters of each, taken at a place that its hash sets.  The prediction
 reads every whole text; only letters count, in lower case.
 
+A prepared dictionary takes about 2 MB, so each one goes over a group of texts before the next one has its turn and
+stays in the processor's cache meanwhile.
+
 Defined cases: null texts and texts without a letter are ``und`` with score 0; ties go to the language whose name
 sorts first, with margin 0; with a single learned language its margin is 0; with none everything is ``und``;
 repeated rows are predicted each; an empty table gives an empty result.
@@ -24,13 +27,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNDECIDED = "und"
 PIECE = 8192                       # bytes compressed at once
+GROUP_BYTES = 1_000_000            # texts of about so many bytes are compressed by one dictionary after the other
 LEVEL = 13
 LETTERS = re.compile(r"[^\W\d_]+")
+LATIN = bytes(b if LETTERS.match(chr(b)) else 0x20 for b in range(256))      # Latin-1 characters that are no letters as spaces
 
 
 def normal(text: str | None) -> bytes:
     """The letters of a text in lower case, runs of other characters as one space."""
-    found = " ".join(LETTERS.findall(text.lower())) if text else ""
+    lower = text.lower() if text else ""
+    try:
+        found = b" ".join(lower.encode("latin-1").translate(LATIN).split()).decode("latin-1")
+    except UnicodeEncodeError:                                                   # characters past Latin-1
+        found = " ".join(LETTERS.findall(lower))
     return found.encode("utf-8", "replace") if any(map(str.isalpha, found)) else b""          # numerals alone are no letters
 
 
@@ -63,13 +72,22 @@ class Compressors:
             d = zstandard.ZstdCompressionDict(dictionaries[lang] or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.compress.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress)
 
-    def sizes(self, text: str | None) -> np.ndarray | None:
-        """Bytes of the whole text under each language's dictionary; None without a letter."""
-        data = normal(text)
-        if not data or not self.langs:
-            return None
-        pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
-        return np.array([sum(len(c(p)) for p in pieces) for c in self.compress])
+    def sizes(self, texts):
+        """For each text, the bytes of the whole text under each language's dictionary; None without a letter."""
+        group, held = [], 0
+        for text in texts:
+            group.append(normal(text))
+            held += len(group[-1])
+            if held >= GROUP_BYTES:
+                yield from self._group(group)
+                group, held = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[bytes]):
+        cut = [[data[i:i + PIECE] for i in range(0, len(data), PIECE)] for data in texts]
+        sizes = np.array([[sum(len(c(p)) for p in pieces) for pieces in cut] for c in self.compress]).reshape(len(self.langs), len(texts)).T
+        for data, row in zip(texts, sizes):
+            yield row if data and self.langs else None
 
 
 def predict(dictionaries: dict[str, bytes], spark, text: Column, min_margin: float = 0.005) -> Column:
@@ -80,8 +98,7 @@ def predict(dictionaries: dict[str, bytes], spark, text: Column, min_margin: flo
     def run(batches: pd.Series) -> pd.DataFrame:
         c = _compressors(shared)
         out = []
-        for text in batches:
-            sizes = c.sizes(text)
+        for sizes in c.sizes(batches):
             if sizes is None:
                 out.append((UNDECIDED, UNDECIDED, 0.0, 0.0, True))
                 continue
