@@ -26,6 +26,34 @@ def test_ids_equal_the_tokenizers(spark, name):
     assert [len(a) for a in coder.encode([None, "", "a"])] == [0, 0, 1]
 
 
+class Counted(dict):
+    """A dictionary that counts its look-ups."""
+    asked = 0
+
+    def __contains__(self, key):
+        self.asked += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        self.asked += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        self.asked += 1
+        return super().get(key, default)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_known_word_is_looked_up_once_a_group(name):
+    coder = Encoder(queries.tokenizer(name))
+    texts = [t for t in ODD if len(t) < 100] + ["a b c\nb été a", "Über x\x00y ß"]
+    want = [a.tolist() for a in coder.encode(texts)]
+    assert want == [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    coder.place = Counted(coder.place)
+    assert [a.tolist() for a in coder.encode(texts)] == want
+    assert 0 < coder.place.asked <= len(coder.place)
+
+
 def test_fill_is_optimal():
     rng = np.random.default_rng(1)
     for _ in range(60):

@@ -141,7 +141,7 @@ class Encoder:
             usual = pc.replace_substring_regex(usual, SENTENCE_END, r"\1 \2\3")
         lists = pc.split_pattern(usual, " ")
         coded = lists.flatten().dictionary_encode()
-        at = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.int64)
+        at = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()] if len(coded) else np.zeros(0, dtype=np.int64)
         edges = lists.offsets.to_numpy()
         size = self.size[at]
         ends = np.cumsum(size)
@@ -162,10 +162,12 @@ class Encoder:
         """The number of each distinct word; words not yet known are encoded."""
         if len(self.place) > MEMO_WORDS or self.chars > MEMO_CHARS:
             self._clear()
-        fresh = [w for w in words if w not in self.place]
+        at = [self.place.get(w, -1) for w in words]
+        fresh = [w for w, k in zip(words, at) if k < 0]
         if fresh:
             self._learn(fresh)
-        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+            at = [self.place[w] if k < 0 else k for w, k in zip(words, at)]
+        return np.array(at, dtype=np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}
